@@ -32,21 +32,26 @@ def absent_from(
     existing: DataFrame,
     key: Sequence[str] = EVENT_KEY,
     same_event_date: bool = False,
+    reduce_history: bool = False,
 ) -> DataFrame:
-    """Candidates whose key ``existing`` does not hold. ``candidates`` must be
-    unique on the key.
-
-    The history is first reduced to the keys that occur among the candidates (a
-    semi-join, which needs no shuffle of the history when the candidates are
-    small enough for Spark to broadcast). Set ``same_event_date`` only where a
-    repeated key is known to carry the same event time: the history is then
-    also joined on ``event_date``, and its other dates are pruned.
+    """Candidates whose key ``existing`` does not hold.
+
+    ``reduce_history`` first narrows the history to the keys among the
+    candidates. When those are few enough for Spark to broadcast, the history
+    is scanned without being shuffled; it reads the candidates twice, so it
+    suits persisted micro-batches.
+
+    Set ``same_event_date`` only where a repeated key is known to carry the
+    same event time: the history is then joined on ``event_date`` too, and its
+    other dates are pruned.
     """
     on = [*key, "event_date"] if same_event_date else list(key)
-    seen = existing.select(*on).join(candidates.select(*on), on, "left_semi")
+    seen = existing.select(*on)
+    if reduce_history:
+        seen = seen.join(candidates.select(*on), on, "left_semi")
     return candidates.join(seen, on, "left_anti")
 
 
-def insert_if_absent(events: DataFrame, existing: DataFrame, same_event_date: bool = False) -> DataFrame:
+def insert_if_absent(events: DataFrame, existing: DataFrame, **options: bool) -> DataFrame:
     """Rows of ``events`` that a first-wins insert into ``existing`` would add."""
-    return absent_from(first_arrivals(events), existing, same_event_date=same_event_date)
+    return absent_from(first_arrivals(events), existing, **options)

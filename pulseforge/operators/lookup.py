@@ -82,12 +82,13 @@ def trace_to_source(stored: DataFrame, messages: DataFrame) -> DataFrame:
 def replay_after(messages: DataFrame, checkpoint: DataFrame, group: str) -> DataFrame:
     """Messages past the group's stored offset; all of a partition without one.
 
-    The checkpoint has one row per source partition, so its size is bounded by
-    the topic layout and not by the data; Spark broadcasts it by its own size
-    check."""
+    The checkpoint is keyed by (group, topic, partition): one narrow row per
+    source partition, however much data there is. That bound is what makes the
+    broadcast safe; without it every message would be shuffled to one of a few
+    (topic, partition) groups."""
     marks = checkpoint.where(F.col("consumer_group") == group).select("topic", "partition", "last_offset")
     return (
-        messages.join(marks, ["topic", "partition"], "left")
+        messages.join(F.broadcast(marks), ["topic", "partition"], "left")
         .where(F.col("offset") > F.coalesce("last_offset", F.lit(-1)))
         .drop("last_offset")
         .select(*messages.columns)

@@ -71,18 +71,26 @@ def type_breakdown(anomalies: DataFrame) -> DataFrame:
     )
 
 
-def average_rate(events: DataFrame) -> DataFrame:
+def mean_rate() -> Column:
     """Mean rate to one decimal, half away from zero; NULL when there is none.
     Sum and count stay integers and are divided as decimals, so a mean that
     lies exactly on a half is not moved by binary rounding."""
     whole = "decimal(20,0)"
     mean = F.try_divide(F.sum("heart_rate").cast(whole), F.count("heart_rate").cast(whole))
-    return events.agg(F.round(mean, 1).cast("double").alias("value"))
+    return F.round(mean, 1).cast("double")
 
 
-def p95_rate(events: DataFrame) -> DataFrame:
+def p95() -> Column:
     """Exact 95th percentile with linear interpolation; NULL when there is none."""
-    return events.agg(F.percentile(F.col("heart_rate").cast("int"), 0.95).alias("value"))
+    return F.percentile(F.col("heart_rate").cast("int"), 0.95)
+
+
+def average_rate(events: DataFrame) -> DataFrame:
+    return events.agg(mean_rate().alias("value"))
+
+
+def p95_rate(events: DataFrame) -> DataFrame:
+    return events.agg(p95().alias("value"))
 
 
 def active_customers(events: DataFrame) -> DataFrame:

@@ -25,8 +25,8 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def readings(events: DataFrame) -> DataFrame:
     """Clean readings with their source position."""
     return events.select(
-        F.concat(F.lit("00000000-0000-4000-8000-"), F.lpad(F.col("event_id").cast("string"), 12, "0")).alias("event_id"),
-        F.concat(F.lit("cust_"), F.lpad(F.col("user_id").cast("string"), 5, "0")).alias("customer_id"),
+        F.format_string("00000000-0000-4000-8000-%012d", "event_id").alias("event_id"),
+        F.format_string("cust_%05d", "user_id").alias("customer_id"),
         F.col("ts").cast("timestamp").alias("event_time"),
         (F.lit(40) + F.floor(F.col("value") * 7 / 10)).cast("int").alias("heart_rate"),
         F.lit(TOPIC_RAW).alias("topic"),

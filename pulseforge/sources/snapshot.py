@@ -1,0 +1,86 @@
+"""Small keyed tables that are replaced as a whole, one version per batch.
+
+Two slots alternate. Writing version N reads the newest version below N and
+overwrites the other slot, so the base is intact until N is complete, a retried
+batch repeats exactly the same step, and nothing accumulates.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+SLOTS = (0, 1)
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A Parquet table, or no rows where it has not been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def _slot(spark: SparkSession, path: str, slot: int, schema: T.StructType) -> DataFrame:
+    versioned = T.StructType([*schema.fields, T.StructField("version", T.LongType())])
+    return read_table(spark, f"{path}/slot={slot}", versioned)
+
+
+def _newest(spark: SparkSession, path: str, schema: T.StructType, before: int | None) -> tuple[int, int] | None:
+    """(version, slot) of the newest version below ``before``. ``version`` is a
+    directory, so this looks at no data column."""
+    found = []
+    for slot in SLOTS:
+        rows = _slot(spark, path, slot, schema).select("version")
+        if before is not None:
+            rows = rows.where(F.col("version") < before)
+        version = rows.agg(F.max("version")).first()[0]
+        if version is not None:
+            found.append((version, slot))
+    return max(found) if found else None
+
+
+def read(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame:
+    newest = _newest(spark, path, schema, before)
+    if newest is None:
+        return spark.createDataFrame([], schema)
+    version, slot = newest
+    return _slot(spark, path, slot, schema).where(F.col("version") == version).drop("version")
+
+
+def next_version(spark: SparkSession, path: str, schema: T.StructType) -> int:
+    newest = _newest(spark, path, schema, None)
+    return 0 if newest is None else newest[0] + 1
+
+
+def upsert(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    updates: DataFrame,
+    key: Sequence[str],
+    version: int,
+) -> None:
+    """Write version ``version``: the newest earlier one with ``updates``
+    (unique on ``key``) inserted or, unconditionally, put in place of the old
+    rows. A version without rows is not visible, which reads as unchanged."""
+    newest = _newest(spark, path, schema, before=version)
+    updates = updates.select(*schema.names)
+    merged, target = updates, SLOTS[0]
+    if newest is not None:
+        base_version, base_slot = newest
+        base = _slot(spark, path, base_slot, schema).where(F.col("version") == base_version).drop("version")
+        merged = base.join(updates, list(key), "left_anti").select(*schema.names).unionByName(updates)
+        target = SLOTS[1] if base_slot == SLOTS[0] else SLOTS[0]
+    (
+        merged.withColumn("version", F.lit(version).cast("bigint"))
+        .write.mode("overwrite")
+        .partitionBy("version")
+        .parquet(f"{path}/slot={target}")
+    )
