@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from pulseforge.config import DEFAULTS, Settings
+from pulseforge.operators import decode, metrics, route
 from pulseforge.plans import pipeline
+from pulseforge.sources import sinks
 from pulseforge.sources.tables import Tables
 
 # Fixed value: readings may be back-dated by up to eight seconds.
@@ -23,6 +26,10 @@ def _start(writer: DataStreamWriter, checkpoint: str, available_now: bool, inter
     return writer.trigger(**trigger).start()
 
 
+def _query_name(group: str) -> str:
+    return group.replace(".", "_").replace("-", "_")
+
+
 def start_writer(
     messages: DataFrame,
     tables: Tables,
@@ -43,7 +50,88 @@ def start_writer(
         if on_counters:
             on_counters(batch_id, counters)
 
-    writer = messages.writeStream.queryName(settings.group_writer.replace(".", "_").replace("-", "_"))
+    writer = messages.writeStream.queryName(_query_name(settings.group_writer))
+    return _start(writer.foreachBatch(batch), checkpoint, available_now, interval)
+
+
+def _first_arrivals(valid: DataFrame) -> DataFrame:
+    """Stateful first-wins: one row per key met in the batch, new or not.
+
+    A streaming aggregation combines copies before the shuffle, so a key with
+    very many copies costs one row per task. ``first`` is the row that won when
+    the key was first met; ``last`` is its newest delivery. Both start with the
+    batch's own time, so they share it exactly when the key is new.
+    """
+    arrival = ("batch_time", "source_topic", "source_partition", "source_offset")
+    return (
+        valid.withColumn("batch_time", F.current_timestamp())
+        .groupBy("customer_id", "event_id")
+        .agg(
+            F.min(F.struct(*arrival, "event_time", "heart_rate")).alias("first"),
+            F.max(F.struct(*arrival)).alias("last"),
+        )
+    )
+
+
+def start_stateful_writer(
+    messages: DataFrame,
+    tables: Tables,
+    checkpoint: str,
+    settings: Settings = DEFAULTS,
+    available_now: bool = False,
+    interval: str = "10 seconds",
+) -> StreamingQuery:
+    """The writer with its keys in the state store rather than in the table.
+
+    ``start_writer`` compares every batch with the keys of the whole events
+    table, which grows for ever. Here the work per batch depends on the batch
+    alone: known keys live in the (RocksDB) state store, spread over the
+    executors by key. Use it for long-running streams into a table that only it
+    writes. Counters are reported as the query's observed metrics ``accepted``
+    and ``rejected``.
+
+    Progress marks come from the keys met in each batch, so they are exact as
+    long as one event is not delivered on two source partitions within one
+    batch, which keyed publishing rules out; otherwise they may lag, never lead.
+    """
+    routed = route.route_messages(decode.decode_messages(messages), settings)
+    valid = route.valid_events(routed).observe("accepted", F.count(F.lit(1)).alias("inserted"))
+    rejected = routed.where(F.col("route") != route.VALID).observe(
+        "rejected",
+        F.count_if(F.col("route") == route.VALIDATION).alias("invalid"),
+        F.count_if(F.col("route") == route.PROCESSING).alias("dlq"),
+    )
+    merged = (
+        _first_arrivals(valid)
+        .withColumn("route", F.lit(route.VALID))
+        .unionByName(rejected.select("route", "raw", "error"), allowMissingColumns=True)
+    )
+
+    def batch(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            sinks.publish_quarantine(rows, tables, batch_id, settings)
+            met = rows.where(F.col("route") == route.VALID)
+            fresh = met.where(F.col("first.batch_time") == F.col("last.batch_time"))
+            sinks.write_events(
+                route.valid_events(
+                    fresh.select(
+                        "route", "event_id", "customer_id", "first.event_time", "first.heart_rate",
+                        F.col("first.source_topic").alias("topic"),
+                        F.col("first.source_partition").alias("partition"),
+                        F.col("first.source_offset").alias("offset"),
+                    )
+                ),
+                tables,
+                batch_id,
+            )
+            marks = metrics.high_water_marks(met.select("last.*"), settings.group_writer)
+            sinks.upsert_checkpoint(spark, marks, tables, version=batch_id)
+        finally:
+            rows.unpersist()
+
+    writer = merged.writeStream.outputMode("update").queryName(_query_name(settings.group_writer))
     return _start(writer.foreachBatch(batch), checkpoint, available_now, interval)
 
 
@@ -61,7 +149,7 @@ def start_detector(
     def batch(rows: DataFrame, batch_id: int) -> None:
         pipeline.detect(rows.sparkSession, rows, tables, batch_id, settings)
 
-    writer = messages.writeStream.queryName(settings.group_detector.replace(".", "_").replace("-", "_"))
+    writer = messages.writeStream.queryName(_query_name(settings.group_detector))
     return _start(writer.foreachBatch(batch), checkpoint, available_now, interval)
 
 
@@ -79,9 +167,7 @@ def minute_counts(rows: DataFrame, lateness: str = LATENESS) -> DataFrame:
 
 def interval_throughput(rows: DataFrame, settings: Settings = DEFAULTS, lateness: str = LATENESS) -> DataFrame:
     """Streaming twin of ``operators.metrics.throughput``."""
-    from pulseforge.operators.metrics import throughput
-
-    return throughput(rows.withWatermark("event_time", lateness), settings)
+    return metrics.throughput(rows.withWatermark("event_time", lateness), settings)
 
 
 def active_customer_estimate(

@@ -1,0 +1,33 @@
+import pytest
+
+from pulseforge import Settings
+
+
+def test_defaults():
+    s = Settings()
+    assert (s.heart_rate_min, s.heart_rate_max) == (45, 185)
+    assert (s.anomaly_low_threshold, s.anomaly_high_threshold, s.anomaly_spike_delta) == (50, 140, 30)
+
+
+@pytest.mark.parametrize(
+    "bad",
+    [{"heart_rate_min": -1}, {"heart_rate_max": 0}, {"anomaly_low_threshold": -1}, {"anomaly_high_threshold": 0},
+     {"anomaly_spike_delta": 0}, {"heart_rate_min": "45"}, {"heart_rate_min": True}, {"lookback_chunk": 0}],
+)
+def test_out_of_range(bad):
+    with pytest.raises(ValueError):
+        Settings(**bad)
+
+
+def test_no_cross_field_check():
+    assert Settings(heart_rate_min=200, heart_rate_max=100).heart_rate_min == 200
+
+
+def test_from_environment_text():
+    s = Settings.from_mapping({"ANOMALY_SPIKE_DELTA": "12", "KAFKA_TOPIC_RAW": "t", "UNRELATED": "x"})
+    assert (s.anomaly_spike_delta, s.topic_raw, s.heart_rate_min) == (12, "t", 45)
+
+
+def test_frozen():
+    with pytest.raises(Exception):
+        Settings().heart_rate_min = 3
