@@ -17,10 +17,11 @@ def iso_zulu(instant: Column) -> Column:
 
 
 def _iso(instant: Column, zone: str) -> Column:
-    whole = F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.pmod(F.unix_micros(instant), F.lit(1_000_000))
-    fraction = F.when(micros == 0, F.lit("")).otherwise(F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0")))
-    return F.concat(whole, fraction, F.lit(zone))
+    """A cast to text already writes no fraction when it is zero; a shorter
+    fraction than six digits is filled up."""
+    plain = F.translate(instant.cast("string"), " ", "T")
+    size = F.length(plain)
+    return F.concat(F.when((size > 19) & (size < 26), F.rpad(plain, 26, "0")).otherwise(plain), F.lit(zone))
 
 
 def event_json(event_id: Column, customer_id: Column, timestamp: Column, heart_rate: Column) -> Column:

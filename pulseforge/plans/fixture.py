@@ -24,48 +24,29 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def readings(events: DataFrame) -> DataFrame:
     """Clean readings with their source position."""
-    return events.select(
-        F.format_string("00000000-0000-4000-8000-%012d", "event_id").alias("event_id"),
-        F.format_string("cust_%05d", "user_id").alias("customer_id"),
-        F.col("ts").cast("timestamp").alias("event_time"),
-        (F.lit(40) + F.floor(F.col("value") * 7 / 10)).cast("int").alias("heart_rate"),
-        F.lit(TOPIC_RAW).alias("topic"),
-        (F.col("user_id") % PARTITIONS).cast("int").alias("partition"),
-        F.col("event_id").alias("offset"),
+    return events.selectExpr(
+        "'00000000-0000-4000-8000-' || lpad(CAST(event_id AS STRING), 12, '0') AS event_id",
+        "'cust_' || lpad(CAST(user_id AS STRING), greatest(5, length(CAST(user_id AS STRING))), '0') AS customer_id",
+        "CAST(ts AS TIMESTAMP) AS event_time",
+        "CAST(40 + floor(value * 7 / 10) AS INT) AS heart_rate",
+        f"'{TOPIC_RAW}' AS topic",
+        f"CAST(user_id % {PARTITIONS} AS INT) AS partition",
+        "event_id AS `offset`",
     )
 
 
 def raw_messages(events: DataFrame) -> DataFrame:
     """JSON messages with faults, in the raw source layout."""
-    fault = F.pmod(F.col("offset"), F.lit(100))
-    rate = F.col("heart_rate").cast("string")
-    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
-    member = lambda name, c: F.concat(F.lit(f', "{name}": '), c)
-    customer = (
-        F.when(fault == 1, F.lit("   "))
-        .when(fault == 4, F.concat(F.lit(" "), F.col("customer_id"), F.lit("\\t ")))
-        .when(fault == 5, F.concat(F.col("customer_id"), F.lit("x" * 64)))
-        .otherwise(F.col("customer_id"))
-    )
-    value = F.concat(
-        F.lit('{"event_id": '),
-        quoted(F.when(fault == 6, F.lit("not-a-uuid")).otherwise(F.col("event_id"))),
-        member("customer_id", quoted(customer)),
-        member("timestamp", quoted(F.when(fault == 7, F.lit("yesterday")).otherwise(text.iso_zulu(F.col("event_time"))))),
-        F.when(fault == 8, F.lit("")).otherwise(
-            member(
-                "heart_rate",
-                F.when(fault == 2, F.lit("null"))
-                .when(fault == 3, quoted(rate))
-                .when(fault == 9, F.concat(rate, F.lit(".5")))
-                .otherwise(rate),
-            )
-        ),
-        F.when(fault == 0, F.lit("")).otherwise(F.lit("}")),
-    )
-    return readings(events).select(
-        F.col("customer_id").alias("key"),
-        value.alias("value"),
-        "topic", "partition", "offset",
-        F.col("event_time").alias("timestamp"),
+    faulty = readings(events).select("*", text.iso_zulu(F.col("event_time")).alias("iso")).selectExpr(
+        "*", "`offset` % 100 AS fault", "CAST(heart_rate AS STRING) AS rate"
     )
+    value = r"""concat(
+        '{"event_id": "', CASE WHEN fault = 6 THEN 'not-a-uuid' ELSE event_id END,
+        '", "customer_id": "',
+        CASE fault WHEN 1 THEN '   ' WHEN 4 THEN ' ' || customer_id || r'\t '
+                   WHEN 5 THEN customer_id || repeat('x', 64) ELSE customer_id END,
+        '", "timestamp": "', CASE WHEN fault = 7 THEN 'yesterday' ELSE iso END, '"',
+        CASE WHEN fault = 8 THEN '' ELSE ', "heart_rate": ' ||
+            CASE fault WHEN 2 THEN 'null' WHEN 3 THEN '"' || rate || '"' WHEN 9 THEN rate || '.5' ELSE rate END END,
+        CASE WHEN fault = 0 THEN '' ELSE '}' END) AS value"""
+    return faulty.selectExpr("customer_id AS key", value, "topic", "partition", "`offset`", "event_time AS timestamp")

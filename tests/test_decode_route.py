@@ -91,6 +91,19 @@ def test_routes_partition_the_input(routed):
     assert c.consumed == len(CASES) == c.inserted + c.invalid + c.dlq
 
 
+@pytest.mark.parametrize("change", [" ", "extra"])
+def test_producer_form_and_general_form_agree(spark, change):
+    """The pattern path and the JSON path give the same readings."""
+    times = ["2026-02-22T09:07:09.697930Z", "2026-02-22 09:07:09", "2026-02-22T09:07:09.5+05:30", "2026-13-01T00:00:00Z"]
+    values = [doc(i, customer=c, rate=r, time=t) for i, (c, r, t) in enumerate(
+        (c, r, t) for c in ("cust_00001", "a}b{c", "x" * 70) for r in (0, 44, 70, 250, 251, 999999999) for t in times)]
+    values += [v.replace(": ", ":").replace(", ", ",") for v in values] + [v.upper().replace("EVENT_ID", "event_id") for v in values[:3]]
+    general = [" " + v if change == " " else v[:-1] + ', "x": [1]}' for v in values]
+    columns = ("offset", "route", "event_id", "customer_id", "event_time", "heart_rate", "reasons", "error")
+    run = lambda v: sorted(map(repr, route.route_messages(decode.decode_messages(messages(spark, v))).select(*columns).collect()))
+    assert run(values) == run(general)
+
+
 def test_error_texts(routed):
     errors = {r.raw: r.error for r in routed.where("error is not null").collect()}
     assert errors[doc(1, customer="")] == "customer_id cannot be empty or whitespace"
