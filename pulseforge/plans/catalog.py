@@ -32,7 +32,7 @@ def _source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture.raw_messages(_source(spark, sf_dir))
+    return fixture.raw_messages(fixture.spread(_source(spark, sf_dir)))
 
 
 def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:

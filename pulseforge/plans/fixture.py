@@ -22,6 +22,13 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
+def spread(events: DataFrame) -> DataFrame:
+    """Deal the rows of a small table to all cores. One small file is a single
+    scan task; a table with at least one task per core is left as it is."""
+    cores = events.sparkSession.sparkContext.defaultParallelism
+    return events.repartition(cores) if events.rdd.getNumPartitions() < cores else events
+
+
 def readings(events: DataFrame) -> DataFrame:
     """Clean readings with their source position."""
     return events.selectExpr(
