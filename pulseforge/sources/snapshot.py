@@ -7,6 +7,7 @@ batch repeats exactly the same step, and nothing accumulates.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SLOTS = (0, 1)
+VERSION = re.compile(r"/version=(\d+)/")
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -33,17 +35,13 @@ def _slot(spark: SparkSession, path: str, slot: int, schema: T.StructType) -> Da
 
 
 def _newest(spark: SparkSession, path: str, schema: T.StructType, before: int | None) -> tuple[int, int] | None:
-    """(version, slot) of the newest version below ``before``. ``version`` is a
-    directory, so this looks at no data column."""
+    """(version, slot) of the newest version below ``before``. A version is a
+    directory, so the file listing answers this and no job is run."""
     found = []
     for slot in SLOTS:
-        rows = _slot(spark, path, slot, schema).select("version")
-        if before is not None:
-            rows = rows.where(F.col("version") < before)
-        version = rows.agg(F.max("version")).first()[0]
-        if version is not None:
-            found.append((version, slot))
-    return max(found) if found else None
+        files = _slot(spark, path, slot, schema).inputFiles()
+        found += {(int(match[1]), slot) for match in (VERSION.search(name) for name in files) if match}
+    return max((f for f in found if before is None or f[0] < before), default=None)
 
 
 def read(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame:

@@ -153,6 +153,13 @@ def start_detector(
     return _start(writer.foreachBatch(batch), checkpoint, available_now, interval)
 
 
+def drop_recent_repeats(valid: DataFrame, horizon: str) -> DataFrame:
+    """First-wins within ``horizon`` of event time only. State is dropped as
+    the watermark advances; a repeat that comes later passes. The writers above
+    have no such limit."""
+    return valid.withWatermark("event_time", horizon).dropDuplicatesWithinWatermark(["customer_id", "event_id"])
+
+
 def minute_counts(rows: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """Rows per minute over a stream; a minute is final once the watermark
     passes its end, and rows later than that are dropped from this output."""

@@ -1,4 +1,7 @@
-"""Every named query against the same question in SQL."""
+"""Every named query against the same question in SQL. ``ORACLE_SF`` lists other
+scales, for example ``sf0.001,sf0.1``."""
+
+import os
 
 import pytest
 
@@ -7,7 +10,7 @@ from compare import compare, connect
 from conftest import TESTDATA
 
 
-@pytest.fixture(scope="module", params=["sf0.001", "sf0.01"])
+@pytest.fixture(scope="module", params=os.environ.get("ORACLE_SF", "sf0.01").split(","))
 def side(request):
     sf_dir = f"{TESTDATA}/{request.param}"
     return sf_dir, connect(sf_dir)

@@ -118,6 +118,12 @@ def test_minute_counts_stream(spark, feed, tmp_path):
     assert out.agg({"value": "sum"}).first()[0] == 783
 
 
+def test_bounded_dedup_stream(spark, feed, tmp_path):
+    twice = raw.stream_files(spark, feed).unionByName(raw.stream_files(spark, feed))
+    valid = route.valid_events(route.route_messages(decode.decode_messages(twice)))
+    assert drain(spark, streams.drop_recent_repeats(valid, "1 hour"), tmp_path).count() == 784
+
+
 def test_active_customer_stream(spark, feed, tmp_path):
     valid = route.valid_events(route.route_messages(decode.decode_messages(raw.stream_files(spark, feed))))
     out = drain(spark, streams.active_customer_estimate(valid, "10 days", "10 days"), tmp_path)
