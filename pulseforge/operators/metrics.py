@@ -1,15 +1,15 @@
 """Dashboard panels, counters and time filters.
 
 Every aggregate is partial on the map side. Counts per minute, per type and per
-partition reduce to a handful of rows per task; the exact percentile keeps one
-counter per distinct rate (at most 251).
+partition reduce to a handful of rows per task; mean and exact percentile work
+on counts per distinct rate (at most 251).
 """
 
 from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulseforge.config import DEFAULTS, Settings
@@ -71,26 +71,49 @@ def type_breakdown(anomalies: DataFrame) -> DataFrame:
     )
 
 
-def mean_rate() -> Column:
-    """Mean rate to one decimal, half away from zero; NULL when there is none.
-    Sum and count stay integers and are divided as decimals, so a mean that
-    lies exactly on a half is not moved by binary rounding."""
+def rate_stats(events: DataFrame, *keys: str, fraction: float = 0.95) -> DataFrame:
+    """``average`` (one decimal, half away from zero) and exact ``p95`` rate per
+    key; NULL when there is no reading.
+
+    Readings are first counted per distinct rate, which leaves at most 251 rows
+    per key whatever the number of readings; the rest works on those. The mean
+    divides integer sums as decimals, so one that lies exactly on a half is not
+    moved by binary rounding. The percentile interpolates as the database does,
+    ``low + share * (high - low)``: a weighted sum can differ in the last bit,
+    which is enough to change a colour band.
+    """
+    counts = (
+        events.where(F.col("heart_rate").isNotNull())
+        .groupBy(*keys, F.col("heart_rate").cast("int").alias("_rate"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    per_key = Window.partitionBy(*keys)
+    position = F.lit(fraction) * (F.sum("_n").over(per_key) - 1)
+    placed = counts.withColumns({
+        "_upto": F.sum("_n").over(per_key.orderBy("_rate").rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "_position": position,
+    })
+    reached = lambda rank: F.min(F.when(F.col("_upto") > rank, F.col("_rate")))
     whole = "decimal(20,0)"
-    mean = F.try_divide(F.sum("heart_rate").cast(whole), F.count("heart_rate").cast(whole))
-    return F.round(mean, 1).cast("double")
-
-
-def p95() -> Column:
-    """Exact 95th percentile with linear interpolation; NULL when there is none."""
-    return F.percentile(F.col("heart_rate").cast("int"), 0.95)
+    mean = F.try_divide(F.sum(F.col("_rate") * F.col("_n")).cast(whole), F.sum("_n").cast(whole))
+    stats = placed.groupBy(*keys).agg(
+        F.round(mean, 1).cast("double").alias("average"),
+        reached(F.floor("_position")).cast("double").alias("_low"),
+        reached(F.ceil("_position")).cast("double").alias("_high"),
+        F.max("_position").alias("_position"),
+    )
+    share = F.col("_position") - F.floor("_position")
+    return stats.select(
+        *keys, "average", (F.col("_low") + share * (F.col("_high") - F.col("_low"))).alias("p95")
+    )
 
 
 def average_rate(events: DataFrame) -> DataFrame:
-    return events.agg(mean_rate().alias("value"))
+    return rate_stats(events).select(F.col("average").alias("value"))
 
 
 def p95_rate(events: DataFrame) -> DataFrame:
-    return events.agg(p95().alias("value"))
+    return rate_stats(events).select(F.col("p95").alias("value"))
 
 
 def active_customers(events: DataFrame) -> DataFrame:

@@ -202,14 +202,11 @@ def _panel(panel: Callable[[DataFrame], DataFrame], width: timedelta) -> Query:
 
 def stat_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both rate panels and their colours, per customer."""
-    stats = _valid(spark, sf_dir).groupBy("customer_id").agg(
-        metrics.mean_rate().alias("average"), metrics.p95().alias("p95")
-    )
-    return stats.select(
+    return metrics.rate_stats(_valid(spark, sf_dir), "customer_id").select(
         "customer_id",
         "average",
         metrics.average_band(F.col("average")).alias("average_band"),
-        F.round("p95", 6).alias("p95"),
+        "p95",
         metrics.p95_band(F.col("p95")).alias("p95_band"),
     )
 

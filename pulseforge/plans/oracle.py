@@ -92,7 +92,13 @@ MARKS = """SELECT 'cg.db-writer.v1' AS consumer_group, 'events.raw.v1' AS topic,
   max(off) AS last_offset FROM valid"""
 EARLIER = "event_time < TIMESTAMP '2024-01-16'"
 MEAN = "CAST(round(CAST(sum(rate) AS DECIMAL(18,0)) / nullif(count(*), 0), 1) AS DOUBLE)"
-P95 = "quantile_cont(CAST(rate AS DOUBLE), 0.95)"
+# percentile_cont as the dashboards' database computes it, low + share * (high - low).
+# DuckDB's own quantile_cont interpolates with other arithmetic and can differ in the last bit.
+_SORTED = "list_sort(list(CAST(rate AS DOUBLE)))"
+_POSITION = "(CAST(0.95 AS DOUBLE) * (count(*) - 1))"
+_LOW = f"{_SORTED}[CAST(floor({_POSITION}) AS BIGINT) + 1]"
+_HIGH = f"{_SORTED}[CAST(ceil({_POSITION}) AS BIGINT) + 1]"
+P95 = f"({_LOW} + ({_POSITION} - floor({_POSITION})) * ({_HIGH} - {_LOW}))"
 MINUTE = "date_trunc('minute', event_time)"
 INTERVAL5 = "time_bucket(INTERVAL 5 SECOND, event_time)"
 
@@ -185,7 +191,7 @@ ORACLE: dict[str, str] = {
         SELECT customer AS customer_id, {MEAN} AS average, {P95} AS p95 FROM valid GROUP BY customer)
         SELECT customer_id, average,
           {_band('average', 'blue', ((60, 'green'), (120, 'orange'), (140, 'red')))} AS average_band,
-          round(p95, 6) AS p95, {_band('p95', 'green', ((130, 'yellow'), (160, 'red')))} AS p95_band FROM stats""",
+          p95, {_band('p95', 'green', ((130, 'yellow'), (160, 'red')))} AS p95_band FROM stats""",
     "recent_anomalies": f"""{BASE} SELECT event_time, customer AS customer_id, rate AS heart_rate, anomaly_type, severity
         FROM anomaly ORDER BY event_time DESC, uid LIMIT 20""",
     "last_n_readings": f"""{BASE} SELECT customer AS customer_id,
