@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pulseforge.llm import langid, mixing, packing, repeats, token_counts
+from pulseforge.llm import langid, mixing, packing, repeats, similar, token_counts
 
 QUERIES = {
     "op1_token_length_histogram": token_counts.op1_token_length_histogram,
     "op2_language_id": langid.op2_language_id,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
+    "op7_ngram_jaccard_join": similar.op7_ngram_jaccard_join,
     "op8_substring_dedup": repeats.op8_substring_dedup,
     "op4_mix_sources": mixing.op4_mix_sources,
 }
