@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pulseforge.llm import fingerprint, langid, mixing, packing, repeats, similar, token_counts
+from pulseforge.llm import fingerprint, langid, mixing, neighbours, packing, repeats, similar, token_counts
 
 QUERIES = {
     "op1_token_length_histogram": token_counts.op1_token_length_histogram,
@@ -11,6 +11,7 @@ QUERIES = {
     "op7_ngram_jaccard_join": similar.op7_ngram_jaccard_join,
     "op8_substring_dedup": repeats.op8_substring_dedup,
     "op9_merkle_fingerprints": fingerprint.op9_merkle_fingerprints,
+    "op10_graph_neighbours": neighbours.op10_graph_neighbours,
     "op4_mix_sources": mixing.op4_mix_sources,
 }
 
