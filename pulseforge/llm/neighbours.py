@@ -167,12 +167,12 @@ def _pack(table: pa.Table) -> tuple[bytes, bytes]:
     return table["vec_id"].to_numpy().tobytes(), vectors.tobytes()
 
 
-def _build_shard(key, table: pa.Table) -> pa.Table:
+def _build_shard(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     dim, shard = (k.as_py() for k in key)
     ids, raw = _pack(table)
     longest = table["longest"][0].as_py()
     graph, start = build(_longer(np.frombuffer(raw).reshape(-1, dim), longest))
-    return pa.table({"dim": [dim], "shard": pa.array([shard], pa.int32()), "ids": [ids], "vectors": [raw], "graph": [graph.astype(np.int32).tobytes()], "start": pa.array([start], pa.int32()), "longest": [longest]})
+    return pa.table({"dim": pa.array([dim], pa.int32()), "shard": pa.array([shard], pa.int32()), "ids": pa.array([ids], pa.binary()), "vectors": pa.array([raw], pa.binary()), "graph": [graph.astype(np.int32).tobytes()], "start": pa.array([start], pa.int32()), "longest": [longest]})
 
 
 def _longer(vectors: np.ndarray, longest: float) -> np.ndarray:
@@ -180,9 +180,9 @@ def _longer(vectors: np.ndarray, longest: float) -> np.ndarray:
     return (np.column_stack([vectors, rest]) / (longest or 1)).astype(np.float32)
 
 
-def _pack_queries(key, table: pa.Table) -> pa.Table:
+def _pack_queries(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     ids, raw = _pack(table)
-    return pa.table({"dim": [key[0].as_py()], "block": pa.array([key[1].as_py()], pa.int32()), "query_ids": [ids], "queries": [raw]})
+    return pa.table({"dim": pa.array([key[0].as_py()], pa.int32()), "block": pa.array([key[1].as_py()], pa.int32()), "query_ids": [ids], "queries": [raw]})
 
 
 def _search(pairs: DataFrame, top: int, beam: int) -> DataFrame:
