@@ -293,7 +293,8 @@ def similar(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECAL
     sizes = members.groupBy("cluster").agg(F.count("*").alias("n"), F.sum("grams").alias("g"))
     parts = F.ceil(F.greatest(F.col("n") / BLOCK_NODES, F.col("g") / BLOCK_GRAMS)).cast("int").alias("parts")
     wanted = members.join(sizes.select("cluster", parts), "cluster").select("cluster", "parts", "node", "copies", F.col("doc._id").alias("_id"), F.col("doc._th").alias("_th"))
-    sets = _with_sets(keyed.join(wanted, ["_id", "_th"]), ngram)
+    # The wanted rows grow with the corpus: join by sorting at every size.
+    sets = _with_sets(keyed.hint("merge").join(wanted, ["_id", "_th"]), ngram)
     checked = written(_verify(_against(sets, F.col("parts")), threshold), "links")
 
     # Classes: the roots found are final where one task saw the whole cluster.
