@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pulseforge.llm import fingerprint, langid, mixing, neighbours, packing, repeats, similar, token_counts, toxicity
+from pulseforge.llm import fingerprint, langid, main_text, mixing, neighbours, packing, repeats, similar, token_counts, toxicity
 
 QUERIES = {
     "op1_token_length_histogram": token_counts.op1_token_length_histogram,
@@ -13,6 +13,7 @@ QUERIES = {
     "op9_merkle_fingerprints": fingerprint.op9_merkle_fingerprints,
     "op10_graph_neighbours": neighbours.op10_graph_neighbours,
     "op5_toxicity": toxicity.op5_toxicity,
+    "op6_main_text": main_text.op6_main_text,
     "op4_mix_sources": mixing.op4_mix_sources,
 }
 
