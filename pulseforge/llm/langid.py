@@ -176,8 +176,11 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 def recognised(docs: DataFrame, model: Model, least: float = LEAST_SCORE) -> DataFrame:
     """The rows of ``docs`` whose language is recognised: not ``und``, and with a
     score of ``least`` or more."""
-    rows = predict(docs.select(*[F.col(f"`{c}`") for c in docs.columns]), model)
-    return rows.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).select(*docs.columns)
+    # Columns travel under other names, so that none can clash.
+    names = {c: c if c == "text" else f"_{i}" for i, c in enumerate(docs.columns)}
+    rows = predict(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), model)
+    rows = rows.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least))
+    return rows.select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
 def learnt(docs: DataFrame) -> Column:

@@ -43,25 +43,14 @@ def targets(totals: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float
     return rows.select("source", "source_size", F.coalesce(F.least("_limit", level * F.col("_weight")), F.col("_limit")).alias("target"))
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float = BUDGET, repeats: float = REPEATS, seed: int = 7) -> DataFrame:
-    """Every row with ``size``, ``source_size``, ``target`` and ``copies``.
-
-    The size is the number of words (null text: 0). A source's rate is its target
-    over its size; a document is taken floor(rate) times, and once more with the
-    probability of the fraction. That draw is a hash of the seed, the source,
-    the document and, for repeated rows, nothing else: equal rows fare alike and
-    reruns agree. Documents above ``LARGE_SHARE`` of their source (at most
-    1 / LARGE_SHARE of them) are drawn one after another by size from one hashed
-    start, each with the same probability, which keeps the source near its target
-    although few documents may hold most of its words. Null sources are one
-    source; a source without words, and an empty table, take nothing.
-    """
+def _drawn(rows: DataFrame, weights: Sequence[float], budget: float, repeats: float, seed: int) -> DataFrame:
+    """``rows`` (``doc_id``, ``text``, ``source`` and what else is to be carried)
+    with ``size``, ``source_size``, ``target``, ``copies``."""
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
-    rows = docs.withColumn("size", size)
+    rows = rows.withColumn("size", size)
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    goals = targets(totals, weights, budget, repeats)
-    # One row per source.
-    rows = rows.join(goals.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
+    goals = targets(totals, weights, budget, repeats).withColumnRenamed("source", "_source")
+    rows = rows.join(goals, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     rows = rows.withColumn("_whole", F.floor(rate)).withColumn("_part", rate - F.floor(rate))
     mark = [F.lit(str(seed)), F.col("source")]
@@ -70,17 +59,36 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float = BUD
     by_size = Window.partitionBy("source").orderBy(F.col("size").desc(), "doc_id", F.md5(F.col("text").cast("binary")))
     step = F.row_number().over(by_size) * F.col("_part") + unit_hash(*mark)
     together = rows.where(large).withColumn("_more", F.floor(step) > F.floor(step - F.col("_part")))
-    return alone.unionByName(together).withColumn("copies", F.col("_whole") + F.col("_more").cast("long")).drop("_whole", "_part", "_more")
+    return alone.unionByName(together).withColumn("copies", F.col("_whole") + F.col("_more").cast("long"))
+
+
+def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float = BUDGET, repeats: float = REPEATS, seed: int = 7) -> DataFrame:
+    """What every row gives to the mixture: ``doc_id``, ``source``, ``size``,
+    ``source_size``, ``target``, ``copies``.
+
+    The size is the number of words (null text: 0). A source's rate is its target
+    over its size; a document is taken floor(rate) times, and once more with the
+    probability of the fraction. That draw is a hash of the seed, the source and
+    the doc_id, so reruns agree. Documents above ``LARGE_SHARE`` of their source
+    (at most 1 / LARGE_SHARE of them) are drawn one after another by size from one
+    hashed start, each with the same probability, which keeps the source near its
+    target although few documents may hold most of its words. Null sources are one
+    source, null ids one id; repeated rows count each; extra columns are left out.
+    A source without words takes nothing; an empty table gives no rows.
+    """
+    rows = _drawn(pick(docs, "doc_id", "text", "source"), weights, budget, repeats, seed)
+    return rows.select("doc_id", "source", "size", "source_size", "target", "copies")
 
 
-def emit(docs: DataFrame, **options) -> DataFrame:
-    """The mixture itself: the rows of ``docs`` as often as they are taken."""
-    rows = mix(docs, **options).where("copies > 0")
-    return rows.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy")).drop("_copy")
+def emit(docs: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float = BUDGET, repeats: float = REPEATS, seed: int = 7) -> DataFrame:
+    """The mixture itself: the rows of ``docs``, all columns, as often as they are
+    taken (see ``mix``)."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text", "source")
+    rows = _drawn(rows, weights, budget, repeats, seed).where("copies > 0")
+    return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
 
 
 def op4_mix_sources(spark, sf_dir: str) -> DataFrame:
     """What each document gives to the mixture of all sources."""
-    docs = pick(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text", "source")
-    rows = mix(docs)
+    rows = mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))

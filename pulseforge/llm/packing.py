@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulseforge.llm import tokens
-from pulseforge.llm.common import blocks, pick, written
+from pulseforge.llm.common import blocks, written
 
 SIZE = 1024
 _SALTS = 1 << 20
@@ -42,7 +42,7 @@ def pieces(docs: DataFrame, size: int = SIZE, with_ids: bool = False) -> DataFra
             names = ("doc_id", "piece", "start", "length", "ids_crc32", "ids", "_salt")
             yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
-    out = pick(docs, "doc_id", "text").mapInArrow(cut, _PIECES)
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, _PIECES)
     return out if with_ids else out.drop("ids")
 
 

@@ -212,10 +212,11 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     words, if its words also stand in a row at any other place of any document,
     the same one included; windows are judged on the input. ``kept_text`` has the
     words left, joined by one blank. Null and empty texts have no words; repeated
-    rows repeat one another; an empty table gives no rows. Extra columns stay.
+    rows repeat one another; an empty table gives no rows. Extra columns stay, but
+    those named like a result.
     """
     found = runs(docs, min_words).groupBy("_id", "_th").agg(F.collect_list(F.struct("low", "high")).alias("_runs"))
-    names = docs.columns
+    names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text")]
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names if c != "text"]).alias("_rest"), F.col("text").isNull().alias("_null"), text.alias("text"))
     rows = rows.withColumn("_id", F.coalesce(F.col("_rest.doc_id").cast("long"), F.lit(0))).withColumn("_th", F.xxhash64("text"))

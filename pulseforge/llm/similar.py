@@ -317,10 +317,10 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     equal in id and text, any."""
     found = similar(docs, **options)
     kept = found.select(F.col("_class_id").alias("_id"), F.col("_class_th").alias("_th")).distinct()
-    id_, th = row_key(F.col("doc_id"), F.col("text"))
-    rows = docs.withColumn("_id", id_).withColumn("_th", th).join(kept, ["_id", "_th"], "left_semi")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(row, *row_key(F.col("doc_id"), F.col("text"))).join(kept, ["_id", "_th"], "left_semi")
     one = Window.partitionBy("_id", "_th").orderBy(F.lit(1))
-    return rows.withColumn("_n", F.row_number().over(one)).where("_n = 1").select(*docs.columns)
+    return rows.withColumn("_n", F.row_number().over(one)).where("_n = 1").select("row.*")
 
 
 def op7_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulseforge.llm import running, tokens
-from pulseforge.llm.common import blocks, pick
+from pulseforge.llm.common import blocks
 
 
 def lengths(docs: DataFrame, text: str = "text", end_token: bool = True) -> DataFrame:

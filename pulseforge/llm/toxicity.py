@@ -155,13 +155,13 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, bound: int = FIT_DOCU
     chi-squared against the label is ``LEAST_CHI2`` or more, the ``WORDS`` best.
     All that reaches the driver is bounded by these parameters.
     """
-    known = labels.where(learn & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = labels.where(learn & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     rate = {t: min(1.0, bound / n) for t, n in sizes.items()}
     share = F.when(F.col("toxic") == 1, F.lit(rate.get(1, 1.0))).otherwise(F.lit(rate.get(0, 1.0)))
     picked = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * (1 << 30))
     # At most about twice ``bound`` rows.
-    rows = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    rows = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(picked), "doc_id")
     rows = written(rows.mapInArrow(_counted, "doc_id long, toxic int, words map<string, int>"), "examples")
 
     seen = rows.select("toxic", F.explode(F.map_keys("words")).alias("word")).groupBy("word")
@@ -230,7 +230,7 @@ def score(docs: DataFrame, index: Examples) -> DataFrame:
                 "evidence": pa.array(evidence, kind),
             })
 
-    return pick(docs, "doc_id", "text").mapInArrow(find, "doc_id long, score double, predicted int, evidence array<struct<doc_id:long,toxic:int,cosine:double>>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(find, "doc_id long, score double, predicted int, evidence array<struct<doc_id:long,toxic:int,cosine:double>>")
 
 
 def op5_toxicity(spark, sf_dir: str) -> DataFrame:
