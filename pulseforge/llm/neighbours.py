@@ -59,13 +59,13 @@ def beam_search(x: np.ndarray, graph: np.ndarray, start: int, points: np.ndarray
     found[:, 0] = start
     far[:, 0] = distances(x, np.full((q, 1), start), points)[:, 0]
     done[:, 0] = False
-    live = np.arange(q)
+    live, many = np.arange(q), min(_AT_ONCE, width)
     while len(live):
         # Follow the nearest vectors whose neighbours have not been seen.
         waiting = ~done[live]
-        order = np.argsort(~waiting, axis=1, kind="stable")[:, :_AT_ONCE]
+        order = np.argsort(~waiting, axis=1, kind="stable")[:, :many]
         picked = np.take_along_axis(waiting, order, axis=1)
-        rows = np.repeat(live, _AT_ONCE).reshape(-1, _AT_ONCE)
+        rows = np.repeat(live, many).reshape(-1, many)
         done[rows[picked], order[picked]] = True
         from_ = np.where(picked, found[rows, order], none)
         to = np.where(from_[:, :, None] < none, graph[np.minimum(from_, none - 1)], none).reshape(len(live), -1)
