@@ -1,6 +1,7 @@
 """Toxicity scores from the nearest labelled examples.
 
-Examples and documents are TF-IDF vectors over words that tell the labels apart.
+Examples and documents are TF-IDF vectors over words, and beginnings of words, that
+tell the labels apart.
 The most similar examples (exact cosine) are found through an inverted index in
 blocks: for each word a block's largest weight is kept, so that the words of a
 document bound every block's best similarity, and blocks that cannot reach the
@@ -25,10 +26,12 @@ from pulseforge.llm.common import blocks, crc_fold, pick, written
 
 #: Labelled rows of each class the model is fitted on, at most about.
 FIT_DOCUMENTS = 3_000
-#: Words the model knows at most; the least chi-squared and documents of a word.
+#: Terms the model knows at most; the least chi-squared and documents of a term.
 WORDS = 2_048
-LEAST_CHI2 = 20.0
+LEAST_CHI2 = 40.0
 LEAST_DOCUMENTS = 3
+#: Lengths of the beginnings of words that are terms beside the words.
+BEGINNINGS = (3, 4, 5, 6, 7)
 
 NEIGHBOURS = 15
 BLOCK = 64
@@ -43,6 +46,11 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def terms(word: str) -> list[str]:
+    """The word, and its beginnings: forms of one word share them."""
+    return [word, *[word[:n] + "*" for n in BEGINNINGS if len(word) >= n]]
+
+
 @dataclass(frozen=True)
 class Examples:
     """``weight[block]``: words by examples; ``bound``: words by blocks."""
@@ -139,7 +147,7 @@ def probabilities(index: Examples, votes: np.ndarray) -> np.ndarray:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, column in blocks(batches, "text"):
-        counts = [Counter(words(t)) for t in column.to_pylist()]
+        counts = [Counter(x for w in words(t) for x in terms(w)) for t in column.to_pylist()]
         kind = pa.map_(pa.string(), pa.int32())
         names = [n for n in batch.schema.names if n != "text"]
         yield pa.record_batch([*[batch.column(batch.schema.get_field_index(n)) for n in names], pa.array([list(c.items()) for c in counts], kind)], names=[*names, "words"])
@@ -151,7 +159,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, bound: int = FIT_DOCU
     ``labels`` has ``doc_id`` and ``toxic`` (0 or 1; null is no label; of several
     labels of a document the largest counts). From each class a hash of the doc_id
     picks about ``bound`` rows (all, if fewer), and each stands for as many as were
-    left. Words are those of at least ``LEAST_DOCUMENTS`` examples whose
+    left. Terms are those of at least ``LEAST_DOCUMENTS`` examples whose
     chi-squared against the label is ``LEAST_CHI2`` or more, the ``WORDS`` best.
     All that reaches the driver is bounded by these parameters.
     """
@@ -170,11 +178,11 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, bound: int = FIT_DOCU
     # Of the two-by-two table of word and label.
     cross = a * (n - p - df + a) - (df - a) * (p - a)
     chi2 = float(n) * cross * cross / (df * (n - df) * float(p) * float(n - p))
-    terms = seen.agg(F.count("*").alias("df"), F.sum("toxic").alias("n_toxic")).where((F.col("df") >= LEAST_DOCUMENTS) & (F.col("df") < n))
-    terms = terms.withColumn("chi2", chi2) if 0 < p < n else terms.where("false").withColumn("chi2", F.lit(0.0))
-    terms = terms.where(F.col("chi2") >= LEAST_CHI2).orderBy(F.col("chi2").desc(), "word").limit(WORDS).collect()
-    vocabulary = {r["word"]: i for i, r in enumerate(terms)}
-    idf = np.log((n + 1) / (np.array([r["df"] for r in terms]) + 1)) + 1 if terms else np.zeros(0)
+    best = seen.agg(F.count("*").alias("df"), F.sum("toxic").alias("n_toxic")).where((F.col("df") >= LEAST_DOCUMENTS) & (F.col("df") < n))
+    best = best.withColumn("chi2", chi2) if 0 < p < n else best.where("false").withColumn("chi2", F.lit(0.0))
+    chosen = best.where(F.col("chi2") >= LEAST_CHI2).orderBy(F.col("chi2").desc(), "word").limit(WORDS).collect()
+    vocabulary = {r["word"]: i for i, r in enumerate(chosen)}
+    idf = np.log((n + 1) / (np.array([r["df"] for r in chosen]) + 1)) + 1 if chosen else np.zeros(0)
     return _index(rows, vocabulary, idf, rate)
 
 
@@ -215,12 +223,19 @@ def score(docs: DataFrame, index: Examples) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        known = m.vocabulary
+        of_word: dict[str, tuple[int, ...]] = {}  # remembered, not a limit
         for batch, column in blocks(batches, "text"):
             counts = []
             for text in column.to_pylist():
-                found = Counter([w for w in words(text) if w in known])
-                counts.append({known[w]: n for w, n in sorted(found.items())})
+                found: Counter[int] = Counter()
+                for word, n in Counter(words(text)).items():
+                    if word not in of_word:
+                        of_word[word] = tuple(m.vocabulary[x] for x in terms(word) if x in m.vocabulary)
+                    for x in of_word[word]:
+                        found[x] += n
+                counts.append(dict(sorted(found.items())))
+                if len(of_word) > 300_000:
+                    of_word.clear()
             near, cosine = nearest(m, vectors(counts, m.idf), NEIGHBOURS)
             scores = probabilities(m, vote(m, near, cosine)) if len(m.ids) else np.zeros(len(counts))
             evidence = [[{"doc_id": int(m.ids[j]), "toxic": int(m.toxic[j]), "cosine": float(c)} for j, c in zip(a, b) if j >= 0] for a, b in zip(near, cosine)]
