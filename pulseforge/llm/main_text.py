@@ -124,6 +124,8 @@ def layout(number: int) -> str:
         )
         return a + "".join(out) + b
 
+    if number % 12 == 0:  # a fragment
+        return pick_one(f"<article><p>{word()}</p></article>", article(), article() + part("footer"), part("menu") + article(), prose(), part("comments"), f"<div><p>{prose()}</p></div>")
     before = [part(k) for k in ("menu", "header", "notice", "advert", "sidebar", "form", "share") if rng.random() < 0.5]
     after = [part(k) for k in ("comments", "sidebar", "form", "advert", "share", "menu", "notice", "footer", "footer") if rng.random() < 0.45]
     rng.shuffle(before)
