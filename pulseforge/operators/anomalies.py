@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pulseforge.config import DEFAULTS, Settings
 from pulseforge.functions import rules, text
+from pulseforge.functions.times import utc_date
 from pulseforge.operators.lookback import with_lookback
 from pulseforge.operators.route import storable
 
@@ -51,7 +52,7 @@ def flag_anomalies(with_previous: DataFrame, settings: Settings = DEFAULTS) -> D
             F.col("_hit.anomaly_type").alias("anomaly_type"),
             F.col("_hit.severity").alias("severity"),
             rules.details_json(F.col("_hit.details")).alias("details"),
-            F.to_date("event_time").alias("event_date"),
+            utc_date(F.col("event_time")).alias("event_date"),
         )
     )
 

@@ -7,7 +7,8 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulseforge.operators.metrics import Instant, trailing
+from pulseforge.functions.times import Instant
+from pulseforge.operators.metrics import trailing
 
 # Spark pushes a top-k-per-group limit below the shuffle up to this size
 # (default of spark.sql.optimizer.windowGroupLimitThreshold).

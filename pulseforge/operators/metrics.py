@@ -7,12 +7,13 @@ on counts per distinct rate (at most 251).
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulseforge.config import DEFAULTS, Settings
+from pulseforge.functions.times import Instant, instant, utc_date
 
 # Default widths of the trailing panels.
 BREAKDOWN_WIDTH = timedelta(hours=1)
@@ -27,30 +28,24 @@ AVERAGE_BASE = "blue"
 P95_BANDS = ((130, "yellow"), (160, "red"))
 P95_BASE = "green"
 
-Instant = datetime | Column
-
-
-def _instant(value: Instant) -> Column:
-    return value if isinstance(value, Column) else F.lit(value).cast("timestamp")
-
 
 def time_range(rows: DataFrame, start: Instant, end: Instant) -> DataFrame:
     """``start <= event_time <= end``; partitions outside the dates are pruned."""
-    low, high = _instant(start), _instant(end)
+    low, high = instant(start), instant(end)
     kept = rows.where(F.col("event_time").between(low, high))
     if "event_date" in rows.columns:
-        kept = kept.where(F.col("event_date").between(F.to_date(low), F.to_date(high)))
+        kept = kept.where(F.col("event_date").between(utc_date(low), utc_date(high)))
     return kept
 
 
 def trailing(rows: DataFrame, width: timedelta, as_of: Instant | None = None) -> DataFrame:
     """``event_time > as_of - width``, with no upper limit. The derived
     ``event_date`` filter prunes partitions, which the optimizer cannot infer."""
-    now = F.current_timestamp() if as_of is None else _instant(as_of)
+    now = F.current_timestamp() if as_of is None else instant(as_of)
     limit = now - F.lit(width)
     kept = rows.where(F.col("event_time") > limit)
     if "event_date" in rows.columns:
-        kept = kept.where(F.col("event_date") >= F.to_date(limit))
+        kept = kept.where(F.col("event_date") >= utc_date(limit))
     return kept
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pulseforge.config import CUSTOMER_ID_MAX, DEFAULTS, Settings
 from pulseforge.functions import text
+from pulseforge.functions.times import utc_date
 
 VALID = "VALID"
 VALIDATION = "VALIDATION"
@@ -64,7 +65,7 @@ def valid_events(routed: DataFrame) -> DataFrame:
         text.event_json(
             F.col("event_id"), F.col("customer_id"), text.iso_offset(F.col("event_time")), F.col("heart_rate")
         ).alias("payload"),
-        F.to_date("event_time").alias("event_date"),
+        utc_date(F.col("event_time")).alias("event_date"),
     )
 
 

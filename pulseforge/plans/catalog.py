@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseforge.config import DEFAULTS
 from pulseforge.operators import anomalies, decode, dedup, lookup, metrics, route
-from pulseforge.plans import fixture
-from pulseforge.schema import CHECKPOINT, DETAILS
+from pulseforge.plans import fixture, pipeline
+from pulseforge.schema import ANOMALY, CHECKPOINT, DETAILS
 from pulseforge.session import configure, work_dir
 from pulseforge.sources import sinks, snapshot
 from pulseforge.sources.tables import Tables
@@ -22,7 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 HOUR = timedelta(hours=1)
 DAY = timedelta(days=1)
 MONTH = timedelta(days=30)
-HALF_WAY = datetime(2024, 1, 16)
+HALF_WAY = datetime(2024, 1, 16, tzinfo=timezone.utc)
 REDELIVERY = 1_000_000_000
 CUSTOMER = "cust_00001"
 
@@ -272,10 +272,20 @@ def preview_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.preview_json(_valid(spark, sf_dir))
 
 
+CUTS = 4
+
+
 def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # A pattern, so that the table may be one file or a folder of files.
-    events = spark.readStream.schema(fixture.EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parque[t]")
-    return fixture.raw_messages(events)
+    """All messages as a stream that arrives in at least ``CUTS`` micro-batches:
+    stretches of the table are written one after another and read file by file."""
+    events, feed = _source(spark, sf_dir), work_dir(spark, "feed")
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    width = (high - low) // CUTS + 1
+    for cut in range(CUTS):
+        start = low + cut * width
+        events.where(F.col("event_id").between(start, start + width - 1)).write.mode("append").parquet(feed)
+    stream = spark.readStream.schema(fixture.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).parquet(feed)
+    return fixture.raw_messages(stream)
 
 
 def stream_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -294,29 +304,76 @@ def stream_valid_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _event_columns(tables.read_events(spark))
 
 
-def _stream_table(spark: SparkSession, rows: DataFrame, purpose: str) -> DataFrame:
-    root = work_dir(spark, purpose)
-    query = (
-        rows.writeStream.format("parquet")
-        .option("path", f"{root}/rows")
-        .option("checkpointLocation", f"{root}/progress")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return spark.read.schema(rows.schema).parquet(f"{root}/rows")
+def stream_valid_events_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = work_dir(configure(spark), "stateful-writer")
+    tables = Tables(f"{root}/tables")
+    messages = _message_stream(spark, sf_dir)
+    streams.start_stateful_writer(messages, tables, f"{root}/progress", available_now=True).awaitTermination()
+    return _event_columns(tables.read_events(spark))
+
+
+def ingest_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batch jobs over halves of the messages, then all of them again."""
+    tables = Tables(work_dir(configure(spark), "twice"))
+    messages = _messages(spark, sf_dir)
+    early = F.col("timestamp") < F.lit(HALF_WAY)
+    for part in (messages.where(early), messages.where(~early), messages):
+        pipeline.ingest(spark, part, tables)
+    return _event_columns(tables.read_events(spark))
+
+
+def backfill_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backfill of the earlier half, then the stream of all messages."""
+    root = work_dir(configure(spark), "backfill")
+    tables = Tables(f"{root}/tables")
+    early = _messages(spark, sf_dir).where(F.col("timestamp") < F.lit(HALF_WAY))
+    pipeline.ingest(spark, early, tables)
+    messages = _message_stream(spark, sf_dir)
+    streams.start_writer(messages, tables, f"{root}/progress", available_now=True).awaitTermination()
+    return _event_columns(tables.read_events(spark))
+
+
+def detector_new_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The earlier half by a stream, the later half by another with a progress
+    folder of its own: history goes on where it stood."""
+    root = work_dir(configure(spark), "detectors")
+    tables = Tables(f"{root}/tables")
+    messages = _messages(spark, sf_dir)
+    early = F.col("timestamp") < F.lit(HALF_WAY)
+    for name, part in (("first", messages.where(early)), ("second", messages.where(~early))):
+        part.write.parquet(f"{root}/{name}")
+        stream = spark.readStream.schema(part.schema).parquet(f"{root}/{name}")
+        streams.start_detector(stream, tables, f"{root}/progress-{name}", available_now=True).awaitTermination()
+    return _anomaly_columns(tables.read_anomalies(spark))
+
+
+def _stream_panel(spark: SparkSession, counts: DataFrame, key: str, root: str) -> DataFrame:
+    streams.start_panel(counts, f"{root}/panel", [key], f"{root}/progress-panel", available_now=True).awaitTermination()
+    return plain_times(snapshot.read(spark, f"{root}/panel", counts.schema))
+
+
+def _valid_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return route.valid_events(route.route_messages(decode.decode_messages(_message_stream(spark, sf_dir))))
 
 
 def stream_events_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
-    valid = route.valid_events(route.route_messages(decode.decode_messages(_message_stream(spark, sf_dir))))
-    return plain_times(_stream_table(spark, streams.minute_counts(valid), "minutes"))
+    root = work_dir(configure(spark), "minutes")
+    return _stream_panel(spark, streams.minute_counts(_valid_stream(spark, sf_dir)), "time", root)
+
+
+def stream_anomalies_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The detector's table as a stream of its own."""
+    root = work_dir(configure(spark), "anomaly-minutes")
+    tables = Tables(f"{root}/tables")
+    messages = _message_stream(spark, sf_dir)
+    streams.start_detector(messages, tables, f"{root}/progress", available_now=True).awaitTermination()
+    found = spark.readStream.schema(ANOMALY).parquet(tables.anomalies)
+    return _stream_panel(spark, streams.minute_counts(found), "time", root)
 
 
 def stream_throughput_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
-    valid = route.valid_events(route.route_messages(decode.decode_messages(_message_stream(spark, sf_dir))))
-    return plain_times(_stream_table(spark, streams.interval_throughput(valid), "throughput"))
+    root = work_dir(configure(spark), "throughput")
+    return _stream_panel(spark, metrics.throughput(_valid_stream(spark, sf_dir)), "interval_start", root)
 
 
 QUERIES: dict[str, Query] = {
@@ -365,6 +422,11 @@ QUERIES: dict[str, Query] = {
     "preview_json": preview_json,
     "stream_anomalies": stream_anomalies,
     "stream_valid_events": stream_valid_events,
+    "stream_valid_events_stateful": stream_valid_events_stateful,
+    "ingest_twice": ingest_twice,
+    "backfill_then_stream": backfill_then_stream,
+    "detector_new_progress": detector_new_progress,
     "stream_events_per_minute": stream_events_per_minute,
+    "stream_anomalies_per_minute": stream_anomalies_per_minute,
     "stream_throughput_intervals": stream_throughput_intervals,
 }

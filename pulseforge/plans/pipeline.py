@@ -2,8 +2,9 @@
 
 Both are called with a whole bounded input (a backfill) or with one micro-batch
 (see ``pulseforge.streaming``). Data is written first and the snapshot that
-records progress last; every write replaces the same batch id, so repeating a
-batch after a failure gives the same tables as running it once.
+records progress last; every write is known by the writer's run and the batch, so
+repeating a batch after a failure gives the same tables as running it once, and no
+other run or batch is touched. A call without ``batch`` is a run of its own.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pulseforge.config import DEFAULTS, Settings
 from pulseforge.operators import anomalies, decode, route
 from pulseforge.schema import LAST_READING
 from pulseforge.sources import sinks, snapshot
+from pulseforge.sources.batch import Batch
 from pulseforge.sources.tables import Tables
 
 
@@ -23,7 +25,7 @@ def ingest(
     spark: SparkSession,
     messages: DataFrame,
     tables: Tables,
-    batch_id: int = 0,
+    batch: Batch | None = None,
     settings: Settings = DEFAULTS,
     staging: str | None = None,
     **options: bool,
@@ -35,6 +37,7 @@ def ingest(
     executor memory and disk or, given a ``staging`` folder on shared storage
     (for inputs too large to hold), written there by route and read back.
     """
+    batch = batch or Batch.new()
     routed = route.route_messages(decode.decode_messages(messages), settings)
     if staging:
         routed.write.mode("overwrite").partitionBy("route").parquet(staging)
@@ -43,9 +46,9 @@ def ingest(
         routed = routed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         counters = route.route_counters(routed).first().asDict()
-        sinks.publish_quarantine(routed, tables, batch_id, settings)
-        sinks.insert_events(spark, route.valid_events(routed), tables, batch_id, **options)
-        sinks.upsert_checkpoint(spark, sinks.high_water_marks(routed, settings), tables, version=batch_id)
+        sinks.publish_quarantine(routed, tables, batch, settings)
+        sinks.insert_events(spark, route.valid_events(routed), tables, batch, **options)
+        sinks.upsert_checkpoint(spark, sinks.high_water_marks(routed, settings), tables, batch)
     finally:
         if not staging:
             routed.unpersist()
@@ -56,7 +59,7 @@ def detect(
     spark: SparkSession,
     messages: DataFrame,
     tables: Tables,
-    batch_id: int = 0,
+    batch: Batch | None = None,
     settings: Settings = DEFAULTS,
 ) -> None:
     """Detector: flag anomalies, store and publish them, keep last readings.
@@ -65,21 +68,22 @@ def detect(
     readings stored by earlier batches. Only those first readings are joined,
     one per customer, so a hot customer adds one row to the join.
     """
+    batch = batch or Batch.new()
     arrival = F.struct("topic", "partition", "offset")
     readings = decode.schema_valid(decode.decode_messages(messages)).persist(StorageLevel.MEMORY_AND_DISK)
     found = None
     try:
-        known = tables.read_last_readings(spark, before=batch_id).withColumnRenamed("heart_rate", "_known")
+        known = tables.read_last_readings(spark, before=batch).withColumnRenamed("heart_rate", "_known")
         chained = anomalies.with_previous_rate(readings, settings)
         first = chained.where(F.col("previous_rate").isNull()).join(known, "customer_id", "left")
         linked = chained.where(F.col("previous_rate").isNotNull()).unionByName(
             first.withColumn("previous_rate", F.col("_known")).drop("_known")
         )
         found = anomalies.flag_anomalies(linked, settings).persist(StorageLevel.MEMORY_AND_DISK)
-        sinks.append_anomalies(found, tables, batch_id)
-        sinks.publish_anomalies(found, tables, batch_id, settings)
+        sinks.append_anomalies(found, tables, batch)
+        sinks.publish_anomalies(found, tables, batch, settings)
         latest = readings.groupBy("customer_id").agg(F.max_by("heart_rate", arrival).alias("heart_rate"))
-        snapshot.upsert(spark, tables.last_readings, LAST_READING, latest, ("customer_id",), batch_id)
+        snapshot.upsert(spark, tables.last_readings, LAST_READING, latest, ("customer_id",), batch)
     finally:
         if found is not None:
             found.unpersist()

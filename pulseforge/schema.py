@@ -33,6 +33,7 @@ STORED_EVENT = T.StructType([
     T.StructField("source_offset", T.LongType()),
     T.StructField("payload", T.StringType()),
     T.StructField("event_date", T.DateType()),
+    T.StructField("run", T.StringType()),
     T.StructField("batch_id", T.LongType()),
 ])
 
@@ -46,6 +47,7 @@ ANOMALY = T.StructType([
     T.StructField("details", T.StringType()),
     T.StructField("created_at", T.TimestampType()),
     T.StructField("event_date", T.DateType()),
+    T.StructField("run", T.StringType()),
     T.StructField("batch_id", T.LongType()),
 ])
 

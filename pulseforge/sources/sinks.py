@@ -11,47 +11,46 @@ from pulseforge.operators import anomalies as anomaly_ops
 from pulseforge.operators import dedup, metrics, route
 from pulseforge.schema import CHECKPOINT
 from pulseforge.sources import snapshot
+from pulseforge.sources.batch import Batch
 from pulseforge.sources.tables import Tables, write_batch
 
 
 def insert_events(
-    spark: SparkSession, valid: DataFrame, tables: Tables, batch_id: int, **options: bool
+    spark: SparkSession, valid: DataFrame, tables: Tables, batch: Batch, **options: bool
 ) -> None:
-    """First-wins insert of stored-layout events. Rows of the same batch id do
-    not count as existing: they are what this write replaces."""
-    existing = tables.read_events(spark).where(F.col("batch_id") != batch_id)
-    write_events(dedup.insert_if_absent(valid, existing, **options), tables, batch_id)
+    """First-wins insert of stored-layout events. Rows of the same batch do not
+    count as existing: they are what this write replaces."""
+    existing = tables.read_events(spark).where((F.col("run") != batch.run) | (F.col("batch_id") != batch.number))
+    write_events(dedup.insert_if_absent(valid, existing, **options), tables, batch)
 
 
-def write_events(fresh: DataFrame, tables: Tables, batch_id: int) -> None:
-    write_batch(fresh.withColumn("ingest_time", F.current_timestamp()), tables.events, batch_id)
+def write_events(fresh: DataFrame, tables: Tables, batch: Batch) -> None:
+    write_batch(fresh.withColumn("ingest_time", F.current_timestamp()), tables.events, batch)
 
 
-def append_anomalies(found: DataFrame, tables: Tables, batch_id: int) -> None:
+def append_anomalies(found: DataFrame, tables: Tables, batch: Batch) -> None:
     """Plain append: a reading delivered twice gives two rows."""
-    write_batch(found.withColumn("created_at", F.current_timestamp()), tables.anomalies, batch_id)
+    write_batch(found.withColumn("created_at", F.current_timestamp()), tables.anomalies, batch)
 
 
-def upsert_checkpoint(spark: SparkSession, marks: DataFrame, tables: Tables, version: int | None = None) -> None:
+def upsert_checkpoint(spark: SparkSession, marks: DataFrame, tables: Tables, batch: Batch | None = None) -> None:
     """Insert or overwrite ``last_offset``. Unconditional: replaying older
     messages moves the mark back."""
-    if version is None:
-        version = snapshot.next_version(spark, tables.checkpoint, CHECKPOINT)
     snapshot.upsert(
         spark,
         tables.checkpoint,
         CHECKPOINT,
         marks.withColumn("updated_at", F.current_timestamp()).coalesce(1),
         ("consumer_group", "topic", "partition"),
-        version,
+        batch or Batch.new(),
     )
 
 
-def publish_files(messages: DataFrame, tables: Tables, topic: str, batch_id: int) -> None:
+def publish_files(messages: DataFrame, tables: Tables, topic: str, batch: Batch) -> None:
     """One batch of a topic as files with ``key`` and ``value``."""
     if "key" not in messages.columns:
         messages = messages.withColumn("key", F.lit(None).cast("string"))
-    messages.select("key", "value").write.mode("overwrite").parquet(f"{tables.topic(topic)}/batch_id={batch_id}")
+    messages.select("key", "value").write.mode("overwrite").parquet(f"{tables.topic(topic)}/{batch.folder}")
 
 
 def kafka_sink_options(topic: str, settings: Settings = DEFAULTS) -> dict[str, str]:
@@ -64,14 +63,14 @@ def publish_kafka(messages: DataFrame, topic: str, settings: Settings = DEFAULTS
     messages.write.format("kafka").options(**kafka_sink_options(topic, settings)).save()
 
 
-def publish_quarantine(routed: DataFrame, tables: Tables, batch_id: int, settings: Settings = DEFAULTS) -> None:
+def publish_quarantine(routed: DataFrame, tables: Tables, batch: Batch, settings: Settings = DEFAULTS) -> None:
     for error_type, topic in ((route.VALIDATION, settings.topic_invalid), (route.PROCESSING, settings.topic_dlq)):
         envelopes = route.as_envelope_json(route.quarantine(routed, error_type))
-        publish_files(envelopes, tables, topic, batch_id)
+        publish_files(envelopes, tables, topic, batch)
 
 
-def publish_anomalies(found: DataFrame, tables: Tables, batch_id: int, settings: Settings = DEFAULTS) -> None:
-    publish_files(anomaly_ops.as_messages(found), tables, settings.topic_anomaly, batch_id)
+def publish_anomalies(found: DataFrame, tables: Tables, batch: Batch, settings: Settings = DEFAULTS) -> None:
+    publish_files(anomaly_ops.as_messages(found), tables, settings.topic_anomaly, batch)
 
 
 def event_messages(events: DataFrame) -> DataFrame:

@@ -1,22 +1,23 @@
 """Small keyed tables that are replaced as a whole, one version per batch.
 
-Two slots alternate. Writing version N reads the newest version below N and
-overwrites the other slot, so the base is intact until N is complete, a retried
-batch repeats exactly the same step, and nothing accumulates.
+Versions are numbered on from one another, whoever writes them, and alternate
+between two slots. A version counts once its marker stands, which names the batch it
+came from and is written last: a version half written by a failed job is never
+read, and its base is intact. A repeated batch takes its marker away and writes its
+version anew from the same base. Only the last markers are kept.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SLOTS = (0, 1)
-VERSION = re.compile(r"/version=(\d+)/")
+from pulseforge.sources.batch import Batch
+
+KEPT_MARKERS = 2
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -29,56 +30,60 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
         return spark.createDataFrame([], schema)
 
 
-def _slot(spark: SparkSession, path: str, slot: int, schema: T.StructType) -> DataFrame:
-    versioned = T.StructType([*schema.fields, T.StructField("version", T.LongType())])
-    return read_table(spark, f"{path}/slot={slot}", versioned)
+def _markers(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """(version, batch) of the complete versions, oldest first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/versions")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    return sorted((int(n.partition("-")[0]), n.partition("-")[2]) for n in names if n[:1].isdigit())
 
 
-def _newest(spark: SparkSession, path: str, schema: T.StructType, before: int | None) -> tuple[int, int] | None:
-    """(version, slot) of the newest version below ``before``. A version is a
-    directory, so the file listing answers this and no job is run."""
-    found = []
-    for slot in SLOTS:
-        files = _slot(spark, path, slot, schema).inputFiles()
-        found += {(int(match[1]), slot) for match in (VERSION.search(name) for name in files) if match}
-    return max((f for f in found if before is None or f[0] < before), default=None)
+def _name(batch: Batch) -> str:
+    return f"{batch.run}-{batch.number}"
 
 
-def read(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame:
-    newest = _newest(spark, path, schema, before)
-    if newest is None:
-        return spark.createDataFrame([], schema)
-    version, slot = newest
-    return _slot(spark, path, slot, schema).where(F.col("version") == version).drop("version")
-
-
-def next_version(spark: SparkSession, path: str, schema: T.StructType) -> int:
-    newest = _newest(spark, path, schema, None)
-    return 0 if newest is None else newest[0] + 1
-
-
-def upsert(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType,
-    updates: DataFrame,
-    key: Sequence[str],
-    version: int,
-) -> None:
-    """Write version ``version``: the newest earlier one with ``updates``
-    (unique on ``key``) inserted or, unconditionally, put in place of the old
-    rows. A version without rows is not visible, which reads as unchanged."""
-    newest = _newest(spark, path, schema, before=version)
+def _mark(spark: SparkSession, path: str, version: int, batch: str, remove: bool = False) -> None:
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/versions/{version:012d}-{batch}")
+    files = marker.getFileSystem(spark._jsc.hadoopConfiguration())
+    if remove:
+        files.delete(marker, False)
+    else:
+        files.create(marker, True).close()
+
+
+def _version(spark: SparkSession, path: str, schema: T.StructType, version: int) -> DataFrame:
+    return read_table(spark, f"{path}/slot={version % 2}", schema)
+
+
+def _base(spark: SparkSession, path: str, batch: Batch | None) -> tuple[int, int | None]:
+    """The number that ``batch`` writes, and the version it builds on."""
+    markers = _markers(spark, path)
+    if batch and markers and markers[-1][1] == _name(batch):
+        markers = markers[:-1]
+    return (markers[-1][0] + 1, markers[-1][0]) if markers else (0, None)
+
+
+def read(spark: SparkSession, path: str, schema: T.StructType, before: Batch | None = None) -> DataFrame:
+    """The newest version, or the one that batch ``before`` builds on."""
+    _, base = _base(spark, path, before)
+    return spark.createDataFrame([], schema) if base is None else _version(spark, path, schema, base)
+
+
+def upsert(spark: SparkSession, path: str, schema: T.StructType, updates: DataFrame, key: Sequence[str], batch: Batch) -> None:
+    """Write the next version: the newest one with ``updates`` (unique on ``key``)
+    inserted or, unconditionally, put in place of the old rows."""
+    version, base = _base(spark, path, batch)
+    markers = _markers(spark, path)
+    if markers and markers[-1] == (version, _name(batch)):
+        _mark(spark, path, *markers[-1], remove=True)
     updates = updates.select(*schema.names)
-    merged, target = updates, SLOTS[0]
-    if newest is not None:
-        base_version, base_slot = newest
-        base = _slot(spark, path, base_slot, schema).where(F.col("version") == base_version).drop("version")
-        merged = base.join(updates, list(key), "left_anti").select(*schema.names).unionByName(updates)
-        target = SLOTS[1] if base_slot == SLOTS[0] else SLOTS[0]
-    (
-        merged.withColumn("version", F.lit(version).cast("bigint"))
-        .write.mode("overwrite")
-        .partitionBy("version")
-        .parquet(f"{path}/slot={target}")
-    )
+    merged = updates
+    if base is not None:
+        old = _version(spark, path, schema, base)
+        merged = old.join(updates, list(key), "left_anti").select(*schema.names).unionByName(updates)
+    merged.write.mode("overwrite").parquet(f"{path}/slot={version % 2}")
+    _mark(spark, path, version, _name(batch))
+    for old_version, name in _markers(spark, path)[:-KEPT_MARKERS]:
+        _mark(spark, path, old_version, name, remove=True)

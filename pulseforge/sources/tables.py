@@ -1,8 +1,8 @@
 """Stored tables: where they are, how they are read and written.
 
-Events and anomalies are Parquet under ``batch_id=N/event_date=D``. Each batch
-overwrites its own directory, so a retried batch leaves no second copy, and
-readers prune by date. Rows are clustered by customer inside each file, so the
+Events and anomalies are Parquet under ``run=R/batch_id=N/event_date=D``. Each
+batch of a writer's run overwrites its own directory, so a retried batch leaves no
+second copy, no other run can touch it, and readers prune by date. Rows are clustered by customer inside each file, so the
 row-group statistics serve look-ups of one customer.
 """
 
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pulseforge.config import ANOMALIES_TABLE, CHECKPOINT_TABLE, EVENTS_TABLE
 from pulseforge.schema import ANOMALY, CHECKPOINT, LAST_READING, STORED_EVENT
 from pulseforge.sources import snapshot
+from pulseforge.sources.batch import Batch
 
 
 @dataclass(frozen=True)
@@ -55,7 +56,7 @@ class Tables:
     def read_checkpoint(self, spark: SparkSession) -> DataFrame:
         return snapshot.read(spark, self.checkpoint, CHECKPOINT)
 
-    def read_last_readings(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+    def read_last_readings(self, spark: SparkSession, before: Batch | None = None) -> DataFrame:
         return snapshot.read(spark, self.last_readings, LAST_READING, before)
 
     def register_views(self, spark: SparkSession) -> None:
@@ -65,17 +66,17 @@ class Tables:
         self.read_checkpoint(spark).createOrReplaceTempView(CHECKPOINT_TABLE)
 
 
-def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Replace batch ``batch_id`` of a dated table.
+def write_batch(rows: DataFrame, path: str, batch: Batch) -> None:
+    """Replace one batch of a dated table.
 
     ``rebalance`` lets adaptive execution merge small output partitions and
     split a date, or a hot share of one, over several tasks: files come out of
     even size, with few dates per task."""
     (
-        rows.drop("batch_id")
+        rows.drop("run", "batch_id")
         .hint("rebalance", F.col("event_date"))
         .sortWithinPartitions("event_date", "customer_id", "event_time")
         .write.mode("overwrite")
         .partitionBy("event_date")
-        .parquet(f"{path}/batch_id={batch_id}")
+        .parquet(f"{path}/{batch.folder}")
     )

@@ -2,23 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from pulseforge.config import DEFAULTS, Settings
 from pulseforge.operators import decode, metrics, route
 from pulseforge.plans import pipeline
-from pulseforge.sources import sinks
+from pulseforge.sources import sinks, snapshot
+from pulseforge.sources.batch import Batch, run_of
 from pulseforge.sources.tables import Tables
 
-# Fixed value: readings may be back-dated by up to eight seconds.
-LATENESS = "10 seconds"
-
 
 def _start(writer: DataStreamWriter, checkpoint: str, available_now: bool, interval: str) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
@@ -43,9 +42,11 @@ def start_writer(
     """Stream raw messages into the events table, quarantine and checkpoint.
     A message that cannot be stored is dead-lettered once and passed over."""
 
+    run = run_of(messages.sparkSession, checkpoint)
+
     def batch(rows: DataFrame, batch_id: int) -> None:
         counters = pipeline.ingest(
-            rows.sparkSession, rows, tables, batch_id, settings, reduce_history=True, **options
+            rows.sparkSession, rows, tables, Batch(run, batch_id), settings, reduce_history=True, **options
         )
         if on_counters:
             on_counters(batch_id, counters)
@@ -107,11 +108,13 @@ def start_stateful_writer(
         .unionByName(rejected.select("route", "raw", "error"), allowMissingColumns=True)
     )
 
+    run = run_of(messages.sparkSession, checkpoint)
+
     def batch(rows: DataFrame, batch_id: int) -> None:
-        spark = rows.sparkSession
+        spark, this = rows.sparkSession, Batch(run, batch_id)
         rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            sinks.publish_quarantine(rows, tables, batch_id, settings)
+            sinks.publish_quarantine(rows, tables, this, settings)
             met = rows.where(F.col("route") == route.VALID)
             fresh = met.where(F.col("first.batch_time") == F.col("last.batch_time"))
             sinks.write_events(
@@ -124,10 +127,10 @@ def start_stateful_writer(
                     )
                 ),
                 tables,
-                batch_id,
+                this,
             )
             marks = metrics.high_water_marks(met.select("last.*"), settings.group_writer)
-            sinks.upsert_checkpoint(spark, marks, tables, version=batch_id)
+            sinks.upsert_checkpoint(spark, marks, tables, this)
         finally:
             rows.unpersist()
 
@@ -146,46 +149,75 @@ def start_detector(
     """Stream raw messages into the anomalies table and topic. Independent of
     the writer: it has its own checkpoint and reads the topic itself."""
 
+    run = run_of(messages.sparkSession, checkpoint)
+
     def batch(rows: DataFrame, batch_id: int) -> None:
-        pipeline.detect(rows.sparkSession, rows, tables, batch_id, settings)
+        pipeline.detect(rows.sparkSession, rows, tables, Batch(run, batch_id), settings)
 
     writer = messages.writeStream.queryName(_query_name(settings.group_detector))
     return _start(writer.foreachBatch(batch), checkpoint, available_now, interval)
 
 
-def drop_recent_repeats(valid: DataFrame, horizon: str) -> DataFrame:
-    """First-wins within ``horizon`` of event time only. State is dropped as
-    the watermark advances; a repeat that comes later passes. The writers above
-    have no such limit."""
-    return valid.withWatermark("event_time", horizon).dropDuplicatesWithinWatermark(["customer_id", "event_id"])
-
-
-def minute_counts(rows: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Rows per minute over a stream; a minute is final once the watermark
-    passes its end, and rows later than that are dropped from this output."""
-    minute = F.window("event_time", "1 minute")
+def minute_counts(rows: DataFrame) -> DataFrame:
+    """Rows per minute over a stream, for ``start_panel``."""
     return (
-        rows.withWatermark("event_time", lateness)
-        .groupBy(minute.alias("_window"))
+        rows.groupBy(F.window("event_time", "1 minute").alias("_window"))
         .agg(F.count(F.lit(1)).cast("double").alias("value"))
         .select(F.col("_window.start").alias("time"), "value")
     )
 
 
-def interval_throughput(rows: DataFrame, settings: Settings = DEFAULTS, lateness: str = LATENESS) -> DataFrame:
-    """Streaming twin of ``operators.metrics.throughput``."""
-    return metrics.throughput(rows.withWatermark("event_time", lateness), settings)
+def start_panel(
+    counts: DataFrame,
+    path: str,
+    key: Sequence[str],
+    checkpoint: str,
+    available_now: bool = False,
+    interval: str = "10 seconds",
+) -> StreamingQuery:
+    """Keep a panel of a streaming aggregation (``minute_counts``,
+    ``operators.metrics.throughput``) as a keyed table at ``path``.
+
+    Every batch puts the intervals it changed in place of the old ones. There is
+    no watermark: a late row amends its interval, the newest interval is there as
+    soon as it has a row, and the table equals the batch panel over all rows read
+    so far, however they were cut into batches. State and table hold one row per
+    interval. Read the table with ``snapshot.read``.
+    """
+    run = run_of(counts.sparkSession, checkpoint)
+
+    def batch(rows: DataFrame, batch_id: int) -> None:
+        snapshot.upsert(rows.sparkSession, path, counts.schema, rows, key, Batch(run, batch_id))
+
+    return _start(counts.writeStream.outputMode("update").foreachBatch(batch), checkpoint, available_now, interval)
+
+
+# Layout of the active-customer panel.
+ACTIVE = T.StructType([T.StructField("time", T.TimestampType()), T.StructField("value", T.DoubleType())])
 
 
-def active_customer_estimate(
-    rows: DataFrame, width: str = "10 minutes", slide: str = "1 minute", lateness: str = LATENESS
-) -> DataFrame:
-    """Distinct customers per window over a stream. Exact distinct counts are
-    not available on streams; the estimate keeps one sketch per window."""
+def start_active_customers(
+    rows: DataFrame,
+    path: str,
+    checkpoint: str,
+    width: str = "10 minutes",
+    slide: str = "1 minute",
+    available_now: bool = False,
+    interval: str = "10 seconds",
+) -> StreamingQuery:
+    """Exact distinct customers per window (named by its end), kept like a panel.
+    State holds each (window, customer) once; a batch adds its new pairs to the
+    counts of the version it builds on."""
     window = F.window("event_time", width, slide)
-    return (
-        rows.withWatermark("event_time", lateness)
-        .groupBy(window.alias("_window"))
-        .agg(F.approx_count_distinct("customer_id", 0.01).cast("double").alias("value"))
-        .select(F.col("_window.end").alias("time"), "value")
-    )
+    pairs = rows.select(window.alias("_window"), "customer_id").select(F.col("_window.end").alias("time"), "customer_id")
+    pairs = pairs.dropDuplicates(["time", "customer_id"])
+    run = run_of(rows.sparkSession, checkpoint)
+
+    def batch(new: DataFrame, batch_id: int) -> None:
+        spark, this = new.sparkSession, Batch(run, batch_id)
+        known = snapshot.read(spark, path, ACTIVE, this).withColumnRenamed("value", "_known")
+        counts = new.groupBy("time").agg(F.count(F.lit(1)).cast("double").alias("_new")).join(known, "time", "left")
+        updates = counts.select("time", (F.col("_new") + F.coalesce("_known", F.lit(0.0))).alias("value"))
+        snapshot.upsert(spark, path, ACTIVE, updates, ("time",), this)
+
+    return _start(pairs.writeStream.foreachBatch(batch), checkpoint, available_now, interval)

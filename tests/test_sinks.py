@@ -9,6 +9,7 @@ from pulseforge.operators import decode, dedup, lookup, metrics, route
 from pulseforge.plans import fixture, pipeline
 from pulseforge.schema import CHECKPOINT
 from pulseforge.sources import raw, sinks, snapshot
+from pulseforge.sources.batch import Batch, run_of
 
 EVENT = ("event_id", "customer_id", "heart_rate", "source_offset")
 
@@ -18,14 +19,14 @@ def valid(spark, values, partition=0, start=0):
 
 
 def test_first_arrival_wins(spark, tables):
-    sinks.insert_events(spark, valid(spark, [doc(1, rate=70), doc(1, rate=80), doc(2)]), tables, 0)
-    sinks.insert_events(spark, valid(spark, [doc(1, rate=90), doc(3)], start=3), tables, 1)
+    sinks.insert_events(spark, valid(spark, [doc(1, rate=70), doc(1, rate=80), doc(2)]), tables, Batch("t", 0))
+    sinks.insert_events(spark, valid(spark, [doc(1, rate=90), doc(3)], start=3), tables, Batch("t", 1))
     assert rows_of(tables.read_events(spark), *EVENT) == [
         (uid(1), "cust_00001", 70, 0), (uid(2), "cust_00001", 70, 2), (uid(3), "cust_00001", 70, 4)]
 
 
 def test_same_event_id_of_another_customer_is_another_event(spark, tables):
-    sinks.insert_events(spark, valid(spark, [doc(1), doc(1, customer="b")]), tables, 0)
+    sinks.insert_events(spark, valid(spark, [doc(1), doc(1, customer="b")]), tables, Batch("t", 0))
     assert tables.read_events(spark).count() == 2
 
 
@@ -33,11 +34,11 @@ def test_same_event_id_of_another_customer_is_another_event(spark, tables):
                                      {"reduce_history": True, "same_event_date": True}])
 def test_replay_equals_once(spark, small, tables, options):
     m = fixture.raw_messages(fixture.read_events(spark, small))
-    first = pipeline.ingest(spark, m, tables, 0, **options)
+    first = pipeline.ingest(spark, m, tables, Batch("t", 0), **options)
     once = rows_of(tables.read_events(spark), *EVENT)
     marks = rows_of(tables.read_checkpoint(spark), *CHECKPOINT.names[:4])
-    assert pipeline.ingest(spark, m, tables, 0, **options) == first      # the same batch, retried
-    assert pipeline.ingest(spark, m, tables, 1, **options) == first      # the same messages, redelivered
+    assert pipeline.ingest(spark, m, tables, Batch("t", 0), **options) == first      # the same batch, retried
+    assert pipeline.ingest(spark, m, tables, Batch("t", 1), **options) == first      # the same messages, redelivered
     assert rows_of(tables.read_events(spark), *EVENT) == once
     assert rows_of(tables.read_checkpoint(spark), *CHECKPOINT.names[:4]) == marks
     assert (first["inserted"], first["invalid"], first["dlq"]) == (784, 206, 10)
@@ -45,7 +46,7 @@ def test_replay_equals_once(spark, small, tables, options):
 
 def test_staged_ingest_is_the_same(spark, small, tables, tmp_path):
     m = fixture.raw_messages(fixture.read_events(spark, small))
-    counters = pipeline.ingest(spark, m, tables, 0, staging=str(tmp_path / "staging"))
+    counters = pipeline.ingest(spark, m, tables, Batch("t"), staging=str(tmp_path / "staging"))
     assert counters == {"consumed": 1000, "inserted": 784, "invalid": 206, "dlq": 10}
     assert tables.read_events(spark).count() == 784
 
@@ -58,7 +59,7 @@ def test_hot_copies_are_cut_before_the_shuffle(spark):
 
 def test_quarantine_topics(spark, tables):
     values = [doc(1), doc(2, rate=300), "{", doc(3, customer="c" * 65)]
-    pipeline.ingest(spark, messages(spark, values), tables, 0)
+    pipeline.ingest(spark, messages(spark, values), tables, Batch("t", 0))
     invalid = [json.loads(r.value) for r in spark.read.parquet(tables.topic("events.invalid.v1")).collect()]
     dlq = [json.loads(r.value) for r in spark.read.parquet(tables.topic("events.dlq.v1")).collect()]
     assert sorted(e["raw"] for e in invalid) == sorted([values[1], values[2]])
@@ -78,13 +79,13 @@ def test_checkpoint_upsert_is_unconditional(spark, tables):
 
 def test_snapshot_retry_reads_the_earlier_base(spark, tables):
     for version, offset in ((0, 1), (1, 2), (2, 3), (2, 30), (3, 4)):
-        sinks.upsert_checkpoint(spark, marks(spark, [("g", "t", version, offset)]), tables, version=version)
+        sinks.upsert_checkpoint(spark, marks(spark, [("g", "t", version, offset)]), tables, Batch("t", version))
     assert rows_of(tables.read_checkpoint(spark), "partition", "last_offset") == [(0, 1), (1, 2), (2, 30), (3, 4)]
-    assert rows_of(snapshot.read(spark, tables.checkpoint, CHECKPOINT, before=3), "partition") == [(0,), (1,), (2,)]
+    assert rows_of(snapshot.read(spark, tables.checkpoint, CHECKPOINT, Batch("t", 3)), "partition") == [(0,), (1,), (2,)]
 
 
 def test_invalid_rows_do_not_move_the_checkpoint(spark, tables):
-    pipeline.ingest(spark, messages(spark, [doc(1), doc(2, rate=300)]), tables, 0)
+    pipeline.ingest(spark, messages(spark, [doc(1), doc(2, rate=300)]), tables, Batch("t", 0))
     assert rows_of(tables.read_checkpoint(spark), "last_offset") == [(0,)]
 
 
@@ -147,3 +148,45 @@ def test_kafka_options():
     options = raw.kafka_options(group="g", max_offsets_per_trigger=5)
     assert options["subscribe"] == "events.raw.v1" and options["startingOffsets"] == "earliest"
     assert sinks.kafka_sink_options("t")["topic"] == "t"
+
+
+def test_a_batch_of_another_run_replaces_nothing(spark, tables):
+    for first, last in ((0, 3), (3, 5)):
+        pipeline.ingest(spark, messages(spark, [doc(i) for i in range(first, last)], start=first), tables)
+    sinks.insert_events(spark, valid(spark, [doc(7)], start=7), tables, Batch("other", 0))
+    sinks.insert_events(spark, valid(spark, [doc(8)], start=8), tables, Batch("other", 0))  # the same batch, anew
+    assert [e[3] for e in rows_of(tables.read_events(spark), *EVENT)] == [0, 1, 2, 3, 4, 8]
+    assert spark.read.parquet(tables.topic("events.invalid.v1")).count() == 0
+
+
+def test_a_version_without_its_marker_is_not_read(spark, tables, tmp_path):
+    for number in range(3):
+        sinks.upsert_checkpoint(spark, marks(spark, [("g", "t", number, 1)]), tables, Batch("a", number))
+    before = rows_of(tables.read_checkpoint(spark), "partition")
+    # A job that fails after its data and before its marker.
+    marks(spark, [("g", "t", 9, 9)]).write.mode("overwrite").parquet(f"{tables.checkpoint}/slot=1")
+    assert rows_of(tables.read_checkpoint(spark), "partition") == before
+    sinks.upsert_checkpoint(spark, marks(spark, [("g", "t", 3, 1)]), tables, Batch("b", 0))  # another run goes on
+    assert rows_of(tables.read_checkpoint(spark), "partition") == [(0,), (1,), (2,), (3,)]
+
+
+def test_a_run_lives_with_its_progress(spark, tmp_path):
+    first = run_of(spark, str(tmp_path / "a"))
+    assert run_of(spark, str(tmp_path / "a")) == first != run_of(spark, str(tmp_path / "b"))
+
+
+@pytest.mark.parametrize("zone", ["Asia/Tokyo", "America/Los_Angeles", "UTC"])
+def test_dates_are_pruned_alike_in_every_zone(spark, tables, zone):
+    from datetime import datetime, timezone
+    times = ["2026-02-22T23:30:00Z", "2026-02-23T00:30:00Z", "2026-02-22T21:00:00Z"]
+    pipeline.ingest(spark, messages(spark, [doc(i, time=t) for i, t in enumerate(times)]), tables)
+    as_of = datetime(2026, 2, 23, 1, 0, tzinfo=timezone.utc)
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        stored = tables.read_events(spark)
+        assert metrics.trailing(stored, timedelta(hours=2), as_of).count() == 2
+        assert metrics.time_range(stored, as_of - timedelta(hours=5), as_of - timedelta(hours=1)).count() == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    with pytest.raises(ValueError, match="no time zone"):
+        metrics.trailing(stored, timedelta(hours=2), datetime(2026, 2, 23))

@@ -2,12 +2,14 @@ import glob
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import doc, messages, rows_of, uid
-from pulseforge.operators import anomalies, decode, route
+from pulseforge.operators import anomalies, decode, metrics, route
 from pulseforge.plans import fixture, pipeline
 from pulseforge.schema import CHECKPOINT
-from pulseforge.sources import raw
+from pulseforge.sources import raw, snapshot
+from pulseforge.sources.batch import Batch
 from pulseforge.sources.tables import Tables
 from pulseforge.streaming import queries as streams
 
@@ -58,17 +60,17 @@ def test_writer_stream_equals_batch(spark, feed, tables, tmp_path):
 def test_retried_batch_changes_nothing(spark, tables):
     first = messages(spark, [doc(1, rate=70)])
     second = messages(spark, [doc(2, rate=105), doc(3, rate=80)], start=1)
-    pipeline.detect(spark, first, tables, 0)
+    pipeline.detect(spark, first, tables, Batch("t", 0))
     for _ in range(2):
-        pipeline.detect(spark, second, tables, 1)
+        pipeline.detect(spark, second, tables, Batch("t", 1))
     assert rows_of(tables.read_anomalies(spark), "event_id", "anomaly_type") == [(uid(2), "SPIKE")]
     assert rows_of(tables.read_last_readings(spark), "heart_rate") == [(80,)]
 
 
 def test_history_survives_a_restart(spark, tables):
-    pipeline.detect(spark, messages(spark, [doc(1, customer="a", rate=70), doc(2, customer="b", rate=70)]), tables, 0)
-    pipeline.detect(spark, messages(spark, [doc(3, customer="b", rate=71)], start=2), tables, 1)
-    pipeline.detect(spark, messages(spark, [doc(4, customer="a", rate=101)], start=3), tables, 2)
+    pipeline.detect(spark, messages(spark, [doc(1, customer="a", rate=70), doc(2, customer="b", rate=70)]), tables, Batch("t", 0))
+    pipeline.detect(spark, messages(spark, [doc(3, customer="b", rate=71)], start=2), tables, Batch("t", 1))
+    pipeline.detect(spark, messages(spark, [doc(4, customer="a", rate=101)], start=3), tables, Batch("t", 2))
     assert rows_of(tables.read_anomalies(spark), "event_id", "anomaly_type") == [(uid(4), "SPIKE")]
 
 
@@ -104,27 +106,35 @@ def test_stateful_insert_across_batches(spark, tables, tmp_path):
     assert rows_of(tables.read_checkpoint(spark), "partition", "last_offset") == [(0, 4), (1, 1)]
 
 
-def drain(spark, frame, tmp_path):
-    query = (frame.writeStream.format("parquet").option("path", str(tmp_path / "out"))
-             .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start())
-    query.awaitTermination()
-    return spark.read.schema(frame.schema).parquet(str(tmp_path / "out"))
+def panel(spark, counts, key, tmp_path):
+    streams.start_panel(counts, str(tmp_path / "panel"), [key], str(tmp_path / "cp"), available_now=True).awaitTermination()
+    return snapshot.read(spark, str(tmp_path / "panel"), counts.schema)
 
 
-def test_minute_counts_stream(spark, feed, tmp_path):
-    valid = route.valid_events(route.route_messages(decode.decode_messages(raw.stream_files(spark, feed))))
-    out = drain(spark, streams.minute_counts(valid), tmp_path)
-    # All but the newest minute, which the watermark has not passed.
-    assert out.agg({"value": "sum"}).first()[0] == 783
+def valid_of(m):
+    return route.valid_events(route.route_messages(decode.decode_messages(m)))
 
 
-def test_bounded_dedup_stream(spark, feed, tmp_path):
-    twice = raw.stream_files(spark, feed).unionByName(raw.stream_files(spark, feed))
-    valid = route.valid_events(route.route_messages(decode.decode_messages(twice)))
-    assert drain(spark, streams.drop_recent_repeats(valid, "1 hour"), tmp_path).count() == 784
+def test_minute_counts_stream(spark, feed, tmp_path):
+    out = panel(spark, streams.minute_counts(valid_of(raw.stream_files(spark, feed, 1))), "time", tmp_path)
+    assert rows_of(out, "*") == rows_of(metrics.per_minute(valid_of(raw.read_files(spark, feed))), "*")
 
 
-def test_active_customer_stream(spark, feed, tmp_path):
-    valid = route.valid_events(route.route_messages(decode.decode_messages(raw.stream_files(spark, feed))))
-    out = drain(spark, streams.active_customer_estimate(valid, "10 days", "10 days"), tmp_path)
-    assert {r.value for r in out.collect()} == {15.0}
+def test_late_rows_amend_their_minute(spark, tmp_path):
+    feed = tmp_path / "in"
+    for start, times in ((0, ["10:00:05", "10:07:00"]), (2, ["10:00:40", "10:03:00", "09:00:00"])):
+        cut = messages(spark, [doc(start + i, time=f"2026-02-22T{t}Z") for i, t in enumerate(times)], start=start)
+        cut.coalesce(1).write.mode("append").parquet(str(feed))
+        out = panel(spark, streams.minute_counts(valid_of(raw.stream_files(spark, str(feed)))), "time", tmp_path)
+    assert [r.value for r in out.orderBy("time").collect()] == [1.0, 2.0, 1.0, 1.0]
+
+
+@pytest.mark.parametrize("width, slide", [("10 days", "10 days"), ("3 days", "1 day")])
+def test_active_customer_stream(spark, feed, tmp_path, width, slide):
+    streams.start_active_customers(
+        valid_of(raw.stream_files(spark, feed, 1)), str(tmp_path / "panel"), str(tmp_path / "cp"), width, slide, available_now=True
+    ).awaitTermination()
+    got = snapshot.read(spark, str(tmp_path / "panel"), streams.ACTIVE)
+    window = F.window("event_time", width, slide)
+    want = valid_of(raw.read_files(spark, feed)).groupBy(window.alias("w")).agg(F.count_distinct("customer_id").cast("double").alias("value"))
+    assert rows_of(got, "time", "value") == rows_of(want.select(F.col("w.end").alias("time"), "value"), "time", "value")
