@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pulseforge.llm import fingerprint, langid, main_text, mixing, neighbours, packing, repeats, similar, token_counts, toxicity
+from pulseforge.llm import fingerprint, langid, main_text, mixing, neighbours, packing, repeats, similar, sql, token_counts, toxicity
 
 QUERIES = {
     "op1_token_length_histogram": token_counts.op1_token_length_histogram,
@@ -17,4 +17,9 @@ QUERIES = {
     "op4_mix_sources": mixing.op4_mix_sources,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op4_mix_sources": sql.MIX,
+    "op7_ngram_jaccard_join": sql.SIMILAR,
+    "op8_substring_dedup": sql.REPEATS,
+    "op9_merkle_fingerprints": sql.MERKLE,
+}
