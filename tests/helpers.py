@@ -8,14 +8,14 @@ from datetime import datetime, timezone
 from pulseforge.config import TOPIC_RAW
 from pulseforge.schema import RAW_MESSAGE
 
-WHEN = datetime(2026, 2, 22, 9, 7, 9, tzinfo=timezone.utc)
+WHEN = datetime(2025, 11, 3, 16, 41, 27, tzinfo=timezone.utc)
 
 
 def uid(n: int) -> str:
     return f"00000000-0000-4000-8000-{n:012d}"
 
 
-def doc(n: int, customer: str = "cust_00001", rate=70, time: str = "2026-02-22T09:07:09.697930Z", **more) -> str:
+def doc(n: int, customer: str = "cust_00001", rate=70, time: str = "2025-11-03T16:41:27.318450Z", **more) -> str:
     return json.dumps({"event_id": uid(n), "customer_id": customer, "timestamp": time, "heart_rate": rate, **more})
 
 

@@ -10,14 +10,15 @@ from pulseforge.config import TOPIC_RAW
 from pulseforge.operators import anomalies, decode
 from pulseforge.plans import fixture
 
-# history, rate, expected
+# history, rate, expected. The limits 50, 140 and 30 are fixed values, and 49 to 51,
+# 139 to 141, and differences of 29 to 31 lie around them.
 RULES = [
-    ([], 50, ("LOW_HEART_RATE", "high")), ([], 35, ("LOW_HEART_RATE", "high")), ([], 42, ("LOW_HEART_RATE", "high")),
-    ([], 140, ("HIGH_HEART_RATE", "high")), ([], 175, ("HIGH_HEART_RATE", "high")), ([], 165, ("HIGH_HEART_RATE", "high")),
-    ([65], 100, ("SPIKE", "medium")), ([100], 65, ("SPIKE", "medium")), ([70], 105, ("SPIKE", "medium")),
-    ([65], 94, None), ([65], 95, ("SPIKE", "medium")), ([], 90, None), ([80, 75, 60], 100, ("SPIKE", "medium")),
-    ([], 75, None), ([75, 76, 77], 78, None), ([90], 50, ("LOW_HEART_RATE", "high")), ([], 51, None), ([], 139, None),
-    ([], 28, ("LOW_HEART_RATE", "high")), ([], 222, ("HIGH_HEART_RATE", "high")), ([100, 70], 75, None),
+    ([], 50, ("LOW_HEART_RATE", "high")), ([], 49, ("LOW_HEART_RATE", "high")), ([], 33, ("LOW_HEART_RATE", "high")), ([], 51, None),
+    ([], 140, ("HIGH_HEART_RATE", "high")), ([], 141, ("HIGH_HEART_RATE", "high")), ([], 188, ("HIGH_HEART_RATE", "high")), ([], 139, None),
+    ([62], 93, ("SPIKE", "medium")), ([118], 87, ("SPIKE", "medium")), ([74], 104, ("SPIKE", "medium")), ([74], 103, None),
+    ([104], 75, None), ([104], 74, ("SPIKE", "medium")), ([], 88, None), ([97, 84, 61], 99, ("SPIKE", "medium")),
+    ([], 66, None), ([81, 79, 83], 82, None), ([96], 50, ("LOW_HEART_RATE", "high")), ([96], 140, ("HIGH_HEART_RATE", "high")),
+    ([], 29, ("LOW_HEART_RATE", "high")), ([], 219, ("HIGH_HEART_RATE", "high")), ([112, 72], 78, None),
 ]
 
 

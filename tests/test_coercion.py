@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from pulseforge.functions import coercion
 
-BARE = "39b8e5cf26424c17b2ad251e4db1637a"
-ID = "39b8e5cf-2642-4c17-b2ad-251e4db1637a"
+BARE = "5d0c3f7a91be4e628a470b6c2d9e1f53"
+ID = "5d0c3f7a-91be-4e62-8a47-0b6c2d9e1f53"
 
 INTEGERS = [
     "70", " 70 ", "70.0", "70.", "70.5", "+70", "-5", "+ 70", "070", "0070.00", "7e1", "1_0", "1_000.0", "0x10", "",
@@ -34,7 +34,7 @@ TIMES = [
     "2024-01-01T10:00:00+05:60", "2024-01-01T10:00:00-00:00", "T12:30", "yesterday", "", "253402300800000",
     "253402300799999", "1700000000.", "1700000000.1234567", ".5", "2024-01-01Z", 1700000000, 1700000000.5,
     1700000000.1234567, 1700000000000, 1700000000123.456, 20000000001, True, None, -1.5, 10**25, "NaN", "-1.5",
-    "2024-02-29", "2023-02-29", "2024-01-01T10:60:00", "2024-01-01T10:00:00+18:00", "2026-02-22T09:07:09.697930Z",
+    "2024-02-29", "2023-02-29", "2024-01-01T10:60:00", "2024-01-01T10:00:00+18:00", "2025-11-03T16:41:27.318450Z",
 ]
 
 

@@ -18,8 +18,8 @@ GOOD = doc(1)
 CASES = [
     # message, route, reasons
     (GOOD, "VALID", None),
-    ('{"event_id": "39b8e5cf-2642-4c17-b2ad-251e4db1637a", "customer_id": "cust_00358", '
-     '"timestamp": "2026-02-22T09:07:09.697930Z", "heart_rate": 70}', "VALID", None),
+    ('{"event_id": "5d0c3f7a-91be-4e62-8a47-0b6c2d9e1f53", "customer_id": "cust_71940", '
+     '"timestamp": "2025-11-03T16:41:27.318450Z", "heart_rate": 83}', "VALID", None),
     (doc(1, rate=138), "VALID", None),
     (doc(1, customer=""), "VALIDATION", "customer_id_blank"),
     (doc(1, customer="   "), "VALIDATION", "customer_id_blank"),
@@ -94,7 +94,7 @@ def test_routes_partition_the_input(routed):
 @pytest.mark.parametrize("change", [" ", "extra"])
 def test_producer_form_and_general_form_agree(spark, change):
     """The pattern path and the JSON path give the same readings."""
-    times = ["2026-02-22T09:07:09.697930Z", "2026-02-22 09:07:09", "2026-02-22T09:07:09.5+05:30", "2026-13-01T00:00:00Z"]
+    times = ["2025-11-03T16:41:27.318450Z", "2025-11-03 16:41:27", "2025-11-03T16:41:27.5+05:30", "2026-13-01T00:00:00Z"]
     values = [doc(i, customer=c, rate=r, time=t) for i, (c, r, t) in enumerate(
         (c, r, t) for c in ("cust_00001", "a}b{c", "x" * 70) for r in (0, 44, 70, 250, 251, 999999999) for t in times)]
     values += [v.replace(": ", ":").replace(", ", ",") for v in values] + [v.upper().replace("EVENT_ID", "event_id") for v in values[:3]]
@@ -146,10 +146,10 @@ def test_stored_layout(spark):
     row = valid.first()
     assert (row.quality_flag, row.source_topic, row.source_partition, row.source_offset) == ("valid", TOPIC_RAW, 3, 11)
     assert json.loads(row.payload) == {
-        "event_id": uid(7), "customer_id": "cust_00001", "timestamp": "2026-02-22T09:07:09.697930+00:00", "heart_rate": 70}
+        "event_id": uid(7), "customer_id": "cust_00001", "timestamp": "2025-11-03T16:41:27.318450+00:00", "heart_rate": 70}
     whole = route.valid_events(route.route_messages(decode.decode_messages(
-        messages(spark, [doc(7, time="2026-02-22T10:07:09+01:00")]))))
-    assert json.loads(whole.first().payload)["timestamp"] == "2026-02-22T09:07:09+00:00"
+        messages(spark, [doc(7, time="2025-11-03T17:41:27+01:00")]))))
+    assert json.loads(whole.first().payload)["timestamp"] == "2025-11-03T16:41:27+00:00"
 
 
 def test_envelope(spark, routed):
