@@ -97,17 +97,17 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     document with the least. One document is its own next. Extra columns are
     left out; an empty table gives no rows.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    order = next_ids(docs)
-    rows = docs.select("doc_id", text.alias("text"))
-    ids = docs.select(F.col("doc_id").alias("_id"))
-    first = ids.agg(F.min("_id").alias("_least"))
-    rows = rows.join(order, F.col("doc_id") == F.col("_id"), "left").join(F.broadcast(first))  # one row
-    rows = rows.select("doc_id", "text", F.coalesce("_next", "_least").alias("_next"))
-    least = Window.partitionBy("_next").orderBy("other")
-    others = docs.where("doc_id is not null").select(F.col("doc_id").alias("_next"), text.alias("other"))
-    others = others.withColumn("_n", F.row_number().over(least)).where("_n = 1").drop("_n")
-    rows = rows.join(others, "_next", "left").select("doc_id", "text", F.coalesce("other", F.lit("")).alias("other"))
+    order = next_ids(docs).withColumnRenamed("_id", "_before")
+    last = docs.agg(F.max("doc_id")).first()[0]
+    # Each text is shuffled twice: by its own id, and on to the document before it.
+    # A row without id stands with the last document, whose next is the least one.
+    key = F.coalesce(F.col("doc_id"), F.lit(last), F.lit(0)).alias("_id")
+    rows = docs.select("doc_id", key, F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    least = Window.partitionBy("_id").orderBy("_none", "other")
+    others = rows.hint("merge").join(order, F.col("_id") == F.col("_next"))
+    others = others.select(F.col("_before").alias("_id"), F.col("doc_id").isNull().alias("_none"), F.col("text").alias("other"))
+    others = others.withColumn("_n", F.row_number().over(least)).where("_n = 1").select("_id", "other")
+    rows = rows.hint("merge").join(others, "_id", "left").select("doc_id", "text", F.coalesce("other", F.lit("")).alias("other"))
     rows = rows.withColumn("edited", edited(F.col("text"), F.col("other")))
     for name in ("text", "edited"):
         rows = rows.withColumn(f"_p_{name}", paragraphs(F.col(name)))
