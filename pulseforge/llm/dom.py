@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from functools import lru_cache
-from html.parser import HTMLParser
+from html import unescape
 
 import numpy as np
 
@@ -55,25 +56,57 @@ NUMBERS = (
 FEATURES = (*NUMBERS, *(f"tag_{t}" for t in TAGS), *(f"attr_{f}" for f in FAMILIES), *(f"in_{t}" for t in LANDMARKS), *(f"in_attr_{f}" for f in FAMILIES), "parent_main", "parent_text")
 
 
-class Page(HTMLParser):
+#: A comment, a tag (its slash, name and attributes), or another declaration. What
+#: the page's end cuts off counts as closed there. No part of a match is given back
+#: once taken, so that reading takes time in proportion to the page.
+_MARKUP = re.compile(
+    r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]|=\s*+(?:"[^"]*+"?|'[^']*+'?)?)*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)""", re.DOTALL
+)
+_NAMED = re.compile(r"""(?:^|[\s"'/])(?:class|id|role)\s*=\s*("[^"]*|'[^']*|[^\s"'>]+)""", re.IGNORECASE)
+#: Elements whose content holds no tags, and those of them that are text (fixed by HTML).
+RAW = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)", re.IGNORECASE) for t in "script style textarea title xmp iframe noembed noframes".split()}
+RAW_TEXT = frozenset(("textarea", "title", "xmp"))
+
+
+class Page:
     """Nodes in page order, parents first: ``tag``, ``parent``, ``depth``,
     ``attrs``; text runs are nodes with ``text`` and ``linked`` characters."""
 
     def __init__(self, html: str):
-        super().__init__(convert_charrefs=True)
         self.tag, self.parent, self.depth, self.attrs = [], [], [], []
         self.text: list[str] = []
         self.linked: list[int] = []
         self._open: list[int] = []
+        self._many: Counter[str] = Counter()  # open elements of a name
         self._silent, self._link = 0, 0
         self._waiting: list[str] = []
         self._waiting_linked = 0
         self._add("#page", "")
         self._open.append(0)
-        self.feed(html)
-        self.close()
+        self._read(html)
         self._flush()
 
+    def _read(self, html: str) -> None:
+        at = 0
+        while found := _MARKUP.search(html, at):
+            self._data(html[at:found.start()])
+            at = found.end()
+            slash, tag, attrs = found.groups()
+            if not tag:
+                continue
+            tag = tag.lower()
+            if slash:
+                self._end(tag)
+                continue
+            self._start(tag, attrs)
+            if tag in RAW:
+                end = RAW[tag].search(html, at)
+                stop = end.start() if end else len(html)
+                if tag in RAW_TEXT:
+                    self._data(html[at:stop])
+                at = stop
+        self._data(html[at:])
+
     def _add(self, tag: str, attrs: str, text: str = "", linked: int = 0) -> None:
         self.tag.append(tag)
         self.parent.append(self._open[-1] if self._open else -1)
@@ -88,25 +121,28 @@ class Page(HTMLParser):
             self._add(TEXT, "", text, min(self._waiting_linked, len(text)))
         self._waiting, self._waiting_linked = [], 0
 
-    def _close(self, tags: tuple[str, ...], beyond: tuple[str, ...] = ()) -> bool:
+    def _close(self, tags: tuple[str, ...], beyond: tuple[str, ...] = ()) -> None:
+        if not any(self._many[t] for t in tags):
+            return
         for at in range(len(self._open) - 1, 0, -1):
             tag = self.tag[self._open[at]]
             if tag in tags:
                 self._flush()
+                for node in self._open[at:]:
+                    self._many[self.tag[node]] -= 1
                 del self._open[at:]
-                return True
+                return
             if tag in beyond:
-                return False
-        return False
+                return
 
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+    def _start(self, tag: str, attrs: str) -> None:
         if tag in VOID:
             if tag == "br":
                 self._waiting.append(" ")
             elif tag == "hr":
                 self._flush()
         elif tag in SILENT:
-            self._silent += 1
+            self._silent += tag in RAW or not attrs.endswith("/")
         elif tag == "a":
             self._link += 1
         elif tag not in INLINE:
@@ -115,15 +151,11 @@ class Page(HTMLParser):
             if tag in ENDS:
                 self._close(*ENDS[tag])
             self._link = 0
-            self._add(tag, " ".join(v for k, v in attrs if k in ("class", "id", "role") and v))
+            self._add(tag, " ".join(unescape(v.lstrip("\"'")) for v in _NAMED.findall(attrs)) if attrs else "")
             self._open.append(len(self.tag) - 1)
+            self._many[tag] += 1
 
-    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        # A closing slash counts for nothing in HTML, but for foreign elements.
-        if tag not in SILENT:
-            self.handle_starttag(tag, attrs)
-
-    def handle_endtag(self, tag: str) -> None:
+    def _end(self, tag: str) -> None:
         if tag in SILENT:
             self._silent = max(0, self._silent - 1)
         elif tag == "a":
@@ -131,8 +163,9 @@ class Page(HTMLParser):
         elif tag not in INLINE and tag not in VOID:
             self._close((tag,))
 
-    def handle_data(self, data: str) -> None:
-        if not self._silent:
+    def _data(self, data: str) -> None:
+        if data and not self._silent:
+            data = unescape(data) if "&" in data else data
             self._waiting.append(data)
             if self._link:
                 self._waiting_linked += len(data.strip())

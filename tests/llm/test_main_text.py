@@ -86,3 +86,18 @@ def test_sums_over_subtrees():
     rows = dom.measure(page)
     chars = np.expm1(rows[:, dom.FEATURES.index("chars")]).round().astype(int).tolist()
     assert [(t, c) for t, c in zip(page.tag, chars)] == [("#page", 12), ("body", 12), ("div", 8), ("p", 6), ("#text", 6), ("p", 2), ("#text", 2), ("p", 4), ("#text", 4)]
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<p>a<!-- <p>x</p> -->b<br>c", ["ab c"]), ("<![if x]>a<![endif]>b<![foo[", ["ab"]), ("<script>'</p><p>no'</script>a", ["a"]), ("<SCRIPT>no", []),
+    ("<title>a &amp; <b></title>c", ["a & <b>", "c"]), ("<p title='>'>a<P class=\"b>\">c", ["a", "c"]), ("a < b &lt; c", ["a < b < c"]), ("<li>a<li>b<ul><li>c</ul>d", ["a", "b", "c", "d"]),
+    ("<td>a<p>b<td>c", ["a", "b", "c"]), ("<svg><text>no</text></svg>a<svg/>b", ["ab"]), ("<p>a</div></b>b", ["ab"]),
+])
+def test_markup(html, text):
+    assert [t for t in dom.Page(html).text if t] == text
+
+
+@pytest.mark.parametrize("part", ["<", "<a ", "<!--", "</p", "&", "<div>", "<p class='", "<script>"])
+def test_reading_takes_time_in_proportion(part):
+    page = dom.Page(part * 30_000)
+    assert len(dom.measure(page)) == len(page.tag)
