@@ -51,6 +51,30 @@ def _anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anomalies.detect(_readings(spark, sf_dir))
 
 
+_built: dict[tuple[str, str], Tables] = {}
+
+
+def _tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """The tables that both consumers make of all messages, written once per
+    session and input to the shared folder. The panels read these."""
+    key = (configure(spark).sparkContext.applicationId, sf_dir)
+    if key not in _built:
+        tables = Tables(work_dir(spark, "tables"))
+        messages = _messages(spark, sf_dir)
+        pipeline.ingest(spark, messages, tables)
+        pipeline.detect(spark, messages, tables)
+        _built[key] = tables
+    return _built[key]
+
+
+def _stored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tables(spark, sf_dir).read_events(spark)
+
+
+def _stored_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tables(spark, sf_dir).read_anomalies(spark)
+
+
 def _as_of(spark: SparkSession, sf_dir: str) -> Column:
     """Time of the last reading: the panels' "now"."""
     return _source(spark, sf_dir).agg(F.max("ts").cast("timestamp")).scalar()
@@ -157,13 +181,13 @@ def anomaly_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _breakdown(width: timedelta) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return metrics.type_breakdown(metrics.trailing(_anomalies(spark, sf_dir), width, _as_of(spark, sf_dir)))
+        return metrics.type_breakdown(metrics.trailing(_stored_anomalies(spark, sf_dir), width, _as_of(spark, sf_dir)))
 
     return query
 
 
 def anomaly_type_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.type_severity_counts(_anomalies(spark, sf_dir))
+    return metrics.type_severity_counts(_stored_anomalies(spark, sf_dir))
 
 
 def rolling_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,31 +202,31 @@ def previous_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    in_range = metrics.time_range(_valid(spark, sf_dir), _start(spark, sf_dir), _as_of(spark, sf_dir))
+    in_range = metrics.time_range(_stored_events(spark, sf_dir), _start(spark, sf_dir), _as_of(spark, sf_dir))
     return plain_times(metrics.per_minute(in_range))
 
 
 def anomalies_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    in_range = metrics.time_range(_anomalies(spark, sf_dir), _start(spark, sf_dir), _as_of(spark, sf_dir))
+    in_range = metrics.time_range(_stored_anomalies(spark, sf_dir), _start(spark, sf_dir), _as_of(spark, sf_dir))
     return plain_times(metrics.per_minute(in_range))
 
 
 def events_per_minute_default_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     now = _as_of(spark, sf_dir)
-    in_range = metrics.time_range(_valid(spark, sf_dir), now - F.lit(metrics.DEFAULT_RANGE), now)
+    in_range = metrics.time_range(_stored_events(spark, sf_dir), now - F.lit(metrics.DEFAULT_RANGE), now)
     return plain_times(metrics.per_minute(in_range))
 
 
 def _panel(panel: Callable[[DataFrame], DataFrame], width: timedelta) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return panel(metrics.trailing(_valid(spark, sf_dir), width, _as_of(spark, sf_dir)))
+        return panel(metrics.trailing(_stored_events(spark, sf_dir), width, _as_of(spark, sf_dir)))
 
     return query
 
 
 def stat_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both rate panels and their colours, per customer."""
-    return metrics.rate_stats(_valid(spark, sf_dir), "customer_id").select(
+    return metrics.rate_stats(_stored_events(spark, sf_dir), "customer_id").select(
         "customer_id",
         "average",
         metrics.average_band(F.col("average")).alias("average_band"),
@@ -212,27 +236,27 @@ def stat_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recent_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = plain_times(metrics.recent_anomalies(_anomalies(spark, sf_dir)))
+    rows = plain_times(metrics.recent_anomalies(_stored_anomalies(spark, sf_dir)))
     return rows.withColumn("heart_rate", F.col("heart_rate").cast("int"))
 
 
 def last_n_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = lookup.last_readings(_valid(spark, sf_dir), 5)
+    rows = lookup.last_readings(_stored_events(spark, sf_dir), 5)
     return plain_times(rows.select("customer_id", "position", "event_id", "event_time"))
 
 
 def customer_last_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = lookup.customer_last_readings(_valid(spark, sf_dir), CUSTOMER, 10)
+    rows = lookup.customer_last_readings(_stored_events(spark, sf_dir), CUSTOMER, 10)
     return plain_times(rows.select("customer_id", "event_id", "event_time"))
 
 
 def customer_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _anomaly_columns(lookup.customer_anomalies(_anomalies(spark, sf_dir), CUSTOMER))
+    return _anomaly_columns(lookup.customer_anomalies(_stored_anomalies(spark, sf_dir), CUSTOMER))
 
 
 def _recent_events(width: timedelta) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = lookup.recent_events(_valid(spark, sf_dir), width, _as_of(spark, sf_dir))
+        rows = lookup.recent_events(_stored_events(spark, sf_dir), width, _as_of(spark, sf_dir))
         return plain_times(rows.select("event_id", "customer_id", "event_time"))
 
     return query
@@ -247,7 +271,7 @@ def quality_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trace_to_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = lookup.trace_to_source(_valid(spark, sf_dir), _messages(spark, sf_dir))
+    rows = lookup.trace_to_source(_stored_events(spark, sf_dir), _messages(spark, sf_dir))
     return rows.select("event_id", "source_topic", "source_partition", "source_offset", "raw")
 
 
@@ -257,7 +281,7 @@ def ingest_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def throughput_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain_times(metrics.throughput(_valid(spark, sf_dir)))
+    return plain_times(metrics.throughput(_stored_events(spark, sf_dir)))
 
 
 def publish_events(spark: SparkSession, sf_dir: str) -> DataFrame:
