@@ -51,28 +51,26 @@ def _anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anomalies.detect(_readings(spark, sf_dir))
 
 
-_built: dict[tuple[str, str], Tables] = {}
+_built: dict[tuple[str, str, str], Tables] = {}
 
 
-def _tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """The tables that both consumers make of all messages, written once per
-    session and input to the shared folder. The panels read these."""
-    key = (configure(spark).sparkContext.applicationId, sf_dir)
+def _tables(spark: SparkSession, sf_dir: str, consumer: Callable) -> Tables:
+    """The tables that a consumer makes of all messages, written once per session
+    and input to the shared folder. The panels read these."""
+    key = (configure(spark).sparkContext.applicationId, sf_dir, consumer.__name__)
     if key not in _built:
-        tables = Tables(work_dir(spark, "tables"))
-        messages = _messages(spark, sf_dir)
-        pipeline.ingest(spark, messages, tables)
-        pipeline.detect(spark, messages, tables)
+        tables = Tables(work_dir(spark, consumer.__name__))
+        consumer(spark, _messages(spark, sf_dir), tables)
         _built[key] = tables
     return _built[key]
 
 
 def _stored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tables(spark, sf_dir).read_events(spark)
+    return _tables(spark, sf_dir, pipeline.ingest).read_events(spark)
 
 
 def _stored_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tables(spark, sf_dir).read_anomalies(spark)
+    return _tables(spark, sf_dir, pipeline.detect).read_anomalies(spark)
 
 
 def _as_of(spark: SparkSession, sf_dir: str) -> Column:
@@ -186,6 +184,11 @@ def _breakdown(width: timedelta) -> Query:
     return query
 
 
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anomalies by type of the last 30 days, straight from the messages."""
+    return metrics.type_breakdown(metrics.trailing(_anomalies(spark, sf_dir), MONTH, _as_of(spark, sf_dir)))
+
+
 def anomaly_type_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.type_severity_counts(_stored_anomalies(spark, sf_dir))
 
