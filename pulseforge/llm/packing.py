@@ -118,10 +118,11 @@ def assign(placed: DataFrame, size: int = SIZE) -> DataFrame:
     in_row = (F.col("length") == F.col("plan_length")) & (F.col("_rank") >= F.col("from_rank")) & (F.col("_rank") < F.col("to_rank"))
     joined = ranked.join(F.broadcast(planned), in_row)
     step = F.col("_rank") - F.col("from_rank")
+    within = F.pmod(step, F.col("per_sequence"))
     return joined.select(
         *[c for c in placed.columns if c != "_salt"],
-        (F.col("first_sequence") + F.floor(step / F.col("per_sequence"))).alias("sequence_id"),
-        (F.col("offset") + F.pmod(step, F.col("per_sequence")) * F.col("length")).alias("offset"),
+        (F.col("first_sequence") + ((step - within) / F.col("per_sequence")).cast("long")).alias("sequence_id"),
+        (F.col("offset") + within * F.col("length")).alias("offset"),
     )
 
 
