@@ -32,7 +32,7 @@ from pulseforge.llm.common import Words, blocks, written
 MIN_WORDS = 35
 GRAM = 8
 #: Cuts of one anchor that one task holds.
-SHARE = 20_000
+SHARE = 4_000
 _SLICE = 1 << 18
 
 
@@ -192,7 +192,9 @@ def runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     gram = max(1, min(GRAM, min_words // 2))
     keyed = _keyed(docs)
     anchors = written(_anchors(keyed, min_words, gram), "anchors")
-    many = anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    # Written, so that both sides of the join are plain shuffles and Spark can
+    # split a frequent anchor over tasks.
+    many = written(anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "anchor-counts")
     parts = F.ceil(F.col("n") / SHARE).cast("int").alias("parts")
     marks = anchors.join(many, "anchor").groupBy("_id", "_th").agg(F.collect_list(F.struct("position", parts)).alias("marks"))
     cuts = _cuts(keyed.join(marks, ["_id", "_th"]), min_words, gram)
