@@ -31,6 +31,8 @@ RELAX = 1.2
 SHARD_VECTORS = 8_192
 SHARD_BYTES = 16 << 20
 BLOCK_QUERIES = 2_048
+#: Tasks that shards are dealt to at most; a task then builds several.
+MOST_TASKS = 20_000
 _AT_ONCE = 4
 
 
@@ -206,6 +208,11 @@ def _search(pairs: DataFrame, top: int, beam: int) -> DataFrame:
     return pairs.mapInArrow(search, "query_id long, rep long, score double")
 
 
+def dealt_to(sizes: DataFrame) -> int:
+    """The number of shards of all dimensions."""
+    return sizes.agg(F.coalesce(F.sum("shards"), F.lit(0))).first()[0]
+
+
 def search(vectors: DataFrame, is_query: Column, top: int = TOP, beam: int = BEAM, vector: str = "embedding", vec_id: str = "vec_id") -> DataFrame:
     """The ``top`` nearest found for each query: ``query_id``, ``rank``, ``vec_id``, ``score``.
 
@@ -232,6 +239,10 @@ def search(vectors: DataFrame, is_query: Column, top: int = TOP, beam: int = BEA
     sizes = sizes.select("dim", "longest", F.ceil(F.col("_all") / per_shard).cast("int").alias("shards"), per_shard.cast("int").alias("_size"))
     shard = F.pmod(F.xxhash64("vec_id"), F.col("shards")).cast("int").alias("shard")
     dealt = distinct.join(sizes, "dim").select("dim", shard, "vec_id", "vector", "longest")
+    # A small table is one partition to Spark, but each shard is a long piece of work.
+    spark = rows.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_TASKS, dealt_to(sizes)))
+    dealt = dealt.repartition(tasks, "dim", "shard")
     graphs = dealt.groupBy("dim", "shard").applyInArrow(_build_shard, "dim int, shard int, ids binary, vectors binary, graph binary, start int, longest double")
     graphs = written(graphs, "graphs")
 
@@ -242,7 +253,7 @@ def search(vectors: DataFrame, is_query: Column, top: int = TOP, beam: int = BEA
     packed = asked.select("dim", "block", "vec_id", "vector").groupBy("dim", "block").applyInArrow(_pack_queries, "dim int, block int, query_ids binary, queries binary")
     # Every block of queries goes to every shard of its dimension.
     packed = packed.join(blocks.select("dim", "shards"), "dim").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).drop("shards")
-    pairs = packed.join(graphs, ["dim", "shard"]).repartition("dim", "shard", "block")
+    pairs = packed.join(graphs, ["dim", "shard"]).repartition(tasks, "dim", "shard", "block")
     found = _search(pairs, top + 1, beam)
 
     hits = found.join(members.select("rep", "vec_id"), "rep").where("query_id != vec_id").select("query_id", "vec_id", "score")
