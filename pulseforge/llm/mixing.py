@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulseforge.llm.common import WORD, pick, unit_hash
+from pulseforge.llm.common import WORD, pick, unit_hash, written
 
 WEIGHTS = (3.0, 1.0, 2.0)
 BUDGET = 1.5
@@ -16,6 +16,8 @@ REPEATS = 2.0
 #: Documents above this share of their source are drawn together, so that one
 #: of them does not decide how near the source comes to its target.
 LARGE_SHARE = 0.001
+#: Sources (one short row each) that are sent to every executor.
+BROADCAST_SOURCES = 100_000
 
 
 def targets(totals: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float = BUDGET, repeats: float = REPEATS) -> DataFrame:
@@ -49,7 +51,9 @@ def _drawn(rows: DataFrame, weights: Sequence[float], budget: float, repeats: fl
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
     rows = rows.withColumn("size", size)
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    goals = targets(totals, weights, budget, repeats).withColumnRenamed("source", "_source")
+    goals = written(targets(totals, weights, budget, repeats), "targets").withColumnRenamed("source", "_source")
+    # Texts are shuffled by source only if there are too many sources to send out.
+    goals = F.broadcast(goals) if goals.count() <= BROADCAST_SOURCES else goals
     rows = rows.join(goals, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     rows = rows.withColumn("_whole", F.floor(rate)).withColumn("_part", rate - F.floor(rate))
