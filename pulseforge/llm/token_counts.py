@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulseforge.llm import running, tokens
-from pulseforge.llm.common import blocks
+from pulseforge.llm.common import blocks, written
 
 
 def lengths(docs: DataFrame, text: str = "text", end_token: bool = True) -> DataFrame:
@@ -34,7 +34,8 @@ def histogram(docs: DataFrame, text: str = "text", end_token: bool = True) -> Da
     an empty table gives no rows. The table has as many rows as there are
     distinct lengths, however many documents there are.
     """
-    rows = lengths(docs, text, end_token).groupBy("n_tokens").agg(F.count("*").alias("n_docs"))
+    # Written, as it is read several times: texts are encoded once.
+    rows = written(lengths(docs, text, end_token).groupBy("n_tokens").agg(F.count("*").alias("n_docs")), "lengths")
     rows = rows.withColumn("tokens", F.col("n_tokens") * F.col("n_docs"))
     rows = running.suffix_sums(rows, "n_tokens", {"n_docs": "docs_from", "tokens": "tokens_from"})
     total = rows.agg(F.sum("n_docs").alias("_docs"), F.sum("tokens").alias("total_tokens"))
@@ -50,22 +51,21 @@ def at_limits(table: DataFrame, limits: Sequence[int]) -> DataFrame:
     """Tokens kept, documents cut and tokens lost for context limits, from a
     ``histogram``. Each limit reads the shortest length at or above it; a limit
     above all lengths cuts nothing."""
-    spark = table.sparkSession
-    wanted = spark.createDataFrame([(int(x),) for x in sorted(set(limits))], "context_limit long")
-    longer = F.col("n_tokens") > F.col("context_limit")
-    cut = F.coalesce(F.sum(F.when(longer, F.col("n_docs"))), F.lit(0))
     total = F.coalesce(F.sum("tokens"), F.lit(0))
-    kept = F.coalesce(F.sum(F.least("n_tokens", "context_limit") * F.col("n_docs")), F.lit(0))
-    rows = F.broadcast(wanted).join(table.select("n_tokens", "n_docs", "tokens"), how="left")
-    return rows.groupBy("context_limit").agg(cut.alias("docs_cut"), kept.alias("tokens_kept"), (total - kept).alias("tokens_lost"))
+
+    def entry(limit: int) -> Column:
+        kept = F.coalesce(F.sum(F.least(F.col("n_tokens"), F.lit(limit)) * F.col("n_docs")), F.lit(0))
+        cut = F.coalesce(F.sum(F.when(F.col("n_tokens") > limit, F.col("n_docs"))), F.lit(0))
+        return F.struct(F.lit(limit).cast("long").alias("context_limit"), cut.alias("docs_cut"), kept.alias("tokens_kept"), (total - kept).alias("tokens_lost"))
+
+    return table.agg(F.array(*[entry(int(x)) for x in sorted(set(limits))]).alias("_limits")).select(F.inline("_limits"))
 
 
 def quantiles(table: DataFrame, shares: Sequence[float]) -> DataFrame:
     """The shortest length that at least each share of documents does not exceed."""
-    spark = table.sparkSession
-    wanted = F.broadcast(spark.createDataFrame([(float(x),) for x in shares], "share double"))
-    reached = table.select("n_tokens", "quantile").join(wanted, F.col("quantile") >= F.col("share"))
-    return reached.groupBy("share").agg(F.min("n_tokens").alias("n_tokens"))
+    reached = lambda x: F.min(F.when(F.col("quantile") >= x, F.col("n_tokens")))
+    entries = [F.struct(F.lit(float(x)).alias("share"), reached(float(x)).alias("n_tokens")) for x in shares]
+    return table.agg(F.array(*entries).alias("_shares")).select(F.inline("_shares")).where("n_tokens is not null")
 
 
 def op1_token_length_histogram(spark, sf_dir: str) -> DataFrame:
