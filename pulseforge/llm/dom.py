@@ -53,7 +53,7 @@ NUMBERS = (
     "depth", "is_text", "own_chars", "chars", "links", "runs", "blocks", "chars_per_block", "ends", "words_per_end", "index", "siblings",
     "share_of_parent", "alike", "sibling_chars", "place", "share_of_page", "longest", "paragraphs", "headings",
 )
-FEATURES = (*NUMBERS, *(f"tag_{t}" for t in TAGS), *(f"attr_{f}" for f in FAMILIES), *(f"in_{t}" for t in LANDMARKS), *(f"in_attr_{f}" for f in FAMILIES), "parent_main", "parent_text")
+FEATURES = (*NUMBERS, *(f"tag_{t}" for t in TAGS), *(f"attr_{f}" for f in FAMILIES), *(f"in_{t}" for t in LANDMARKS), *(f"in_attr_{f}" for f in FAMILIES), "parent_main", "parent_text", "page_marked")
 
 
 #: A comment, a tag (its slash, name and attributes), or another declaration. What
@@ -223,8 +223,11 @@ def measure(page: Page) -> np.ndarray:
         before / total, chars / total, np.log1p(longest), np.log1p(paragraphs), np.log1p(headings),
     )
     tag = np.array([_TAG.get(t, -1) for t in tags])
+    # Characters of the page in elements that are marked as an article.
+    main, content = _LANDMARK_BIT["article"] | _LANDMARK_BIT["main"], 1 << list(FAMILIES).index("content")
+    marked = sum(k for k, a, b in zip(own, over, inside) if a & main or b & content)
     bits = lambda masks, k: np.array(masks)[:, None] >> np.arange(k) & 1
     return np.column_stack([
         *numbers, tag[:, None] == np.arange(len(TAGS)), bits(own_names, len(FAMILIES)), bits(over, len(LANDMARKS)), bits(inside, len(FAMILIES)),
-        np.isin(tag[up], (_TAG["article"], _TAG["main"])), chars[up] / total,
+        np.isin(tag[up], (_TAG["article"], _TAG["main"])), chars[up] / total, np.full(n, marked / total),
     ]).astype(np.float32)

@@ -5,18 +5,23 @@ nodes are then chosen together: a node can only be in if its parent is, and the
 choice with the largest sum of log-odds wins, so that no text is kept inside a
 part that goes.
 
-There are no labelled pages, so the trees learn from marks that authors leave.
-On a bounded sample of the given pages and on layouts laid out by rule (with the
-parts that pages have: menus, notices, sidebars, comments and so on, under many
-names), a text run is article text if it stands in an element named as an article
-and in none named as something else. The trees do not see that rule, but the
-node's and its ancestors' names beside the shape of the page, and so also decide
-where names are missing.
+There are no labelled pages, so the trees learn from two kinds of examples. On a
+bounded sample of the given pages that mark an article, a text run is article text
+if it stands in an element named as an article and in none named as something else;
+a page without such a mark says nothing and is left out. Layouts made in code (with
+the parts that pages have: menus, notices, sidebars, comments and so on, under many
+names) know which text is their article's, whatever it stands in: a named element,
+one without a name or with any other, a table cell, or the body itself. A share of
+both is shown with the article's names or all names taken away, under the same
+labels, so that text density, place and siblings must decide there.
 """
 
 from __future__ import annotations
 
+import copy
 import random
+import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +37,8 @@ FIT_PAGES = 150
 FIT_NODES = 200
 LAYOUTS = 300
 
+#: Stands before each piece of article text of a layout, to tell its label.
+_MARK = "\ue000"
 _GONE = frozenset("head nav footer aside form dialog noscript button select textarea".split())
 _NAMES = {name: i for i, name in enumerate(dom.FAMILIES)}
 _GONE_NAMES = frozenset(_NAMES[n] for n in ("advert", "menu", "footer", "sidebar", "notice", "form", "comment", "share"))
@@ -55,15 +62,29 @@ def marked(page: dom.Page) -> np.ndarray:
     return label
 
 
-def layout(number: int) -> str:
-    """A page laid out by rule; each number gives another one."""
+def unnamed(page: dom.Page, label: np.ndarray, everything: bool) -> dom.Page:
+    """The page without names, and plain elements for marks, of the article and what
+    is around it; or of all elements."""
+    bare = copy.copy(page)
+    gone = [everything or bool(y) for y in label]
+    bare.attrs = ["" if g else a for g, a in zip(gone, page.attrs)]
+    bare.tag = ["div" if g and t in ("article", "main") else t for g, t in zip(gone, page.tag)]
+    return bare
+
+
+def layout(number: int) -> tuple[str, str]:
+    """A page laid out by rule, and the same with ``_MARK`` before each piece of
+    article text; each number gives another one. Odd numbers have containers of
+    any name or none, even ones containers named as an article."""
     rng = random.Random(number)
     pick_one = lambda *options: rng.choice(options)
     word = lambda: "".join(rng.choices("etaoinshrdlu", k=rng.randrange(1, 10)))
     sentence = lambda: " ".join(word() for _ in range(rng.choice((1, 2, 5, 9, 17)))).capitalize() + pick_one(".", ".", "!", "?")
 
-    def prose(low: int = 1, high: int = 9) -> str:
-        return " ".join(sentence() for _ in range(rng.randrange(low, high)))
+    most = pick_one(3, 9, 9)  # sentences: pages of short and of long texts
+
+    def prose() -> str:
+        return " ".join(sentence() for _ in range(rng.randrange(1, most)))
 
     def links() -> str:
         items = [f'<li><a href="#">{word()}</a></li>' for _ in range(rng.randrange(2, 9))]
@@ -105,27 +126,38 @@ def layout(number: int) -> str:
             return f'<div class="{pick_one("share", "social", "share-buttons")}">{links()}</div>'
         raise ValueError(kind)
 
+    def own(html: str) -> str:
+        return re.sub(r"(^|>)(?=[^<])", rf"\1{_MARK}", html)
+
     def article() -> str:
-        out = [pick_one(f"<h1>{sentence()}</h1>", f"<h1>{word()}</h1>", f"<header><h1>{sentence()}</h1></header>", f"<h2>{sentence()}</h2>", "")]
+        out = [own(pick_one(f"<h1>{sentence()}</h1>", f"<h1>{word()}</h1>", f"<header><h1>{sentence()}</h1></header>", f"<h2>{sentence()}</h2>", ""))]
         for _ in range(int(rng.randrange(0, 4) if rng.random() < 0.3 else rng.randrange(2, 20))):
-            out.append(
+            out.append(own(
                 pick_one(*[f"<p>{prose()}</p>"] * 8, f"<p>{sentence()}</p>", f"<p><b>{prose()}<br>", f"<h2>{sentence()}</h2>", f"<ul><li>{sentence()}</li><li>{prose()}</li></ul>",
                          f"<blockquote><p>{prose()}</p></blockquote>", f"<table><tr><td>{word()}</td><td>{sentence()}</td></tr></table>", f"<div>{prose()}</div>", f"<pre>{prose()}</pre>",
-                         f"<p>{prose()} <a href='#'>{sentence()}</a> {sentence()}</p>", f"<ol><li>{sentence()}</li></ol>", f"<figure><img><figcaption>{sentence()}</figcaption></figure>")
-            )
+                         f"<p>{prose()} <a href='#'>{sentence()}</a> {sentence()}</p>", f"<p>{sentence()} <a href='#'>{word()}</a>.</p>", f"<p>{word()} {word()} with <a href='#'>{word()} {word()}</a>.", f"<ul><li>{word()} {word()}<li>{word()} {word()}</ul>", f"<ol><li>{sentence()}</li></ol>", f"<figure><img><figcaption>{sentence()}</figcaption></figure>")
+            ))
             if rng.random() < 0.12:
                 out.append(part(pick_one("advert", "advert", "sidebar", "form", "share", "notice", "menu")))
         if rng.random() < 0.2:
             out.append(part("comments"))
+        other = pick_one("body-text", "text", "copy", "read", "inner", "col-8", "left", "center", "td-block", "page-body", "fulltext", word(), word())
         a, b = pick_one(
+            ("", ""), ("<div>", "</div>"), ("<div>", "</div>"), ("<section>", "</section>"), ("<div><div>", "</div></div>"), ("<table><tr><td>", "</td></tr></table>"),
+            (f"<table><tr><td>{links()}</td><td>", "</td></tr></table>"), ("<center>", "</center>"), (f'<div id="{other}">', "</div>"), (f'<div class="{other}">', "</div>"),
+            (f'<div class="row"><div class="{other}">', "</div></div>"), (f'<section class="{other}">', "</section>"), (f'<td class="{other}">', "</td>"),
+        ) if number % 2 else pick_one(
             ("<article>", "</article>"), ("<article>", "</article>"), ('<article class="post">', "</article>"), ("<main>", "</main>"), ("<main><article>", "</article></main>"),
             ('<div class="article">', "</div>"), ('<div class="content">', "</div>"), ('<div id="post-12" class="entry">', "</div>"), ('<div id="main-content">', "</div>"),
             ('<section class="story">', "</section>"), ('<div class="article-body">', "</div>"),
         )
         return a + "".join(out) + b
 
-    if number % 12 == 0:  # a fragment
-        return pick_one(f"<article><p>{word()}</p></article>", article(), article() + part("footer"), part("menu") + article(), prose(), part("comments"), f"<div><p>{prose()}</p></div>")
+    def both(html: str) -> tuple[str, str]:
+        return html.replace(_MARK, ""), html
+
+    if number % 12 in (0, 5):  # a fragment
+        return both(pick_one(own(f"<article><p>{word()}</p></article>"), article(), article() + part("footer"), part("menu") + article(), own(prose()), part("comments"), own(f"<div><p>{prose()}</p></div>")))
     before = [part(k) for k in ("menu", "header", "notice", "advert", "sidebar", "form", "share") if rng.random() < 0.5]
     after = [part(k) for k in ("comments", "sidebar", "form", "advert", "share", "menu", "notice", "footer", "footer") if rng.random() < 0.45]
     rng.shuffle(before)
@@ -134,19 +166,37 @@ def layout(number: int) -> str:
     if rng.random() < 0.4:
         body = f'<div class="{pick_one("wrapper", "page", "container")}">{body}</div>'
     head = f"<head><title>{sentence()}</title><style>p{{}}</style></head>" if rng.random() < 0.9 else ""
-    return f"<!DOCTYPE html><html>{head}<body>{body}</body></html>"
+    return both(f"<!DOCTYPE html><html>{head}<body>{body}</body></html>")
 
 
-def _examples(html: str) -> tuple[np.ndarray, np.ndarray]:
-    page = dom.Page(html)
+def told(page: dom.Page) -> np.ndarray:
+    """Labels of a layout from its marks: 1 for article text and elements around it."""
+    label = np.zeros(len(page.tag))
+    for i, text in enumerate(page.text):
+        at = i if _MARK in text else -1
+        while at >= 0 and not label[at]:
+            label[at] = 1
+            at = page.parent[at]
+    return label
+
+
+def _examples(page: dom.Page, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at = np.arange(1, len(page.tag))
     at = at[:: -(-len(at) // FIT_NODES) or 1]
-    return dom.measure(page)[at], marked(page)[at]
+    return dom.measure(page)[at], label[at]
+
+
+def _made(number: int) -> tuple[np.ndarray, np.ndarray]:
+    """Examples of a layout; a third have names taken away."""
+    html, mark = layout(number)
+    page, label = dom.Page(html), told(dom.Page(mark))
+    return _examples(unnamed(page, label, number % 2 == 1) if number % 3 == 0 else page, label)
 
 
 def fit(pages: DataFrame, bound: int = FIT_PAGES, layouts: int = LAYOUTS) -> boosting.Trees:
     """Fit on about ``bound`` pages (picked by a hash of their text; all, if fewer),
-    ``FIT_NODES`` evenly spaced nodes of each at most, and on the layouts."""
+    ``FIT_NODES`` evenly spaced nodes of each at most, and on the layouts. Of the
+    picked pages those that mark no article are left out."""
     rows = pages.where(F.col("html").isNotNull()).select("html")
     many = rows.count()
     if many > bound:
@@ -155,11 +205,17 @@ def fit(pages: DataFrame, bound: int = FIT_PAGES, layouts: int = LAYOUTS) -> boo
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, column in blocks(batches, "html"):
             for html in column.to_pylist():
-                x, y = _examples(html)
-                yield pa.record_batch({"x": pa.array([x.tobytes()], pa.binary()), "y": pa.array([y.tobytes()], pa.binary())})
+                page = dom.Page(html)
+                label = marked(page)
+                if not label.any():
+                    continue
+                kind = zlib.crc32(html.encode("utf-8", "replace")) % 4
+                for shown in [page] + [unnamed(page, label, kind == 0)] * (kind < 2):
+                    x, y = _examples(shown, label)
+                    yield pa.record_batch({"x": pa.array([x.tobytes()], pa.binary()), "y": pa.array([y.tobytes()], pa.binary())})
 
     found = sorted((bytes(r["x"]), bytes(r["y"])) for r in rows.mapInArrow(learn, "x binary, y binary").collect())
-    made = [_examples(layout(i)) for i in range(layouts)]
+    made = [_made(i) for i in range(2 * layouts)]
     width = len(dom.FEATURES)
     x = np.concatenate([*[np.frombuffer(a, dtype=np.float32).reshape(-1, width) for a, _ in found], *[a for a, _ in made]])
     y = np.concatenate([*[np.frombuffer(b) for _, b in found], *[b for _, b in made]])

@@ -55,6 +55,30 @@ def test_parts_that_go(spark, trees, opening):
     assert right >= 0.9 * len(rows), [(r.page_id, r.text) for r in rows if r.text != WANTED][:3]
 
 
+@pytest.mark.parametrize("opening, closing", [("<div>", "</div>"), ('<div id="body-text">', "</div>"), ("<table><tr><td>", "</td></tr></table>"), ("", ""), ('<section class="zqx">', "</section>")])
+def test_articles_without_a_name(trees, opening, closing):
+    wanted, kept, wrong = 0, 0, 0
+    for a, b in itertools.combinations(PARTS, 2):
+        page = dom.Page(HEAD + PARTS[a] + opening + "".join(BLOCKS) + closing + PARTS[b] + "</body></html>")
+        texts = [t for t, k in zip(page.text, main_text.chosen(page.parent, trees.score(dom.measure(page)))) if k and t]
+        right = sum(len(t) for t in texts if t in WANTED.split("\n"))
+        assert right > 0
+        wanted, kept, wrong = wanted + len(WANTED.replace("\n", "")), kept + right, wrong + sum(map(len, texts)) - right
+    assert kept >= 0.75 * wanted and wrong <= 0.1 * wanted
+
+
+def test_labels_without_marks(spark):
+    # A page that marks no article is no example of a page without one.
+    bare = spark.createDataFrame([(HEAD + "".join(BLOCKS),)] * 3, "html string")
+    with_bare, without = main_text.fit(bare, layouts=3), main_text.fit(bare.where("false"), layouts=3)
+    assert all((getattr(with_bare, n) == getattr(without, n)).all() for n in ("feature", "limit", "leaf"))
+    for i in range(24):
+        html, mark = main_text.layout(i)
+        page, told = dom.Page(html), main_text.told(dom.Page(mark))
+        assert page.tag == dom.Page(mark).tag and (i % 12 in (0, 5) or told.any())
+        assert i % 2 == 0 or not main_text.marked(page).any() or i % 12 == 5
+
+
 def test_messy_pages(spark, trees):
     pages = [None, "", "   ", "plain text", "<article><p>open", "<p>a<div>b</p></div>c</ul></article>", "<" * 500, "<article>" + "<div>" * 3000 + "deep", "<article><p>&#x1F600; &nosuch; &lt;b&gt;&#0;</p></article>", "<article><p>x</p></article>"]
     table = spark.createDataFrame([(i, f"u{i}", h, "k", 3) for i, h in enumerate(pages + pages[-1:])], "page_id long, url string, html string, tag string, n_chars int")
