@@ -15,7 +15,7 @@ from pulseforge.llm.common import blocks, crc_fold, mix, pick
 UNDETERMINED = "und"
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 15
-#: Labelled documents the model is fitted on, at most about (all, if fewer).
+#: Labelled documents of each language the model is fitted on, at most about (all, if fewer).
 FIT_DOCUMENTS = 40_000
 #: Below this score a document's language counts as not recognised.
 LEAST_SCORE = 0.5
@@ -98,15 +98,20 @@ def slices(column: pa.Array) -> Iterator[tuple[np.ndarray, pa.Array]]:
 def fit(docs: DataFrame, learn: Column, bound: int = FIT_DOCUMENTS) -> Model:
     """Fit on rows where ``learn`` holds and ``lang`` and ``text`` are not null.
 
-    If there are more than ``bound`` such rows, a hash of the text picks about
-    that many. Counts by language and bucket are summed on the executors; the
-    driver gets at most ``BUCKETS`` numbers per language. Counts are smoothed by
-    one half.
+    Of a language with more than ``bound`` such rows, a hash of the row (its id,
+    if it has one, and text) picks about that many; other languages are learnt
+    whole. Priors come from all rows. Counts by language and bucket are summed on
+    the executors; the driver gets at most ``BUCKETS`` numbers per language.
+    Counts are smoothed by one half.
     """
-    rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-    many = rows.count()
-    if many > bound:
-        rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int((1 << 30) * bound / many))
+    rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    documents = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    drawn = F.pmod(F.xxhash64(*[F.col(c) for c in ("doc_id", "text") if c in docs.columns]), F.lit(1 << 30))
+    shares = [(x, int((1 << 30) * bound / n)) for x, n in documents.items() if n > bound]
+    if shares:
+        share = F.broadcast(docs.sparkSession.createDataFrame(shares, "lang string, _share long"))
+        rows = rows.select("lang", "text", drawn.alias("_drawn")).join(share, "lang", "left").where(F.col("_share").isNull() | (F.col("_drawn") < F.col("_share")))
+    rows = rows.select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
@@ -123,7 +128,6 @@ def fit(docs: DataFrame, learn: Column, bound: int = FIT_DOCUMENTS) -> Model:
             yield pa.record_batch({"lang": pa.array([name] * len(at), pa.string()), "bucket": pa.array(at, pa.int32()), "n": pa.array(found[at], pa.int64())})
 
     counts = rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    documents = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = tuple(sorted(documents))
     number = {x: i for i, x in enumerate(languages)}
     found = np.full((BUCKETS, len(languages)), 0.5)

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,3 +77,18 @@ def test_bounded_sample_still_learns(documents):
     model = langid.fit(documents, F.lit(True), bound=60)
     rows = langid.predict(documents, model).where("lang is not null").collect()
     assert sum(r.lang == r.lang_pred for r in rows) / len(rows) > 0.9
+
+
+def test_every_language_is_learnt_under_the_bound(spark):
+    # A third of the large language are exact copies, the small one has few rows.
+    rows = [(i, "en", "the same words again" if i % 3 == 0 else f"{'abcde'[i % 5] * 3} and {'fghij'[i % 7 % 5]} the") for i in range(3000)]
+    rows += [(3000 + i, "xx", f"zzq qzz zqz {'uvw'[i % 3]}") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = langid.fit(docs, F.lit(True), bound=300)
+    assert model.languages == ("en", "xx")
+    assert np.exp(model.prior) == pytest.approx([3000 / 3006, 6 / 3006])
+    # Only the copies have an 'm', each one; a bucket never seen counts one half.
+    bucket = next(part[0] for part, _ in langid.features(pa.array(["m"], pa.large_string())) if len(part))
+    copies = (np.exp(model.weight[bucket, 0] - model.weight[:, 0].min()) - 1) / 2
+    assert 60 <= copies <= 150
+    assert {r.lang_pred for r in langid.predict(docs.where("lang = 'xx'"), model).collect()} == {"xx"}
