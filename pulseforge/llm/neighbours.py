@@ -6,9 +6,11 @@ relaxed distance pruning keeps those that no kept neighbour stands in for. Queri
 go in blocks to every shard, where a beam search follows the graph. The best of
 all shards are merged.
 
-One more coordinate makes all vectors equally long, so that nearness in the graph
-is the inner product's order. Equal vectors are indexed once. Scores are computed
-in double precision from the vectors as they stand.
+One more coordinate makes all vectors of a shard equally long, so that nearness in
+the graph is the inner product's order. Shards are dealt within bands of length, so
+that a very long vector does not press the others of its shard together. Equal
+vectors are indexed once. Scores are computed in double precision from the vectors
+as they stand, and where that leaves the range of doubles from scaled ones.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ RELAX = 1.2
 SHARD_VECTORS = 8_192
 SHARD_BYTES = 16 << 20
 BLOCK_QUERIES = 2_048
+#: Powers of two that lengths within a band, counted from the longest vector, span.
+BAND = 8
 #: Tasks that shards are dealt to at most; a task then builds several.
 MOST_TASKS = 20_000
 _AT_ONCE = 4
@@ -172,14 +176,41 @@ def _pack(table: pa.Table) -> tuple[bytes, bytes]:
 def _build_shard(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     dim, shard = (k.as_py() for k in key)
     ids, raw = _pack(table)
-    longest = table["longest"][0].as_py()
-    graph, start = build(_longer(np.frombuffer(raw).reshape(-1, dim), longest))
-    return pa.table({"dim": pa.array([dim], pa.int32()), "shard": pa.array([shard], pa.int32()), "ids": pa.array([ids], pa.binary()), "vectors": pa.array([raw], pa.binary()), "graph": [graph.astype(np.int32).tobytes()], "start": pa.array([start], pa.int32()), "longest": [longest]})
+    graph, start = build(_longer(np.frombuffer(raw).reshape(-1, dim)))
+    return pa.table({"dim": pa.array([dim], pa.int32()), "shard": pa.array([shard], pa.int32()), "ids": pa.array([ids], pa.binary()), "vectors": pa.array([raw], pa.binary()), "graph": [graph.astype(np.int32).tobytes()], "start": pa.array([start], pa.int32())})
 
 
-def _longer(vectors: np.ndarray, longest: float) -> np.ndarray:
-    rest = np.sqrt(np.maximum(longest**2 - (vectors**2).sum(axis=1), 0))
-    return (np.column_stack([vectors, rest]) / (longest or 1)).astype(np.float32)
+def scaled(vectors: np.ndarray, by_row: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """The vectors over a power of two, and its exponent, by which the largest
+    component (of each row, or of all) is at least one half and less than one."""
+    largest = np.abs(vectors).max(axis=1 if by_row else None, keepdims=True)
+    power = np.frexp(largest)[1].astype(np.int32)
+    return np.ldexp(vectors, -power), power
+
+
+def _longer(vectors: np.ndarray) -> np.ndarray:
+    vectors = scaled(vectors)[0]
+    square = (vectors**2).sum(axis=1)
+    return (np.column_stack([vectors, np.sqrt(square.max() - square)]) / np.sqrt(square.max())).astype(np.float32)
+
+
+def products(vectors: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Inner products of rows as mantissas (0, or from one half to below one, with
+    their sign) and exponents of two; no product overflows."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        plain = np.einsum("nd,nd->n", vectors, queries)
+    mantissa, power = np.frexp(plain)
+    beyond = np.flatnonzero(~np.isfinite(plain) | (np.abs(plain) < 1e-280))
+    if len(beyond):
+        (v, a), (q, b) = scaled(vectors[beyond], True), scaled(queries[beyond], True)
+        mantissa[beyond], more = np.frexp(np.einsum("nd,nd->n", v, q))
+        power[beyond] = np.where(mantissa[beyond] == 0, 0, more + a[:, 0] + b[:, 0])
+    return mantissa, power
+
+
+def level(mantissa: np.ndarray, power: np.ndarray) -> np.ndarray:
+    """A number that orders products of different sign or exponent as they are."""
+    return (np.sign(mantissa) * (power + 10_000)).astype(np.int32)
 
 
 def _pack_queries(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -195,17 +226,21 @@ def _search(pairs: DataFrame, top: int, beam: int) -> DataFrame:
                 ids, vectors = np.frombuffer(row["ids"], dtype=np.int64), np.frombuffer(row["vectors"]).reshape(n, dim)
                 query_ids, queries = np.frombuffer(row["query_ids"], dtype=np.int64), np.frombuffer(row["queries"]).reshape(-1, dim)
                 graph = np.frombuffer(row["graph"], dtype=np.int32).reshape(n, -1)
-                points = np.column_stack([queries, np.zeros(len(queries))]) / np.sqrt((queries**2).sum(axis=1, keepdims=True))
-                found, _ = beam_search(_longer(vectors, row["longest"]), graph, row["start"], points.astype(np.float32), min(beam, max(n, 1)))
+                points = scaled(queries, True)[0]
+                points = np.column_stack([points, np.zeros(len(points))]) / np.sqrt((points**2).sum(axis=1, keepdims=True))
+                found, _ = beam_search(_longer(vectors), graph, row["start"], points.astype(np.float32), min(beam, max(n, 1)))
                 i, j = np.nonzero(found < n)
-                scores = np.full(found.shape, -np.inf)
-                scores[i, j] = np.einsum("nd,nd->n", vectors[found[i, j]], queries[i])
-                best = np.argsort(-scores, axis=1, kind="stable")[:, :top]
-                scores, found = np.take_along_axis(scores, best, axis=1), np.take_along_axis(found, best, axis=1)
+                mantissa, power = np.zeros(found.shape), np.zeros(found.shape, dtype=np.int32)
+                mantissa[i, j], power[i, j] = products(vectors[found[i, j]], queries[i])
+                levels = np.where(found < n, level(mantissa, power), np.int32(-(1 << 30)))
+                best = np.lexsort((-mantissa, -levels), axis=1)[:, :top]
+                mantissa, power, levels, found = (np.take_along_axis(a, best, axis=1) for a in (mantissa, power, levels, found))
                 i, j = np.nonzero(found < n)
-                yield pa.record_batch({"query_id": pa.array(query_ids[i]), "rep": pa.array(ids[found[i, j]]), "score": pa.array(scores[i, j])})
+                with np.errstate(over="ignore"):
+                    scores = np.ldexp(mantissa[i, j], power[i, j])
+                yield pa.record_batch({"query_id": pa.array(query_ids[i]), "rep": pa.array(ids[found[i, j]]), "score": pa.array(scores), "level": pa.array(levels[i, j]), "mantissa": pa.array(mantissa[i, j])})
 
-    return pairs.mapInArrow(search, "query_id long, rep long, score double")
+    return pairs.mapInArrow(search, "query_id long, rep long, score double, level int, mantissa double")
 
 
 def dealt_to(sizes: DataFrame) -> int:
@@ -217,7 +252,8 @@ def search(vectors: DataFrame, is_query: Column, top: int = TOP, beam: int = BEA
     """The ``top`` nearest found for each query: ``query_id``, ``rank``, ``vec_id``, ``score``.
 
     Candidates are all usable vectors (see ``usable``) but the query itself; only
-    vectors of the query's dimension. Rows without id take no part, rows of one id
+    vectors of the query's dimension. A score beyond the range of doubles is
+    infinite, but ranked by its size. Rows without id take no part, rows of one id
     count once (with the least vector). Nearest first, ties to the smaller id;
     all candidates if there are fewer than ``top``. Of equal vectors the ``top``
     + 1 smallest ids are enough for any query; those are kept, so that any number
@@ -233,17 +269,25 @@ def search(vectors: DataFrame, is_query: Column, top: int = TOP, beam: int = BEA
     members = written(members.withColumn("rep", F.min("vec_id").over(Window.partitionBy("vector"))), "classes")
 
     distinct = members.where("_n = 1")
-    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
+    # The logarithm of the length, by the largest component, as squares may overflow.
+    largest = F.array_max(F.transform("vector", F.abs))
+    length = F.log2("_largest") + F.log2(F.aggregate("vector", F.lit(0.0), lambda a, x: a + (x / F.col("_largest")) * (x / F.col("_largest")))) / 2
+    distinct = distinct.withColumn("_largest", largest).withColumn("_length", length)
+    longest = distinct.groupBy("dim").agg(F.max("_length").alias("_longest"))
+    distinct = distinct.join(F.broadcast(longest), "dim").withColumn("band", F.floor((F.col("_longest") - F.col("_length")) / BAND).cast("int"))
     per_shard = F.greatest(F.lit(256), F.least(F.lit(SHARD_VECTORS), F.lit(SHARD_BYTES) / (8 * F.col("dim"))))
-    sizes = distinct.groupBy("dim").agg(F.count("*").alias("_all"), F.max(norm).alias("longest"))
-    sizes = sizes.select("dim", "longest", F.ceil(F.col("_all") / per_shard).cast("int").alias("shards"), per_shard.cast("int").alias("_size"))
-    shard = F.pmod(F.xxhash64("vec_id"), F.col("shards")).cast("int").alias("shard")
-    dealt = distinct.join(sizes, "dim").select("dim", shard, "vec_id", "vector", "longest")
+    # One short row per dimension and band; the shards of a dimension are numbered through.
+    bands = distinct.groupBy("dim", "band").agg(F.count("*").alias("_all")).withColumn("_shards", F.ceil(F.col("_all") / per_shard).cast("int"))
+    before = Window.partitionBy("dim").orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
+    bands = written(bands.select("dim", "band", "_shards", F.coalesce(F.sum("_shards").over(before), F.lit(0)).cast("int").alias("_first")), "bands")
+    sizes = bands.groupBy("dim").agg(F.sum("_shards").cast("int").alias("shards")).withColumn("_size", per_shard.cast("int"))
+    shard = (F.col("_first") + F.pmod(F.xxhash64("vec_id"), F.col("_shards"))).cast("int").alias("shard")
+    dealt = distinct.join(F.broadcast(bands), ["dim", "band"]).select("dim", shard, "vec_id", "vector")
     # A small table is one partition to Spark, but each shard is a long piece of work.
     spark = rows.sparkSession
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_TASKS, dealt_to(sizes)))
     dealt = dealt.repartition(tasks, "dim", "shard")
-    graphs = dealt.groupBy("dim", "shard").applyInArrow(_build_shard, "dim int, shard int, ids binary, vectors binary, graph binary, start int, longest double")
+    graphs = dealt.groupBy("dim", "shard").applyInArrow(_build_shard, "dim int, shard int, ids binary, vectors binary, graph binary, start int")
     graphs = written(graphs, "graphs")
 
     asked = rows.where(is_query)
@@ -256,8 +300,8 @@ def search(vectors: DataFrame, is_query: Column, top: int = TOP, beam: int = BEA
     pairs = packed.join(graphs, ["dim", "shard"]).repartition(tasks, "dim", "shard", "block")
     found = _search(pairs, top + 1, beam)
 
-    hits = found.join(members.select("rep", "vec_id"), "rep").where("query_id != vec_id").select("query_id", "vec_id", "score")
-    nearest = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    hits = found.join(members.select("rep", "vec_id"), "rep").where("query_id != vec_id").select("query_id", "vec_id", "score", "level", "mantissa")
+    nearest = Window.partitionBy("query_id").orderBy(F.col("level").desc(), F.col("mantissa").desc(), "vec_id")
     hits = hits.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= top)
     return hits.select("query_id", "rank", "vec_id", "score")
 

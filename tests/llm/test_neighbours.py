@@ -52,6 +52,26 @@ def test_clusters_lengths_and_copies(spark):
     assert first == sorted(first)
 
 
+@pytest.mark.parametrize("huge", [1e8, 1e30, 1e160])
+def test_one_huge_vector(spark, huge):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(800, 12))
+    x /= np.sqrt((x**2).sum(axis=1, keepdims=True))
+    x[7] *= huge
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    rows = neighbours.search(table, F.col("vec_id") % 40 == 0, top=10).collect()
+    assert recall(rows, dict(enumerate(x)), 10)[0] >= 0.95
+
+
+def test_products_beyond_doubles(spark):
+    rows = [(0, [1e200, -1e200]), (1, [1e200, 1e200]), (2, [2e200, 0.0]), (3, [3e200, 0.0]), (4, [1e-300, 0.0]), (5, [2e-300, 0.0]), (6, [0.0, 9e307])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sorted((r["rank"], r.vec_id, r.score) for r in neighbours.search(table, F.col("vec_id") == 0).collect())
+    inf = float("inf")
+    assert [f[:2] for f in found] == [(1, 3), (2, 2), (3, 5), (4, 4), (5, 1), (6, 6)]
+    assert [f[2] for f in found] == [inf, inf, pytest.approx(2e-100), pytest.approx(1e-100), 0.0, -inf]
+
+
 def test_unusable_rows_and_few_candidates(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 2.0]), (20, [2.0, 1.0]), (40, None), (60, [0.0, 0.0]), (80, [1.0, None]), (100, [nan, 1.0]), (120, [inf, 1.0]), (None, [1.0, 1.0]),
