@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulseforge.llm.common import WORD, pick, unit_hash, written
@@ -45,6 +45,30 @@ def targets(totals: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float
     return rows.select("source", "source_size", F.coalesce(F.least("_limit", level * F.col("_weight")), F.col("_limit")).alias("target"))
 
 
+def _key(*names: str) -> Column:
+    """A hash that tells null from empty."""
+    return F.xxhash64(*[c for n in names for c in (F.col(n).isNull(), F.col(n))])
+
+
+def _counted(rows: DataFrame, mark: list[Column]) -> DataFrame:
+    """``rows`` of ids that several rows of a source share, with ``_more``: of rows
+    equal in id and text floor or ceil of the fraction, from one hashed start.
+
+    Equal rows are numbered within the partition they are read in, and those
+    counts are summed, so that no task has to hold them all."""
+    rows = rows.withColumn("_equal", _key("source", "doc_id", "text")).withColumn("_at", F.spark_partition_id())
+    rows = written(rows, "rows-of-repeated-ids")
+    # Written, as partitions may be others when computed again.
+    before = Window.partitionBy("_equal").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy("_equal", "_at").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    within = Window.partitionBy("_equal", "_at").orderBy("doc_id")
+    rows = rows.join(counts, ["_equal", "_at"]).withColumn("_place", F.row_number().over(within) + F.col("_before"))
+    text = F.md5(F.col("text").cast("binary"))
+    step = F.col("_place") * F.col("_part") + unit_hash(*mark, F.col("doc_id").cast("string"), text)
+    rows = rows.withColumn("_more", F.floor(step) > F.floor(step - F.col("_part")))
+    return rows.drop("_equal", "_at", "_before", "_place")
+
+
 def _drawn(rows: DataFrame, weights: Sequence[float], budget: float, repeats: float, seed: int) -> DataFrame:
     """``rows`` (``doc_id``, ``text``, ``source`` and what else is to be carried)
     with ``size``, ``source_size``, ``target``, ``copies``."""
@@ -59,7 +83,16 @@ def _drawn(rows: DataFrame, weights: Sequence[float], budget: float, repeats: fl
     rows = rows.withColumn("_whole", F.floor(rate)).withColumn("_part", rate - F.floor(rate))
     mark = [F.lit(str(seed)), F.col("source")]
     large = F.col("size") > F.col("source_size") * F.lit(LARGE_SHARE)
-    alone = rows.where(~large).withColumn("_more", unit_hash(*mark, F.col("doc_id").cast("string")) < F.col("_part"))
+    alone = rows.where(~large)
+    again = written(rows.groupBy("source", "doc_id").agg(F.count("*").alias("_rows")).where("_rows > 1").select(_key("source", "doc_id").alias("_again")), "repeated-ids")
+    many = again.count()
+    if many:
+        again = F.broadcast(again.distinct()) if many <= BROADCAST_SOURCES else again.distinct()
+        alone = alone.join(again, _key("source", "doc_id") == F.col("_again"), "left")
+        shared = _counted(alone.where("_again IS NOT NULL").drop("_again"), mark)
+        alone = alone.where("_again IS NULL").drop("_again")
+    alone = alone.withColumn("_more", unit_hash(*mark, F.col("doc_id").cast("string")) < F.col("_part"))
+    alone = alone.unionByName(shared) if many else alone
     by_size = Window.partitionBy("source").orderBy(F.col("size").desc(), "doc_id", F.md5(F.col("text").cast("binary")))
     step = F.row_number().over(by_size) * F.col("_part") + unit_hash(*mark)
     together = rows.where(large).withColumn("_more", F.floor(step) > F.floor(step - F.col("_part")))
@@ -73,7 +106,9 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float = BUD
     The size is the number of words (null text: 0). A source's rate is its target
     over its size; a document is taken floor(rate) times, and once more with the
     probability of the fraction. That draw is a hash of the seed, the source and
-    the doc_id, so reruns agree. Documents above ``LARGE_SHARE`` of their source
+    the doc_id, so reruns agree. Where several rows of a source share an id (or have
+    none), the text's hash is drawn with, and of n rows equal in id and text floor or
+    ceil of n times the fraction are taken. Documents above ``LARGE_SHARE`` of their source
     (at most 1 / LARGE_SHARE of them) are drawn one after another by size from one
     hashed start, each with the same probability, which keeps the source near its
     target although few documents may hold most of its words. Null sources are one

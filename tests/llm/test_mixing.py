@@ -56,6 +56,19 @@ def test_sources_come_near_their_targets(spark):
     assert all(taken[s] == pytest.approx(goal[s], rel=0.03) for s in goal)
 
 
+@pytest.mark.parametrize("hot", [lambda i: (None, f"w w w{i}"), lambda i: (None, "w w w"), lambda i: (5, "w w w")])
+def test_repeated_ids_do_not_decide_alone(spark, hot):
+    rows = [(*(hot(i) if i % 2 else (i, "w w w")), ("hot", "a", "b")[0 if i % 3 else i % 2 + 1]) for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    taken, goal = collections.Counter(), {}
+    for r in mixing.mix(docs).collect():
+        taken[r.source] += r.copies * r["size"]
+        goal[r.source] = r.target
+    assert all(taken[s] == pytest.approx(goal[s], rel=0.03) for s in goal)
+    assert sum(len(r.text.split()) for r in mixing.emit(docs).collect()) == sum(taken.values())
+    assert sorted(map(str, mixing.mix(docs).collect())) == sorted(map(str, mixing.mix(docs.repartition(3)).collect()))
+
+
 def test_emitted_rows_are_the_copies(messy, nothing):
     wanted = collections.Counter()
     for r in mixing.mix(messy).collect():
