@@ -6,10 +6,9 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from helpers import TESTDATA  # noqa: E402
 from pulseforge import session  # noqa: E402
 
-TESTDATA = "/root/testdata"
-
 
 @pytest.fixture(scope="session")
 def spark():

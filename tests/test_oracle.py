@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import compare, connect
-from conftest import TESTDATA
+from helpers import TESTDATA
 from pulseforge.plans import catalog, oracle
 
 
