@@ -121,9 +121,13 @@ class Words:
     """The words of a block of texts: ``start`` and ``end`` (bytes in ``data``),
     ``doc`` (where each text's words begin), ``hash`` (64 bits a word)."""
 
-    def __init__(self, column: pa.Array):
+    def __init__(self, column: pa.Array, outside: np.ndarray = _SPACE, fold: np.ndarray | None = None):
+        """``outside`` tells of each byte whether it ends words; ``fold`` has the
+        byte that stands for each."""
         self.data, self.text_start = text_bytes(column)
-        inside = ~_SPACE[self.data]
+        if fold is not None:
+            self.data = fold[self.data]
+        inside = ~outside[self.data]
         edge = np.zeros(len(self.data) + 1, dtype=bool)
         edge[self.text_start] = True
         first = inside.copy()

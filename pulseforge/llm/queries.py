@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pulseforge.llm import fingerprint, langid, main_text, mixing, neighbours, packing, repeats, similar, sql, token_counts, toxicity
+from pulseforge.llm import (
+    balltree, fingerprint, hard_negatives, langid, main_text, mixing, neighbours, packing, ranked, repeats, similar, sql, token_counts, toxicity,
+)
 
 QUERIES = {
     "op1_token_length_histogram": token_counts.op1_token_length_histogram,
@@ -15,6 +17,9 @@ QUERIES = {
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_main_text": main_text.op6_main_text,
     "op4_mix_sources": mixing.op4_mix_sources,
+    "op11_ranked_search": ranked.op11_ranked_search,
+    "op12_hard_negatives": hard_negatives.op12_hard_negatives,
+    "op13_ball_tree_search": balltree.op13_ball_tree_search,
 }
 
 ORACLE = {
@@ -22,4 +27,7 @@ ORACLE = {
     "op7_ngram_jaccard_join": sql.SIMILAR,
     "op8_substring_dedup": sql.REPEATS,
     "op9_merkle_fingerprints": sql.MERKLE,
+    "op11_ranked_search": sql.RANKED,
+    "op12_hard_negatives": sql.NEGATIVES,
+    "op13_ball_tree_search": sql.HIGHEST,
 }

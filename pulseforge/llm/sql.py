@@ -86,3 +86,44 @@ SELECT doc_id, length(text)::BIGINT AS n_chars, sha256(edited) AS edited_sha256,
     {_first("p", "q")} AS edit_paragraph, {_first("s", "t")} AS edit_section
 FROM tops
 """
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+RANKED = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS terms FROM documents),
+stats AS (SELECT count(*)::BIGINT AS many, sum(len(terms))::BIGINT AS total FROM docs WHERE len(terms) > 0),
+occurrences AS (SELECT r, doc_id, len(terms)::BIGINT AS n, unnest(terms) AS term FROM docs),
+counts AS (SELECT r, doc_id, n, term, count(*)::BIGINT AS tf FROM occurrences GROUP BY ALL),
+wanted AS (SELECT item_id, term, count(*)::BIGINT AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+weights AS (SELECT term, floor(1000.0::DOUBLE * ln((2 * many + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+    FROM (SELECT term, count(*)::BIGINT AS df FROM counts GROUP BY term), stats),
+scores AS (SELECT item_id, r, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * many) // total))))::BIGINT AS score
+    FROM wanted JOIN counts USING (term) JOIN weights USING (term), stats GROUP BY ALL HAVING score > 0)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score FROM scores QUALIFY rank <= 10
+"""
+
+
+def _integers(factor: int, columns: str = "vec_id") -> str:
+    return f"""SELECT {columns}, list_transform(embedding, lambda x: floor({factor}.0::DOUBLE * x::DOUBLE)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+
+# All sums stay below 2^53 in these tables, so that doubles hold them exactly.
+HIGHEST = f"""
+WITH rows AS ({_integers(1024)}),
+scores AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM rows q JOIN rows c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score FROM scores QUALIFY rank <= 10
+"""
+
+NEGATIVES = f"""
+WITH rows AS ({_integers(256, "vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label")} AND label IS NOT NULL),
+scores AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.v, c.v)::BIGINT AS score
+    FROM rows a JOIN rows c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id),
+positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INT AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
