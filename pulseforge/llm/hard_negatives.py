@@ -94,8 +94,8 @@ class _Positives(_Tiles):
         self.heaps = Heaps(len(self.own), self.top)
 
     def tile(self, some, score, ids, row, label) -> None:
-        good = (score >= self.heaps.least[some][:, None]) & (row != self.own[some][:, None])
-        i, j = np.nonzero(good)
+        owners = np.arange(some.start, some.stop)
+        i, j = np.nonzero(self.heaps.improve(owners, score, ids) & (row != self.own[some][:, None]))
         self.heaps.merge(i + some.start, score[i, j], ids[j], row[j])
 
     def end(self) -> Iterator[pa.RecordBatch]:
@@ -123,8 +123,8 @@ class _Negatives(_Tiles):
             has = np.flatnonzero(self.count[some] > k)
             window = self.first[some][has] + k
             s = score[has]
-            low = np.maximum(self.low[window], self.heaps.least[window])[:, None]
-            i, j = np.nonzero(other[has] & (s >= low) & (s <= self.high[window][:, None]))
+            inside = (s >= self.low[window][:, None]) & (s <= self.high[window][:, None])
+            i, j = np.nonzero(other[has] & inside & self.heaps.improve(window, s, ids))
             self.heaps.merge(window[i], s[i, j], ids[j], row[j])
 
     def end(self) -> Iterator[pa.RecordBatch]:

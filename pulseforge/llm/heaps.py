@@ -24,6 +24,11 @@ class Heaps:
         self.least = np.full(owners, -(1 << 63), dtype=np.int64)
         self.least_id = np.zeros(owners, dtype=np.int64)
 
+    def improve(self, owners: np.ndarray, score: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Which scores (owners by entries) would get in."""
+        least = self.least[owners][:, None]
+        return (score > least) | ((score == least) & (ids < self.least_id[owners][:, None]))
+
     def merge(self, owner: np.ndarray, score: np.ndarray, ids: np.ndarray, row: np.ndarray) -> None:
         if not len(owner):
             return

@@ -108,12 +108,12 @@ def share(lists: list[np.ndarray], leaves: int) -> tuple[np.ndarray, np.ndarray,
 
 
 _GROUP = (
-    "block long, terms array<binary>, leaf_term array<int>, leaf_times array<int>, left array<int>, right array<int>, "
+    "group long, slots long, terms array<binary>, leaf_term array<int>, leaf_times array<int>, left array<int>, right array<int>, "
     "ends array<int>, items array<long>, item_ids array<long>, nodes array<int>, node_ends array<int>"
 )
 
 
-def _group(rows: list[dict], block: int) -> dict:
+def _group(rows: list[dict], number: int) -> dict:
     """The graph of one group of items."""
     numbers: dict[bytes, int] = {}
     leaf_of: dict[tuple[int, int], int] = {}
@@ -123,44 +123,48 @@ def _group(rows: list[dict], block: int) -> dict:
         lists.append(np.array([leaf_of.setdefault(x, len(leaf_of)) for x in zip(numbered, row["times"])], dtype=np.int64))
     left, right, ends, nodes, node_ends = share(lists, len(leaf_of))
     return {
-        "block": block, "terms": list(numbers), "leaf_term": [t for t, _ in leaf_of], "leaf_times": [n for _, n in leaf_of],
+        "group": number, "slots": sum(len(x) for x in lists), "terms": list(numbers), "leaf_term": [t for t, _ in leaf_of], "leaf_times": [n for _, n in leaf_of],
         "left": left.tolist(), "right": right.tolist(), "ends": ends, "items": [r["item"] for r in rows],
         "item_ids": [r["item_id"] for r in rows], "nodes": nodes.tolist(), "node_ends": node_ends.tolist(),
     }
 
 
 def plans(items: DataFrame) -> DataFrame:
-    """Groups of items with their graphs, written. Items whose least term hash is
-    the same, so probably items with like terms, are neighbours."""
+    """Groups of items with their graphs, written, and dealt to blocks one after
+    another. Items whose least term hash is the same, so probably items with like
+    terms, are neighbours."""
     listed = written(_item_terms(items), "item-terms")
     slots = listed.agg(F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()[0]
     many = -(-slots // BLOCK_SLOTS)
     dealt = listed.repartitionByRange(max(1, many), "sign", F.xxhash64("item")).sortWithinPartitions("sign", "item")
     dealt = dealt.withColumn("part", F.spark_partition_id().cast("long"))
-    group_slots, block_slots = GROUP_SLOTS, BLOCK_SLOTS
+    group_slots = GROUP_SLOTS
 
     def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, held, seen = [], 0, 0
+        rows, held, made = [], 0, 0
         schema = pa.schema([(n, _ARROW[n]) for n in _ARROW])
 
         def group() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist([_group(rows, (rows[0]["part"] << 32) + (seen - held) // block_slots)], schema)
+            return pa.RecordBatch.from_pylist([_group(rows, (rows[0]["part"] << 32) + made)], schema)
 
         for batch in batches:
             for row in batch.to_pylist():
                 if rows and held + len(row["terms"]) > group_slots:
                     yield group()
-                    rows, held = [], 0
+                    rows, held, made = [], 0, made + 1
                 rows.append(row)
                 held += len(row["terms"])
-                seen += len(row["terms"])
         if rows:
             yield group()
 
-    return written(dealt.mapInArrow(mine, _GROUP), "item-groups")
+    groups = written(dealt.mapInArrow(mine, _GROUP), "item-groups")
+    # One short row for each group.
+    before = Window.orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    block = F.floor(F.coalesce(F.sum("slots").over(before), F.lit(0)) / BLOCK_SLOTS)
+    return groups.join(groups.select("group", block.alias("block")), "group")
 
 
-_ARROW = {"block": pa.int64(), "terms": pa.list_(pa.binary())} | {n: pa.list_(pa.int32()) for n in ("leaf_term", "leaf_times", "left", "right", "ends")}
+_ARROW = {"group": pa.int64(), "slots": pa.int64(), "terms": pa.list_(pa.binary())} | {n: pa.list_(pa.int32()) for n in ("leaf_term", "leaf_times", "left", "right", "ends")}
 _ARROW |= {"items": pa.list_(pa.int64()), "item_ids": pa.list_(pa.int64()), "nodes": pa.list_(pa.int32()), "node_ends": pa.list_(pa.int32())}
 
 
@@ -283,7 +287,7 @@ def _rank(counted: DataFrame, groups, weights, top: int) -> DataFrame:
                 value = weight[term] * ((1_000_000_000 * tf) // (1_000 * tf + 8 * part.column("m").to_numpy()[doc]))
                 for g in mine:
                     score = g.scores(doc, term, value, part.num_rows)
-                    i, j = np.nonzero((score > 0) & (score >= g.heaps.least[:, None]))
+                    i, j = np.nonzero((score > 0) & g.heaps.improve(np.arange(len(score)), score, ids))
                     g.heaps.merge(i, score[i, j], ids[j], named[j])
         for g in mine:
             h = g.heaps
