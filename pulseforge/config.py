@@ -32,6 +32,7 @@ MINIMUM = {
     "history_depth": 1,
     "lookback_chunk": 1,
     "throughput_seconds": 1,
+    "topic_partitions": 1,
 }
 
 
@@ -53,6 +54,7 @@ class Settings:
     lookback_chunk: int = 1 << 20
     throughput_seconds: int = 5
     throughput_min_eps: float = 500.0
+    topic_partitions: int = 24
     topic_raw: str = TOPIC_RAW
     topic_invalid: str = TOPIC_INVALID
     topic_anomaly: str = TOPIC_ANOMALY

@@ -8,32 +8,20 @@ from pyspark.sql import functions as F
 from pulseforge.config import DEFAULTS, Settings
 from pulseforge.functions import rules, text
 from pulseforge.functions.times import utc_date
-from pulseforge.operators.lookback import with_lookback
+from pulseforge.operators.lookback import with_recent
 from pulseforge.operators.route import storable
 
 
 def with_previous_rate(readings: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Add ``previous_rate``: the customer's preceding reading in arrival order."""
-    return with_lookback(
-        readings,
-        "previous_rate",
-        lambda w: F.lag("heart_rate", 1).over(w),
-        depth=1,
-        chunk=settings.lookback_chunk,
-    )
+    rows = with_recent(readings, "_recent", 1, settings.lookback_chunk)
+    return rows.withColumn("previous_rate", F.get("_recent", 0)).drop("_recent")
 
 
 def with_history(readings: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Add ``recent_rates``: up to ``history_depth`` preceding readings, most
     recent last, empty on the first."""
-    depth = settings.history_depth
-    return with_lookback(
-        readings,
-        "recent_rates",
-        lambda w: F.collect_list("heart_rate").over(w.rowsBetween(-depth, -1)),
-        depth=depth,
-        chunk=settings.lookback_chunk,
-    )
+    return with_recent(readings, "recent_rates", settings.history_depth, settings.lookback_chunk)
 
 
 def flag_anomalies(with_previous: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:

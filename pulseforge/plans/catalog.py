@@ -8,13 +8,16 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseforge.config import DEFAULTS
+from pulseforge.config import DEFAULTS, Settings
 from pulseforge.operators import anomalies, decode, dedup, lookup, metrics, route
 from pulseforge.plans import fixture, pipeline
-from pulseforge.schema import ANOMALY, CHECKPOINT, DETAILS
+from pulseforge.schema import CHECKPOINT, DETAILS
 from pulseforge.session import configure, work_dir
-from pulseforge.sources import sinks, snapshot
+from pulseforge.sources import keyed, log, sinks, topics
+from pulseforge.sources.archive import Archive
+from pulseforge.sources.batch import Batch
 from pulseforge.sources.tables import Tables
+from pulseforge.streaming import active
 from pulseforge.streaming import queries as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,13 +54,14 @@ def _anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anomalies.detect(_readings(spark, sf_dir))
 
 
-_built: dict[tuple[str, str, str], Tables] = {}
+_built: dict[tuple, Tables] = {}
 
 
 def _tables(spark: SparkSession, sf_dir: str, consumer: Callable) -> Tables:
     """The tables that a consumer makes of all messages, written once per session
-    and input to the shared folder. The panels read these."""
-    key = (configure(spark).sparkContext.applicationId, sf_dir, consumer.__name__)
+    and state of the input to the shared folder. The panels read these."""
+    spark = configure(spark)
+    key = (spark.sparkContext.applicationId, sf_dir, log.stamp(spark, f"{sf_dir}/events.parquet"), consumer.__name__)
     if key not in _built:
         tables = Tables(work_dir(spark, consumer.__name__))
         consumer(spark, _messages(spark, sf_dir), tables)
@@ -65,6 +69,14 @@ def _tables(spark: SparkSession, sf_dir: str, consumer: Callable) -> Tables:
     return _built[key]
 
 
+def keep_raw(spark: SparkSession, messages: DataFrame, tables: Tables) -> None:
+    tables.archive.keep(messages, Batch.new())
+
+
+def _archive(spark: SparkSession, sf_dir: str) -> Archive:
+    return _tables(spark, sf_dir, keep_raw).archive
+
+
 def _stored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tables(spark, sf_dir, pipeline.ingest).read_events(spark)
 
@@ -159,12 +171,12 @@ def checkpoint_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = Tables(work_dir(configure(spark), "checkpoint"))
     sinks.upsert_checkpoint(spark, _marks(spark, sf_dir, earlier=False), tables)
     sinks.upsert_checkpoint(spark, _marks(spark, sf_dir, earlier=True), tables)
-    return snapshot.read(spark, tables.checkpoint, CHECKPOINT).drop("updated_at")
+    return keyed.read(spark, tables.checkpoint, CHECKPOINT).drop("updated_at")
 
 
 def replay_after_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = _marks(spark, sf_dir, earlier=True)
-    found = lookup.replay_after(_messages(spark, sf_dir), marks, DEFAULTS.group_writer)
+    found = _archive(spark, sf_dir).replay(spark, marks, DEFAULTS.group_writer)
     return found.select("topic", "partition", "offset", "value")
 
 
@@ -193,14 +205,34 @@ def anomaly_type_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.type_severity_counts(_stored_anomalies(spark, sf_dir))
 
 
+SMALL_CHUNK = Settings(lookback_chunk=7)
+
+
 def rolling_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = anomalies.with_history(_readings(spark, sf_dir))
+    return _history(spark, sf_dir, DEFAULTS)
+
+
+def rolling_history_chunk_7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seven offsets a chunk: nearly every reading looks across chunks."""
+    return _history(spark, sf_dir, SMALL_CHUNK)
+
+
+def _history(spark: SparkSession, sf_dir: str, settings: Settings) -> DataFrame:
+    rows = anomalies.with_history(_readings(spark, sf_dir), settings)
     recent = F.array_join(F.col("recent_rates").cast("array<string>"), ",")
     return rows.select("event_id", "customer_id", "heart_rate", recent.alias("recent_rates"))
 
 
 def previous_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = anomalies.with_previous_rate(_readings(spark, sf_dir))
+    return _previous(_readings(spark, sf_dir), DEFAULTS)
+
+
+def previous_rate_chunk_7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _previous(_readings(spark, sf_dir), SMALL_CHUNK)
+
+
+def _previous(readings: DataFrame, settings: Settings) -> DataFrame:
+    rows = anomalies.with_previous_rate(readings, settings)
     return rows.select("event_id", "customer_id", "heart_rate", "previous_rate")
 
 
@@ -266,20 +298,23 @@ def _recent_events(width: timedelta) -> Query:
 
 
 def quality_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings whose rate came as text count as repaired here, since the
-    writer itself flags every row valid."""
+    """Stored readings that another writer has flagged: the writers here flag every
+    row valid. A reading whose rate came as text counts as repaired."""
     came_as_text = F.col("source_offset") % 100 == 3
     flagged = _valid(spark, sf_dir).withColumn("quality_flag", F.when(came_as_text, "repaired").otherwise("valid"))
-    return plain_times(lookup.quality_audit(flagged).select("event_id", "event_time", "quality_flag"))
+    tables = Tables(work_dir(spark, "flagged"))
+    sinks.write_events(flagged, tables, Batch.new())
+    return plain_times(lookup.quality_audit(tables.read_events(spark)).select("event_id", "event_time", "quality_flag"))
 
 
 def trace_to_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = lookup.trace_to_source(_stored_events(spark, sf_dir), _messages(spark, sf_dir))
+    rows = _archive(spark, sf_dir).trace(_stored_events(spark, sf_dir))
     return rows.select("event_id", "source_topic", "source_partition", "source_offset", "raw")
 
 
 def ingest_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    delay = F.make_dt_interval(secs=(F.col("source_offset") % 8 + 1).cast("decimal(18,6)"))
+    """Delays of microseconds, hardly any two of them the same."""
+    delay = F.make_dt_interval(secs=(1_000_000 + F.col("source_offset") * 48_271 % 8_999_993).cast("decimal(18,6)") / 1_000_000)
     return lookup.ingest_latency(_valid(spark, sf_dir).withColumn("ingest_time", F.col("event_time") + delay))
 
 
@@ -291,6 +326,36 @@ def publish_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.event_messages(_valid(spark, sf_dir))
 
 
+def publish_then_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two halves published to a topic one after the other; the second half is what
+    is left after the offsets that the first half's writer has stored."""
+    tables, name = Tables(work_dir(configure(spark), "published")), "events.again.v1"
+    events = _valid(spark, sf_dir)
+    early = F.col("event_time") < F.lit(HALF_WAY)
+    topics.publish(sinks.event_messages(events.where(early)), tables.topic(name), name, Batch.new(), DEFAULTS.topic_partitions)
+    pipeline.ingest(spark, tables.read_topic(spark, name), tables)
+    topics.publish(sinks.event_messages(events.where(~early)), tables.topic(name), name, Batch.new(), DEFAULTS.topic_partitions)
+    return lookup.replay_after(tables.read_topic(spark, name), tables.read_checkpoint(spark), DEFAULTS.group_writer).select("key", "value")
+
+
+def decode_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All forms that identifiers, times and rates may have, members left out, bytes
+    that are no text, and messages without a value."""
+    rows = decode.decode_messages(fixture.message_forms(_source(spark, sf_dir)))
+    return plain_times(rows.select("offset", "event_id", F.char_length("customer_id").alias("customer_chars"), "event_time", "heart_rate", "reasons"))
+
+
+def _redelivered(messages: DataFrame) -> DataFrame:
+    """All messages, and all of them again at later offsets."""
+    return messages.unionByName(messages.withColumn("offset", F.col("offset") + REDELIVERY))
+
+
+def anomalies_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reading delivered twice is judged twice, the second time after the rest."""
+    messages = _redelivered(_messages(spark, sf_dir))
+    return _anomaly_columns(anomalies.detect(decode.schema_valid(decode.decode_messages(messages))))
+
+
 def publish_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anomalies.as_messages(_anomalies(spark, sf_dir))
 
@@ -302,17 +367,21 @@ def preview_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 CUTS = 4
 
 
-def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _message_stream(spark: SparkSession, sf_dir: str, late: bool = False, again: bool = False) -> DataFrame:
     """All messages as a stream that arrives in at least ``CUTS`` micro-batches:
-    stretches of the table are written one after another and read file by file."""
+    stretches of the table are written one after another and read file by file.
+    ``late`` cuts across, so that every batch has rows of all times. ``again`` sends
+    each stretch a second time, in a batch of its own."""
     events, feed = _source(spark, sf_dir), work_dir(spark, "feed")
     low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
     width = (high - low) // CUTS + 1
     for cut in range(CUTS):
         start = low + cut * width
-        events.where(F.col("event_id").between(start, start + width - 1)).write.mode("append").parquet(feed)
-    stream = spark.readStream.schema(fixture.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).parquet(feed)
-    return fixture.raw_messages(stream)
+        part = F.col("event_id") % CUTS == cut if late else F.col("event_id").between(start, start + width - 1)
+        for more in (0, REDELIVERY)[:2 if again else 1]:
+            events.where(part).withColumn("_more", F.lit(more)).write.mode("append").parquet(feed)
+    stream = spark.readStream.schema(f"{fixture.EVENTS_SCHEMA}, _more BIGINT").option("maxFilesPerTrigger", 1).parquet(feed)
+    return fixture.raw_messages(stream, "_more")
 
 
 def stream_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -339,12 +408,40 @@ def stream_valid_events_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _event_columns(tables.read_events(spark))
 
 
+def stream_valid_events_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with every message delivered again, in another batch: the first
+    arrival stays, and marks go on to the second's offset."""
+    root = work_dir(configure(spark), "redelivered")
+    tables = Tables(f"{root}/tables")
+    messages = _message_stream(spark, sf_dir, again=True)
+    streams.start_stateful_writer(messages, tables, f"{root}/progress", available_now=True).awaitTermination()
+    return _event_columns(tables.read_events(spark))
+
+
+def consumers_share_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writer and detector on one feed, each with its own progress."""
+    root = work_dir(configure(spark), "consumers")
+    tables = Tables(f"{root}/tables")
+    messages = _message_stream(spark, sf_dir)
+    both = [
+        streams.start_writer(messages, tables, f"{root}/progress-writer", available_now=True),
+        streams.start_detector(messages, tables, f"{root}/progress-detector", available_now=True),
+    ]
+    for query in both:
+        query.awaitTermination()
+    stored = tables.read_events(spark).select(F.lit("event").alias("kind"), "event_id", F.col("heart_rate").cast("int").alias("heart_rate"))
+    return stored.unionByName(tables.read_anomalies(spark).select(F.col("anomaly_type").alias("kind"), "event_id", F.col("heart_rate").cast("int").alias("heart_rate")))
+
+
 def ingest_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two batch jobs over halves of the messages, then all of them again."""
+    """Two batch jobs over halves of the messages, then all of them again, against
+    keys in the index and, for the second half, keys that it has not come to yet."""
     tables = Tables(work_dir(configure(spark), "twice"))
     messages = _messages(spark, sf_dir)
     early = F.col("timestamp") < F.lit(HALF_WAY)
-    for part in (messages.where(early), messages.where(~early), messages):
+    pipeline.ingest(spark, messages.where(early), tables)
+    tables.history.catch_up(spark)
+    for part in (messages.where(~early), messages):
         pipeline.ingest(spark, part, tables)
     return _event_columns(tables.read_events(spark))
 
@@ -376,11 +473,11 @@ def detector_new_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stream_panel(spark: SparkSession, counts: DataFrame, key: str, root: str) -> DataFrame:
     streams.start_panel(counts, f"{root}/panel", [key], f"{root}/progress-panel", available_now=True).awaitTermination()
-    return plain_times(snapshot.read(spark, f"{root}/panel", counts.schema))
+    return plain_times(keyed.read(spark, f"{root}/panel", counts.schema))
 
 
-def _valid_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return route.valid_events(route.route_messages(decode.decode_messages(_message_stream(spark, sf_dir))))
+def _valid_stream(spark: SparkSession, sf_dir: str, late: bool = False) -> DataFrame:
+    return route.valid_events(route.route_messages(decode.decode_messages(_message_stream(spark, sf_dir, late))))
 
 
 def stream_events_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -388,14 +485,28 @@ def stream_events_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stream_panel(spark, streams.minute_counts(_valid_stream(spark, sf_dir)), "time", root)
 
 
+def stream_events_per_minute_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = work_dir(configure(spark), "late-minutes")
+    return _stream_panel(spark, streams.minute_counts(_valid_stream(spark, sf_dir, late=True)), "time", root)
+
+
+def stream_active_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct customers of every ten minutes, rows of all times in every batch."""
+    root = work_dir(configure(spark), "active")
+    rows = _valid_stream(spark, sf_dir, late=True)
+    active.start_active_customers(rows, f"{root}/panel", f"{root}/progress", available_now=True).awaitTermination()
+    return plain_times(active.read_active(spark, f"{root}/panel"))
+
+
 def stream_anomalies_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The detector's table as a stream of its own."""
+    """The detector's table, followed by its commits."""
     root = work_dir(configure(spark), "anomaly-minutes")
     tables = Tables(f"{root}/tables")
     messages = _message_stream(spark, sf_dir)
     streams.start_detector(messages, tables, f"{root}/progress", available_now=True).awaitTermination()
-    found = spark.readStream.schema(ANOMALY).parquet(tables.anomalies)
-    return _stream_panel(spark, streams.minute_counts(found), "time", root)
+    counts, panel = streams.minute_counts, f"{root}/panel"
+    streams.start_table_panel(spark, tables.anomalies, counts, panel, ["time"], f"{root}/progress-panel", available_now=True).awaitTermination()
+    return plain_times(streams.read_panel(spark, panel, counts(tables.read_anomalies(spark)).schema))
 
 
 def stream_throughput_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -416,7 +527,10 @@ QUERIES: dict[str, Query] = {
     "replay_after_checkpoint": replay_after_checkpoint,
     "previous_rate": previous_rate,
     "rolling_history": rolling_history,
+    "rolling_history_chunk_7": rolling_history_chunk_7,
+    "previous_rate_chunk_7": previous_rate_chunk_7,
     "anomalies": anomaly_rows,
+    "anomalies_redelivered": anomalies_redelivered,
     "anomaly_details": anomaly_details,
     "anomaly_type_breakdown": _breakdown(metrics.BREAKDOWN_WIDTH),
     "anomaly_type_breakdown_30d": _breakdown(MONTH),
@@ -446,14 +560,20 @@ QUERIES: dict[str, Query] = {
     "throughput_intervals": throughput_intervals,
     "publish_events": publish_events,
     "publish_anomalies": publish_anomalies,
+    "publish_then_replay": publish_then_replay,
+    "decode_forms": decode_forms,
     "preview_json": preview_json,
     "stream_anomalies": stream_anomalies,
     "stream_valid_events": stream_valid_events,
     "stream_valid_events_stateful": stream_valid_events_stateful,
+    "stream_valid_events_redelivered": stream_valid_events_redelivered,
+    "consumers_share_feed": consumers_share_feed,
     "ingest_twice": ingest_twice,
     "backfill_then_stream": backfill_then_stream,
     "detector_new_progress": detector_new_progress,
     "stream_events_per_minute": stream_events_per_minute,
+    "stream_events_per_minute_late": stream_events_per_minute_late,
+    "stream_active_customers": stream_active_customers,
     "stream_anomalies_per_minute": stream_anomalies_per_minute,
     "stream_throughput_intervals": stream_throughput_intervals,
 }

@@ -131,6 +131,27 @@ def _throughput(condition: str = "TRUE") -> str:
     )
 
 
+# Forms of messages by off % 24; those not named here are plain.
+FORMS = f"""{BASE}, formed AS (
+    SELECT *, off % 24 AS form, sha256('events.raw.v1|' || part || '|' || off) AS digest FROM src
+), told AS (
+    SELECT *, CASE form WHEN 14 THEN 1 ELSE rate END AS read_rate, CASE form
+        WHEN 16 THEN 'encoding' WHEN 17 THEN 'encoding' WHEN 19 THEN 'json' WHEN 20 THEN 'not_object' WHEN 6 THEN 'event_id'
+        WHEN 22 THEN 'timestamp,heart_rate_missing' END AS wrong FROM formed
+), judged AS (
+    SELECT *, CASE WHEN wrong = 'event_id' AND read_rate NOT BETWEEN 0 AND 250 THEN 'event_id,heart_rate_hard_bounds'
+        WHEN wrong IS NULL AND read_rate NOT BETWEEN 0 AND 250 THEN 'heart_rate_hard_bounds' ELSE wrong END AS reasons FROM told
+)
+SELECT off AS "offset", reasons, CASE WHEN reasons IS NULL THEN CASE form
+        WHEN 1 THEN 'abcdef00' || substr(uid, 9)
+        WHEN 5 THEN substr(digest, 1, 8) || '-' || substr(digest, 9, 4) || '-4' || substr(digest, 14, 3) || '-8' || substr(digest, 18, 3) || '-' || substr(digest, 21, 12)
+        ELSE uid END END AS event_id,
+    CASE WHEN reasons IS NULL THEN (length(base_customer) + CASE form WHEN 18 THEN 1 ELSE 0 END)::INT END AS customer_chars,
+    CASE WHEN reasons IS NULL THEN CASE form WHEN 9 THEN date_trunc('second', event_time) WHEN 10 THEN date_trunc('millisecond', event_time)
+        WHEN 11 THEN date_trunc('minute', event_time) WHEN 12 THEN date_trunc('day', event_time) ELSE event_time END::TIMESTAMP END AS event_time,
+    CASE WHEN reasons IS NULL THEN read_rate END AS heart_rate
+FROM judged"""
+
 VALID_EVENTS = f"{BASE} SELECT {EVENT_COLUMNS} FROM valid"
 ANOMALIES = f"{BASE} SELECT {ANOMALY_COLUMNS} FROM anomaly"
 
@@ -165,7 +186,14 @@ ORACLE: dict[str, str] = {
     "rolling_history": f"""{BASE} SELECT uid AS event_id, customer AS customer_id, rate AS heart_rate,
         coalesce(array_to_string(list(rate) OVER (PARTITION BY customer ORDER BY part, off
           ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING), ','), '') AS recent_rates FROM ok""",
+    "rolling_history_chunk_7": f"""{BASE} SELECT uid AS event_id, customer AS customer_id, rate AS heart_rate,
+        coalesce(array_to_string(list(rate) OVER (PARTITION BY customer ORDER BY part, off
+          ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING), ','), '') AS recent_rates FROM ok""",
+    "previous_rate_chunk_7": f"""{BASE} SELECT uid AS event_id, customer AS customer_id, rate AS heart_rate,
+        previous AS previous_rate FROM chained""",
     "anomalies": ANOMALIES,
+    "anomalies_redelivered": ANOMALIES.replace("FROM ok\n", "FROM (SELECT * FROM ok UNION ALL SELECT * REPLACE (off + 1000000000 AS off) FROM ok)\n"),
+    "decode_forms": FORMS,
     "anomaly_details": f"""{BASE} SELECT uid AS event_id, delta, threshold, shown_previous AS previous,
         rate AS measured FROM anomaly""",
     "anomaly_type_breakdown": _breakdown("1 HOUR"),
@@ -203,10 +231,9 @@ ORACLE: dict[str, str] = {
     "quality_audit": f"{BASE} SELECT uid AS event_id, event_time, 'repaired' AS quality_flag FROM valid WHERE f = 3",
     "trace_to_source": f"""{BASE} SELECT uid AS event_id, 'events.raw.v1' AS source_topic, part AS source_partition,
         off AS source_offset, raw FROM valid""",
-    "ingest_latency": f"""{BASE} SELECT count(*) AS events,
-        round(CAST(sum((off % 8 + 1) * 1000000) AS DECIMAL(18,0)) / count(*), 0)::DOUBLE / 1000000 AS avg_seconds,
-        quantile_disc(CAST(off % 8 + 1 AS DOUBLE), 0.95) AS p95_seconds,
-        max(CAST(off % 8 + 1 AS DOUBLE)) AS max_seconds FROM valid""",
+    "ingest_latency": f"""{BASE}, delays AS (SELECT 1000000 + off * 48271 % 8999993 AS micros FROM valid)
+        SELECT count(*) AS events, round(CAST(sum(micros) AS DECIMAL(18,0)) / count(*), 0)::DOUBLE / 1000000 AS avg_seconds,
+        quantile_disc(micros, 0.95) / 1000000::DOUBLE AS p95_seconds, max(micros) / 1000000::DOUBLE AS max_seconds FROM delays""",
     "throughput_intervals": _throughput(),
     "publish_events": f"{BASE} SELECT customer AS key, {EVENT_JSON % 'Z'} AS value FROM valid",
     "publish_anomalies": f"""{BASE} SELECT customer AS key,
@@ -215,6 +242,7 @@ ORACLE: dict[str, str] = {
         || CASE WHEN anomaly_type = 'SPIKE'
            THEN '"delta":' || delta || ',"threshold":' || threshold || ',"previous":' || previous
            ELSE '"threshold":' || threshold END || ',"measured":' || rate || '}}}}' AS value FROM anomaly""",
+    "publish_then_replay": f"{BASE} SELECT customer AS key, {EVENT_JSON % 'Z'} AS value FROM valid WHERE NOT ({EARLIER})",
     "preview_json": f"{BASE} SELECT {EVENT_JSON % 'Z'} AS value FROM valid ORDER BY event_time, uid LIMIT 100",
     "stream_anomalies": ANOMALIES,
     "stream_valid_events": VALID_EVENTS,
@@ -222,7 +250,13 @@ ORACLE: dict[str, str] = {
     "ingest_twice": VALID_EVENTS,
     "backfill_then_stream": VALID_EVENTS,
     "detector_new_progress": ANOMALIES,
+    "stream_valid_events_redelivered": VALID_EVENTS,
+    "consumers_share_feed": f"""{BASE} SELECT 'event' AS kind, uid AS event_id, rate AS heart_rate FROM valid
+        UNION ALL SELECT anomaly_type, uid, rate FROM anomaly""",
     "stream_events_per_minute": _per_minute("valid"),
+    "stream_events_per_minute_late": _per_minute("valid"),
+    "stream_active_customers": f"""{BASE} SELECT date_trunc('minute', event_time) + (i + 1) * INTERVAL 1 MINUTE AS time,
+        CAST(count(DISTINCT customer) AS DOUBLE) AS value FROM valid, range(10) AS t(i) GROUP BY 1""",
     "stream_anomalies_per_minute": _per_minute("anomaly"),
     "stream_throughput_intervals": _throughput(),
 }

@@ -1,7 +1,7 @@
 """The two consumers of the raw topic, for one batch of messages.
 
 Both are called with a whole bounded input (a backfill) or with one micro-batch
-(see ``pulseforge.streaming``). Data is written first and the snapshot that
+(see ``pulseforge.streaming``). Data is written first and the table that
 records progress last; every write is known by the writer's run and the batch, so
 repeating a batch after a failure gives the same tables as running it once, and no
 other run or batch is touched. A call without ``batch`` is a run of its own.
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pulseforge.config import DEFAULTS, Settings
 from pulseforge.operators import anomalies, decode, route
 from pulseforge.schema import LAST_READING
-from pulseforge.sources import sinks, snapshot
+from pulseforge.sources import keyed, sinks
 from pulseforge.sources.batch import Batch
 from pulseforge.sources.tables import Tables
 
@@ -73,7 +73,8 @@ def detect(
     readings = decode.schema_valid(decode.decode_messages(messages)).persist(StorageLevel.MEMORY_AND_DISK)
     found = None
     try:
-        known = tables.read_last_readings(spark, before=batch).withColumnRenamed("heart_rate", "_known")
+        # Only the buckets in which the batch's customers lie are read.
+        known = tables.read_last_readings(spark, before=batch, keys=readings).withColumnRenamed("heart_rate", "_known")
         chained = anomalies.with_previous_rate(readings, settings)
         first = chained.where(F.col("previous_rate").isNull()).join(known, "customer_id", "left")
         linked = chained.where(F.col("previous_rate").isNotNull()).unionByName(
@@ -83,7 +84,7 @@ def detect(
         sinks.append_anomalies(found, tables, batch)
         sinks.publish_anomalies(found, tables, batch, settings)
         latest = readings.groupBy("customer_id").agg(F.max_by("heart_rate", arrival).alias("heart_rate"))
-        snapshot.upsert(spark, tables.last_readings, LAST_READING, latest, ("customer_id",), batch)
+        keyed.upsert(spark, tables.last_readings, LAST_READING, latest, ("customer_id",), batch)
     finally:
         if found is not None:
             found.unpersist()

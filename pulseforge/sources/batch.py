@@ -17,11 +17,12 @@ from pyspark.sql import SparkSession
 class Batch:
     run: str
     number: int = 0
+    repeatable: bool = True
 
     @staticmethod
     def new() -> Batch:
-        """The only batch of a run of its own."""
-        return Batch(uuid.uuid4().hex)
+        """The only batch of a run of its own: no one can repeat it."""
+        return Batch(uuid.uuid4().hex, repeatable=False)
 
     @property
     def folder(self) -> str:

@@ -6,6 +6,9 @@ builds options and column casts, so everything behind it is the same for both.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterable, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +16,8 @@ from pulseforge.config import DEFAULTS, Settings
 from pulseforge.schema import RAW_MESSAGE
 
 COLUMNS = tuple(RAW_MESSAGE.names)
+#: Fixed value: the broker's number for a partition's first message.
+EARLIEST = -2
 
 
 def kafka_options(
@@ -61,19 +66,15 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW_MESSAGE).parquet(path)
 
 
-def starting_offsets(checkpoint: DataFrame, group: str) -> str:
-    """``startingOffsets`` text that resumes after a group's stored offsets.
-    Built as one row from one short map entry per source partition; partitions
-    that are not listed must be added by the caller, as the broker requires."""
-    marks = (
-        checkpoint.where(F.col("consumer_group") == group)
-        .groupBy("topic")
-        .agg(
-            F.map_from_entries(
-                F.sort_array(F.collect_list(F.struct(F.col("partition").cast("string"), F.col("last_offset") + 1)))
-            ).alias("offsets")
-        )
-        .agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("topic", "offsets")))).alias("json"))
-    )
-    text = marks.first()["json"]
-    return "earliest" if text == "{}" else text
+def starting_offsets(checkpoint: DataFrame, group: str, partitions: Mapping[str, Iterable[int]] | None = None) -> str:
+    """``startingOffsets`` text that resumes after a group's stored offsets. The
+    broker wants every partition named: those of ``partitions`` (by topic) without a
+    mark start at their earliest message. The marks, one short row for each source
+    partition, go to the driver; ``earliest`` if there are none and no partitions."""
+    marks = checkpoint.where(F.col("consumer_group") == group).select("topic", "partition", "last_offset").collect()
+    offsets: dict[str, dict[int, int]] = {topic: dict.fromkeys(sorted(some), EARLIEST) for topic, some in (partitions or {}).items()}
+    for topic, partition, last in marks:
+        offsets.setdefault(topic, {})[partition] = last + 1
+    if not offsets:
+        return "earliest"
+    return json.dumps({t: {str(p): o for p, o in sorted(by.items())} for t, by in sorted(offsets.items())}, separators=(",", ":"))

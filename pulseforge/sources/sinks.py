@@ -10,7 +10,7 @@ from pulseforge.functions import text
 from pulseforge.operators import anomalies as anomaly_ops
 from pulseforge.operators import dedup, metrics, route
 from pulseforge.schema import CHECKPOINT
-from pulseforge.sources import snapshot
+from pulseforge.sources import keyed, topics
 from pulseforge.sources.batch import Batch
 from pulseforge.sources.tables import Tables, write_batch
 
@@ -20,8 +20,11 @@ def insert_events(
 ) -> None:
     """First-wins insert of stored-layout events. Rows of the same batch do not
     count as existing: they are what this write replaces."""
-    existing = tables.read_events(spark).where((F.col("run") != batch.run) | (F.col("batch_id") != batch.number))
-    write_events(dedup.insert_if_absent(valid, existing, **options), tables, batch)
+    tables.history.keep_up(spark)
+    fresh = dedup.first_arrivals(valid)
+    for existing in tables.history.read(spark, without=batch):
+        fresh = dedup.absent_from(fresh, existing, **options)
+    write_events(fresh, tables, batch)
 
 
 def write_events(fresh: DataFrame, tables: Tables, batch: Batch) -> None:
@@ -36,21 +39,19 @@ def append_anomalies(found: DataFrame, tables: Tables, batch: Batch) -> None:
 def upsert_checkpoint(spark: SparkSession, marks: DataFrame, tables: Tables, batch: Batch | None = None) -> None:
     """Insert or overwrite ``last_offset``. Unconditional: replaying older
     messages moves the mark back."""
-    snapshot.upsert(
+    keyed.upsert(
         spark,
         tables.checkpoint,
         CHECKPOINT,
-        marks.withColumn("updated_at", F.current_timestamp()).coalesce(1),
+        marks.withColumn("updated_at", F.current_timestamp()),
         ("consumer_group", "topic", "partition"),
         batch or Batch.new(),
     )
 
 
-def publish_files(messages: DataFrame, tables: Tables, topic: str, batch: Batch) -> None:
-    """One batch of a topic as files with ``key`` and ``value``."""
-    if "key" not in messages.columns:
-        messages = messages.withColumn("key", F.lit(None).cast("string"))
-    messages.select("key", "value").write.mode("overwrite").parquet(f"{tables.topic(topic)}/{batch.folder}")
+def publish_files(messages: DataFrame, tables: Tables, topic: str, batch: Batch, settings: Settings = DEFAULTS) -> None:
+    """One batch of a topic, with the partitions and offsets that a broker gives."""
+    topics.publish(messages, tables.topic(topic), topic, batch, settings.topic_partitions)
 
 
 def kafka_sink_options(topic: str, settings: Settings = DEFAULTS) -> dict[str, str]:
@@ -66,11 +67,11 @@ def publish_kafka(messages: DataFrame, topic: str, settings: Settings = DEFAULTS
 def publish_quarantine(routed: DataFrame, tables: Tables, batch: Batch, settings: Settings = DEFAULTS) -> None:
     for error_type, topic in ((route.VALIDATION, settings.topic_invalid), (route.PROCESSING, settings.topic_dlq)):
         envelopes = route.as_envelope_json(route.quarantine(routed, error_type))
-        publish_files(envelopes, tables, topic, batch)
+        publish_files(envelopes, tables, topic, batch, settings)
 
 
 def publish_anomalies(found: DataFrame, tables: Tables, batch: Batch, settings: Settings = DEFAULTS) -> None:
-    publish_files(anomaly_ops.as_messages(found), tables, settings.topic_anomaly, batch)
+    publish_files(anomaly_ops.as_messages(found), tables, settings.topic_anomaly, batch, settings)
 
 
 def event_messages(events: DataFrame) -> DataFrame:

@@ -1,9 +1,9 @@
 """Stored tables: where they are, how they are read and written.
 
-Events and anomalies are Parquet under ``run=R/batch_id=N/event_date=D``. Each
-batch of a writer's run overwrites its own directory, so a retried batch leaves no
-second copy, no other run can touch it, and readers prune by date. Rows are clustered by customer inside each file, so the
-row-group statistics serve look-ups of one customer.
+Events, anomalies and topics are files that commits name (``committed``), events and
+anomalies by date: ``event_date=D`` is the outermost folder, so readers prune by date.
+Rows are clustered by customer inside each file, so the row-group statistics serve
+look-ups of one customer. Checkpoints and last readings are keyed (``keyed``).
 """
 
 from __future__ import annotations
@@ -14,9 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseforge.config import ANOMALIES_TABLE, CHECKPOINT_TABLE, EVENTS_TABLE
-from pulseforge.schema import ANOMALY, CHECKPOINT, LAST_READING, STORED_EVENT
-from pulseforge.sources import snapshot
+from pulseforge.schema import ANOMALY, CHECKPOINT, LAST_READING, RAW_MESSAGE, STORED_EVENT
+from pulseforge.sources import keyed
+from pulseforge.sources.archive import Archive
 from pulseforge.sources.batch import Batch
+from pulseforge.sources.committed import Committed
+from pulseforge.sources.history import History
+
+CLUSTER = ("customer_id", "event_time")
 
 
 @dataclass(frozen=True)
@@ -29,12 +34,17 @@ class Tables:
         return f"{self.root.rstrip('/')}/{name}"
 
     @property
-    def events(self) -> str:
-        return self.path(EVENTS_TABLE)
+    def events(self) -> Committed:
+        return Committed(self.path(EVENTS_TABLE), STORED_EVENT, "event_date")
+
+    @property
+    def history(self) -> History:
+        """The keys of all stored events."""
+        return History(self.path("event_keys"), self.events)
 
     @property
-    def anomalies(self) -> str:
-        return self.path(ANOMALIES_TABLE)
+    def anomalies(self) -> Committed:
+        return Committed(self.path(ANOMALIES_TABLE), ANOMALY, "event_date")
 
     @property
     def checkpoint(self) -> str:
@@ -44,20 +54,28 @@ class Tables:
     def last_readings(self) -> str:
         return self.path("last_readings")
 
-    def topic(self, name: str) -> str:
-        return self.path(f"topics/{name}")
+    @property
+    def archive(self) -> Archive:
+        """Raw messages by source partition and offset."""
+        return Archive(self.path("raw_archive"))
+
+    def topic(self, name: str) -> Committed:
+        return Committed(self.path(f"topics/{name}"), RAW_MESSAGE)
 
     def read_events(self, spark: SparkSession) -> DataFrame:
-        return snapshot.read_table(spark, self.events, STORED_EVENT)
+        return self.events.read(spark)
 
     def read_anomalies(self, spark: SparkSession) -> DataFrame:
-        return snapshot.read_table(spark, self.anomalies, ANOMALY)
+        return self.anomalies.read(spark)
+
+    def read_topic(self, spark: SparkSession, name: str) -> DataFrame:
+        return self.topic(name).read(spark)
 
     def read_checkpoint(self, spark: SparkSession) -> DataFrame:
-        return snapshot.read(spark, self.checkpoint, CHECKPOINT)
+        return keyed.read(spark, self.checkpoint, CHECKPOINT)
 
-    def read_last_readings(self, spark: SparkSession, before: Batch | None = None) -> DataFrame:
-        return snapshot.read(spark, self.last_readings, LAST_READING, before)
+    def read_last_readings(self, spark: SparkSession, before: Batch | None = None, keys: DataFrame | None = None) -> DataFrame:
+        return keyed.read(spark, self.last_readings, LAST_READING, before, keys)
 
     def register_views(self, spark: SparkSession) -> None:
         """Make the tables available to ``spark.sql`` under their own names."""
@@ -66,17 +84,11 @@ class Tables:
         self.read_checkpoint(spark).createOrReplaceTempView(CHECKPOINT_TABLE)
 
 
-def write_batch(rows: DataFrame, path: str, batch: Batch) -> None:
-    """Replace one batch of a dated table.
+def write_batch(rows: DataFrame, table: Committed, batch: Batch) -> None:
+    """Write one batch of a dated table, in place of an earlier attempt.
 
     ``rebalance`` lets adaptive execution merge small output partitions and
     split a date, or a hot share of one, over several tasks: files come out of
     even size, with few dates per task."""
-    (
-        rows.drop("run", "batch_id")
-        .hint("rebalance", F.col("event_date"))
-        .sortWithinPartitions("event_date", "customer_id", "event_time")
-        .write.mode("overwrite")
-        .partitionBy("event_date")
-        .parquet(f"{path}/{batch.folder}")
-    )
+    named = rows.withColumns({"run": F.lit(batch.run), "batch_id": F.lit(batch.number).cast("long")})
+    table.write(named.hint("rebalance", F.col("event_date")).sortWithinPartitions("event_date", *CLUSTER), batch)

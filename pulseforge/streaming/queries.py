@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -14,8 +14,9 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 from pulseforge.config import DEFAULTS, Settings
 from pulseforge.operators import decode, metrics, route
 from pulseforge.plans import pipeline
-from pulseforge.sources import sinks, snapshot
+from pulseforge.sources import keyed, sinks
 from pulseforge.sources.batch import Batch, run_of
+from pulseforge.sources.committed import Committed
 from pulseforge.sources.tables import Tables
 
 
@@ -55,20 +56,25 @@ def start_writer(
     return _start(writer.foreachBatch(batch), checkpoint, available_now, interval)
 
 
-def _first_arrivals(valid: DataFrame) -> DataFrame:
+def _first_arrivals(routed: DataFrame) -> DataFrame:
     """Stateful first-wins: one row per key met in the batch, new or not.
 
-    A streaming aggregation combines copies before the shuffle, so a key with
-    very many copies costs one row per task. ``first`` is the row that won when
-    the key was first met; ``last`` is its newest delivery. Both start with the
-    batch's own time, so they share it exactly when the key is new.
+    A valid event's key is (customer, event); a rejected message's is its source
+    position, so that both go through one state and messages are decoded once. A
+    streaming aggregation combines copies before the shuffle, so a key with very many
+    copies costs one row per task. ``first`` is the row that won when the key was
+    first met; ``last`` is its newest delivery. Both start with the batch's own time,
+    so they share it exactly when the key is new.
     """
-    arrival = ("batch_time", "source_topic", "source_partition", "source_offset")
+    arrival = ("batch_time", "topic", "partition", "offset")
+    valid = F.col("route") == route.VALID
+    rejected = lambda name: F.when(~valid, F.col(name)).alias(name)
     return (
-        valid.withColumn("batch_time", F.current_timestamp())
-        .groupBy("customer_id", "event_id")
+        routed.withColumn("batch_time", F.current_timestamp())
+        .withColumn("position", F.when(~valid, F.struct("topic", "partition", "offset")))
+        .groupBy("route", F.when(valid, F.col("customer_id")).alias("customer_id"), F.when(valid, F.col("event_id")).alias("event_id"), "position")
         .agg(
-            F.min(F.struct(*arrival, "event_time", "heart_rate")).alias("first"),
+            F.min(F.struct(*arrival, "event_time", "heart_rate", rejected("raw"), rejected("error"))).alias("first"),
             F.max(F.struct(*arrival)).alias("last"),
         )
     )
@@ -84,57 +90,41 @@ def start_stateful_writer(
 ) -> StreamingQuery:
     """The writer with its keys in the state store rather than in the table.
 
-    ``start_writer`` compares every batch with the keys of the whole events
-    table, which grows for ever. Here the work per batch depends on the batch
-    alone: known keys live in the (RocksDB) state store, spread over the
-    executors by key. Use it for long-running streams into a table that only it
-    writes. Counters are reported as the query's observed metrics ``accepted``
-    and ``rejected``.
+    ``start_writer`` compares every batch with the keys of the whole events table,
+    which grows for ever. Here the work per batch depends on the batch alone: known
+    keys live in the (RocksDB) state store, spread over the executors by key. Use it
+    for long-running streams into a table that only it writes. Rejected messages pass
+    the same state under their source position, and stay there as valid keys do.
+    Counters are reported as the query's observed metrics ``accepted`` and
+    ``rejected``.
 
     Progress marks come from the keys met in each batch, so they are exact as
     long as one event is not delivered on two source partitions within one
     batch, which keyed publishing rules out; otherwise they may lag, never lead.
     """
     routed = route.route_messages(decode.decode_messages(messages), settings)
-    valid = route.valid_events(routed).observe("accepted", F.count(F.lit(1)).alias("inserted"))
-    rejected = routed.where(F.col("route") != route.VALID).observe(
+    counted = routed.observe("accepted", F.count_if(F.col("route") == route.VALID).alias("inserted")).observe(
         "rejected",
         F.count_if(F.col("route") == route.VALIDATION).alias("invalid"),
         F.count_if(F.col("route") == route.PROCESSING).alias("dlq"),
     )
-    merged = (
-        _first_arrivals(valid)
-        .withColumn("route", F.lit(route.VALID))
-        .unionByName(rejected.select("route", "raw", "error"), allowMissingColumns=True)
-    )
-
     run = run_of(messages.sparkSession, checkpoint)
 
     def batch(rows: DataFrame, batch_id: int) -> None:
         spark, this = rows.sparkSession, Batch(run, batch_id)
         rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            sinks.publish_quarantine(rows, tables, this, settings)
+            fresh = rows.where(F.col("first.batch_time") == F.col("last.batch_time"))
+            names = ("topic", "partition", "offset", "event_time", "heart_rate", "raw", "error")
+            fresh = fresh.select("route", "event_id", "customer_id", *[f"first.{n}" for n in names])
+            sinks.publish_quarantine(fresh, tables, this, settings)
+            sinks.write_events(route.valid_events(fresh), tables, this)
             met = rows.where(F.col("route") == route.VALID)
-            fresh = met.where(F.col("first.batch_time") == F.col("last.batch_time"))
-            sinks.write_events(
-                route.valid_events(
-                    fresh.select(
-                        "route", "event_id", "customer_id", "first.event_time", "first.heart_rate",
-                        F.col("first.source_topic").alias("topic"),
-                        F.col("first.source_partition").alias("partition"),
-                        F.col("first.source_offset").alias("offset"),
-                    )
-                ),
-                tables,
-                this,
-            )
-            marks = metrics.high_water_marks(met.select("last.*"), settings.group_writer)
-            sinks.upsert_checkpoint(spark, marks, tables, this)
+            sinks.upsert_checkpoint(spark, metrics.high_water_marks(met.select("last.*"), settings.group_writer), tables, this)
         finally:
             rows.unpersist()
 
-    writer = merged.writeStream.outputMode("update").queryName(_query_name(settings.group_writer))
+    writer = _first_arrivals(counted).writeStream.outputMode("update").queryName(_query_name(settings.group_writer))
     return _start(writer.foreachBatch(batch), checkpoint, available_now, interval)
 
 
@@ -182,42 +172,51 @@ def start_panel(
     no watermark: a late row amends its interval, the newest interval is there as
     soon as it has a row, and the table equals the batch panel over all rows read
     so far, however they were cut into batches. State and table hold one row per
-    interval. Read the table with ``snapshot.read``.
+    interval. Read the table with ``keyed.read``.
     """
     run = run_of(counts.sparkSession, checkpoint)
 
     def batch(rows: DataFrame, batch_id: int) -> None:
-        snapshot.upsert(rows.sparkSession, path, counts.schema, rows, key, Batch(run, batch_id))
+        keyed.upsert(rows.sparkSession, path, counts.schema, rows, key, Batch(run, batch_id))
 
     return _start(counts.writeStream.outputMode("update").foreachBatch(batch), checkpoint, available_now, interval)
 
 
-# Layout of the active-customer panel.
-ACTIVE = T.StructType([T.StructField("time", T.TimestampType()), T.StructField("value", T.DoubleType())])
-
-
-def start_active_customers(
-    rows: DataFrame,
+def start_table_panel(
+    spark: SparkSession,
+    table: Committed,
+    counts: Callable[[DataFrame], DataFrame],
     path: str,
+    key: Sequence[str],
     checkpoint: str,
-    width: str = "10 minutes",
-    slide: str = "1 minute",
     available_now: bool = False,
     interval: str = "10 seconds",
 ) -> StreamingQuery:
-    """Exact distinct customers per window (named by its end), kept like a panel.
-    State holds each (window, customer) once; a batch adds its new pairs to the
-    counts of the version it builds on."""
-    window = F.window("event_time", width, slide)
-    pairs = rows.select(window.alias("_window"), "customer_id").select(F.col("_window.end").alias("time"), "customer_id")
-    pairs = pairs.dropDuplicates(["time", "customer_id"])
-    run = run_of(rows.sparkSession, checkpoint)
-
-    def batch(new: DataFrame, batch_id: int) -> None:
-        spark, this = new.sparkSession, Batch(run, batch_id)
-        known = snapshot.read(spark, path, ACTIVE, this).withColumnRenamed("value", "_known")
-        counts = new.groupBy("time").agg(F.count(F.lit(1)).cast("double").alias("_new")).join(known, "time", "left")
-        updates = counts.select("time", (F.col("_new") + F.coalesce("_known", F.lit(0.0))).alias("value"))
-        snapshot.upsert(spark, path, ACTIVE, updates, ("time",), this)
-
-    return _start(pairs.writeStream.foreachBatch(batch), checkpoint, available_now, interval)
+    """Keep a panel of a stored table by following its commits. ``counts`` makes
+    rows of ``key`` and ``value`` of any part of the table, which are added up.
+
+    The rows of new files are added, and those of files that a repeated batch has
+    replaced are taken off again; compactions change nothing. A batch reads the new
+    files and the panel rows they touch. Read the panel with ``read_panel``."""
+    schema = counts(table.load(spark, [])).schema
+    run = run_of(spark, checkpoint)
+
+    def batch(commits: DataFrame, batch_id: int) -> None:
+        spark, this = commits.sparkSession, Batch(run, batch_id)
+        files = commits.where("writer IS NOT NULL").select("added.file", "removed").collect()
+        new = counts(table.load(spark, [f for added, _ in files for f in added]))
+        old = counts(table.load(spark, [f for _, removed in files for f in removed]))
+        changes = new.unionByName(old.withColumn("value", -F.col("value"))).groupBy(*key).agg(F.sum("value").alias("_change")).persist()
+        try:
+            known = keyed.read(spark, path, schema, this, changes)
+            updates = changes.join(known, list(key), "left").withColumn("value", F.coalesce("value", F.lit(0.0)) + F.col("_change"))
+            keyed.upsert(spark, path, schema, updates, key, this)
+        finally:
+            changes.unpersist()
+
+    return _start(table.changes(spark).writeStream.foreachBatch(batch), checkpoint, available_now, interval)
+
+
+def read_panel(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A panel's rows; what has become nothing again is left out."""
+    return keyed.read(spark, path, schema).where(F.col("value") != 0)

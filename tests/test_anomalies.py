@@ -112,11 +112,19 @@ def test_lookback_bounds_every_window_group(spark):
     assert groups.agg(F.max("count")).first()[0] <= chunk
 
 
-def test_lookback_reads_its_input_once(spark, small):
-    found = anomalies.detect(fixture.readings(fixture.read_events(spark, small)))
-    found.collect()
-    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert "ReusedExchange" in plan and plan.count("FileScan") == 1
+def test_lookback_sorts_each_reading_once(spark, small, tmp_path):
+    """One exchange and one sort of readings; the second read has the columns that
+    the chunks' last readings need, and is combined before it is shuffled."""
+    fixture.readings(fixture.read_events(spark, small)).write.parquet(str(tmp_path / "readings"))
+    found = anomalies.detect(spark.read.parquet(str(tmp_path / "readings")))
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    planned = found._jdf.queryExecution().executedPlan().toString()
+    lines = [x for x in planned.splitlines() if "Sort [customer_id" in x and "event_id" not in x]
+    with_time = [x for x in planned.splitlines() if "Sort [" in x and "offset" in x]
+    assert len(with_time) == 1 and len(lines) <= 4
+    assert plan.count("Window") == 2 and "partial_max_by" in planned
+    narrow = [x for x in planned.splitlines() if "FileScan" in x]
+    assert len(narrow) == 2 and sum("event_id" in x.split("ReadSchema", 1)[1] for x in narrow) == 1
 
 
 def test_history_depth(spark):

@@ -1,10 +1,13 @@
+import math
 from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from pulseforge import Settings
-from pulseforge.operators import lookup, metrics
+from pulseforge.operators import decode, lookup, metrics, route
+from pulseforge.operators.selection import quantile
+from pulseforge.plans import fixture
 
 T0 = datetime(2026, 1, 1, 12, 0, 0, tzinfo=timezone.utc)
 
@@ -93,3 +96,21 @@ def test_latency(spark):
     rows = events(spark, [(0, 60, "a")] * 4).withColumn(
         "ingest_time", F.col("event_time") + F.make_dt_interval(secs=F.lit(2.5).cast("decimal(18,6)")))
     assert tuple(lookup.ingest_latency(rows).first()) == (4, 2.5, 2.5, 2.5)
+
+
+@pytest.mark.parametrize("values", [[5], [3, 3, 3], list(range(100)), [-(1 << 40), 7, 1 << 40, 1 << 40], [None, 4, None, 9], [i * i * 977 % 1_000_003 - 400_000 for i in range(997)], []])
+def test_exact_quantile(spark, values):
+    rows = spark.createDataFrame([(v,) for v in values], "v BIGINT")
+    known = sorted(v for v in values if v is not None)
+    for fraction in (0.0, 0.05, 0.5, 0.95, 1.0):
+        want = known[max(1, math.ceil(fraction * len(known))) - 1] if known else None
+        assert quantile(rows, F.col("v"), fraction) == want
+
+
+def test_panels_are_in_order(spark, small):
+    """By minute ascending; by count descending, then by type."""
+    rows = route.valid_events(route.route_messages(decode.decode_messages(fixture.raw_messages(fixture.read_events(spark, small)))))
+    minutes = [r.time for r in metrics.per_minute(rows.repartition(5)).collect()]
+    assert len(minutes) > 100 and minutes == sorted(minutes)
+    found = spark.createDataFrame([(t,) for t in ["b"] * 3 + ["a"] * 3 + ["c"] * 5 + ["d"]], "anomaly_type STRING").repartition(3)
+    assert [(r.anomaly_type, r["count"]) for r in metrics.type_breakdown(found).collect()] == [("c", 5), ("a", 3), ("b", 3), ("d", 1)]

@@ -8,7 +8,7 @@ from helpers import WHEN, doc, messages, rows_of, uid
 from pulseforge.operators import decode, dedup, lookup, metrics, route
 from pulseforge.plans import fixture, pipeline
 from pulseforge.schema import CHECKPOINT
-from pulseforge.sources import raw, sinks, snapshot
+from pulseforge.sources import keyed, raw, sinks
 from pulseforge.sources.batch import Batch, run_of
 
 EVENT = ("event_id", "customer_id", "heart_rate", "source_offset")
@@ -60,8 +60,8 @@ def test_hot_copies_are_cut_before_the_shuffle(spark):
 def test_quarantine_topics(spark, tables):
     values = [doc(1), doc(2, rate=300), "{", doc(3, customer="c" * 65)]
     pipeline.ingest(spark, messages(spark, values), tables, Batch("t", 0))
-    invalid = [json.loads(r.value) for r in spark.read.parquet(tables.topic("events.invalid.v1")).collect()]
-    dlq = [json.loads(r.value) for r in spark.read.parquet(tables.topic("events.dlq.v1")).collect()]
+    invalid = [json.loads(r.value) for r in tables.read_topic(spark, "events.invalid.v1").collect()]
+    dlq = [json.loads(r.value) for r in tables.read_topic(spark, "events.dlq.v1").collect()]
     assert sorted(e["raw"] for e in invalid) == sorted([values[1], values[2]])
     assert [(e["raw"], e["error_type"]) for e in dlq] == [(values[3], "PROCESSING")]
 
@@ -81,7 +81,7 @@ def test_snapshot_retry_reads_the_earlier_base(spark, tables):
     for version, offset in ((0, 1), (1, 2), (2, 3), (2, 30), (3, 4)):
         sinks.upsert_checkpoint(spark, marks(spark, [("g", "t", version, offset)]), tables, Batch("t", version))
     assert rows_of(tables.read_checkpoint(spark), "partition", "last_offset") == [(0, 1), (1, 2), (2, 30), (3, 4)]
-    assert rows_of(snapshot.read(spark, tables.checkpoint, CHECKPOINT, Batch("t", 3)), "partition") == [(0,), (1,), (2,)]
+    assert rows_of(keyed.read(spark, tables.checkpoint, CHECKPOINT, Batch("t", 3)), "partition") == [(0,), (1,), (2,)]
 
 
 def test_invalid_rows_do_not_move_the_checkpoint(spark, tables):
@@ -95,6 +95,9 @@ def test_replay_after_checkpoint(spark):
     assert rows_of(lookup.replay_after(m, stored, "g"), "partition", "offset") == [(0, 2), (0, 3), (1, 0)]
     assert json.loads(raw.starting_offsets(stored, "g")) == {"events.raw.v1": {"0": 2}}
     assert raw.starting_offsets(stored, "nobody") == "earliest"
+    every = {"events.raw.v1": [0, 1, 2], "x": [0]}
+    assert json.loads(raw.starting_offsets(stored, "g", every)) == {"events.raw.v1": {"0": 2, "1": -2, "2": -2}, "x": {"0": -2}}
+    assert json.loads(raw.starting_offsets(stored, "nobody", {"t": [1]})) == {"t": {"1": -2}}
 
 
 def test_trace_to_source(spark):
@@ -156,18 +159,7 @@ def test_a_batch_of_another_run_replaces_nothing(spark, tables):
     sinks.insert_events(spark, valid(spark, [doc(7)], start=7), tables, Batch("other", 0))
     sinks.insert_events(spark, valid(spark, [doc(8)], start=8), tables, Batch("other", 0))  # the same batch, anew
     assert [e[3] for e in rows_of(tables.read_events(spark), *EVENT)] == [0, 1, 2, 3, 4, 8]
-    assert spark.read.parquet(tables.topic("events.invalid.v1")).count() == 0
-
-
-def test_a_version_without_its_marker_is_not_read(spark, tables, tmp_path):
-    for number in range(3):
-        sinks.upsert_checkpoint(spark, marks(spark, [("g", "t", number, 1)]), tables, Batch("a", number))
-    before = rows_of(tables.read_checkpoint(spark), "partition")
-    # A job that fails after its data and before its marker.
-    marks(spark, [("g", "t", 9, 9)]).write.mode("overwrite").parquet(f"{tables.checkpoint}/slot=1")
-    assert rows_of(tables.read_checkpoint(spark), "partition") == before
-    sinks.upsert_checkpoint(spark, marks(spark, [("g", "t", 3, 1)]), tables, Batch("b", 0))  # another run goes on
-    assert rows_of(tables.read_checkpoint(spark), "partition") == [(0,), (1,), (2,), (3,)]
+    assert tables.read_topic(spark, "events.invalid.v1").count() == 0
 
 
 def test_a_run_lives_with_its_progress(spark, tmp_path):
@@ -190,3 +182,66 @@ def test_dates_are_pruned_alike_in_every_zone(spark, tables, zone):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     with pytest.raises(ValueError, match="no time zone"):
         metrics.trailing(stored, timedelta(hours=2), datetime(2026, 2, 23))
+
+
+def test_archive_reads_only_matching_files(spark, small, tables):
+    m = fixture.raw_messages(fixture.read_events(spark, small)).withColumn("partition", F.col("partition") % 3)
+    half = F.col("offset") < 500
+    tables.archive.keep(m.where(half), Batch("a", 0))
+    for _ in range(2):  # the second attempt takes the first one's place
+        tables.archive.keep(m.where(~half), Batch("a", 1))
+    archive = tables.archive
+    assert archive.read(spark).count() == 1000 and archive.partitions(spark) == {"events.raw.v1": [0, 1, 2]}
+    files = len(archive.spans(spark))
+    assert files >= 6
+    late = marks(spark, [("g", "events.raw.v1", 0, 499), ("g", "events.raw.v1", 1, 10**9), ("h", "events.raw.v1", 2, 10**9)])
+    replayed = archive.replay(spark, late, "g")
+    assert rows_of(replayed, "offset") == rows_of(lookup.replay_after(m, late, "g"), "offset")
+    assert len(replayed.inputFiles()) <= files - 3  # neither the old half of 0 nor partition 1
+    stored = route.valid_events(route.route_messages(decode.decode_messages(m))).where("source_partition = 1 AND source_offset > 700")
+    traced = archive.trace(stored)
+    assert rows_of(traced, "event_id", "raw") == rows_of(lookup.trace_to_source(stored, m), "event_id", "raw")
+    source = [f for f in traced.inputFiles() if "raw_archive" in f]
+    assert source and all("partition=1" in f for f in source) and len(source) < files / 2
+    assert archive.trace(stored.limit(0)).count() == 0
+
+
+def test_history_is_not_shuffled(spark, tables):
+    """Keys in the index, keys not there yet, and a batch that is repeated."""
+    sinks.insert_events(spark, valid(spark, [doc(i) for i in range(6)]), tables, Batch("t", 0))
+    assert tables.history.catch_up(spark) and not tables.history.catch_up(spark)
+    sinks.insert_events(spark, valid(spark, [doc(i, rate=80) for i in range(4, 9)], start=6), tables, Batch("t", 1))
+    indexed, recent = tables.history.read(spark)
+    assert (indexed.count(), recent.count()) == (6, 3)
+    sinks.insert_events(spark, valid(spark, [doc(i) for i in range(12)], start=11), tables, Batch("t", 2))
+    assert rows_of(tables.read_events(spark), "event_id", "heart_rate") == [(uid(i), 70 if i < 6 or i > 8 else 80) for i in range(12)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh = dedup.absent_from(valid(spark, [doc(1), doc(99)]), tables.history.read(spark)[0])
+        plan = fresh._jdf.queryExecution().executedPlan().toString()
+        history = plan[plan.index("SortMergeJoin"):].splitlines()
+        scan = next(i for i, x in enumerate(history) if "FileScan" in x and "Bucketed: true" in x)
+        depth = lambda x: len(x) - len(x.lstrip(" :+-|"))
+        above, at = [], depth(history[scan])
+        for x in reversed(history[:scan]):
+            if depth(x) < at:
+                above.append(x)
+                at = depth(x)
+        assert not any("Exchange" in x for x in above) and rows_of(fresh, "event_id") == [(uid(99),)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_index_follows_replaced_batches(spark, tables):
+    sinks.write_events(valid(spark, [doc(1), doc(2)]), tables, Batch("t", 0))
+    tables.history.catch_up(spark)
+    sinks.write_events(valid(spark, [doc(2), doc(3)]), tables, Batch("t", 0))  # repeated, with other rows
+    keys = lambda: sorted(r.event_id for part in tables.history.read(spark) for r in part.collect())
+    assert keys() == [uid(2), uid(3)]
+    for number in range(1, 6):
+        sinks.write_events(valid(spark, [doc(10 * number)]), tables, Batch("t", number))
+        tables.history.catch_up(spark)
+        assert keys() == [uid(2), uid(3), *[uid(10 * n) for n in range(1, number + 1)]]
+    assert len(tables.history._state(spark)[1]["parts"]) < 5  # parts are merged
+    tables.events.compact(spark)
+    assert not any(r.count() for r in [tables.history.read(spark)[1]]) and len(keys()) == 7

@@ -1,5 +1,7 @@
+import collections
 import glob
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,9 +10,10 @@ from helpers import doc, messages, rows_of, uid
 from pulseforge.operators import anomalies, decode, metrics, route
 from pulseforge.plans import fixture, pipeline
 from pulseforge.schema import CHECKPOINT
-from pulseforge.sources import raw, snapshot
+from pulseforge.sources import keyed, raw
 from pulseforge.sources.batch import Batch
 from pulseforge.sources.tables import Tables
+from pulseforge.streaming import active
 from pulseforge.streaming import queries as streams
 
 FOUND = ("event_id", "anomaly_type", "severity", "details")
@@ -39,7 +42,7 @@ def test_detector_stream_equals_batch(spark, feed, tables, tmp_path):
     assert query.lastProgress["batchId"] == 2
     batch = anomalies.detect(decode.schema_valid(decode.decode_messages(raw.read_files(spark, feed))))
     assert rows_of(tables.read_anomalies(spark), *FOUND) == rows_of(batch, *FOUND)
-    published = spark.read.parquet(tables.topic("events.anomaly.v1"))
+    published = tables.read_topic(spark, "events.anomaly.v1")
     assert published.count() == batch.count()
 
 
@@ -84,8 +87,7 @@ def test_stateful_insert_equals_table_insert(spark, feed, tables, tmp_path):
     marks = CHECKPOINT.names[:4]
     assert rows_of(tables.read_checkpoint(spark), *marks) == rows_of(whole.read_checkpoint(spark), *marks)
     for topic in ("events.invalid.v1", "events.dlq.v1"):
-        assert rows_of(spark.read.parquet(tables.topic(topic)), "value") == rows_of(
-            spark.read.parquet(whole.topic(topic)), "value")
+        assert rows_of(tables.read_topic(spark, topic), "value") == rows_of(whole.read_topic(spark, topic), "value")
 
 
 def test_stateful_insert_across_batches(spark, tables, tmp_path):
@@ -108,7 +110,7 @@ def test_stateful_insert_across_batches(spark, tables, tmp_path):
 
 def panel(spark, counts, key, tmp_path):
     streams.start_panel(counts, str(tmp_path / "panel"), [key], str(tmp_path / "cp"), available_now=True).awaitTermination()
-    return snapshot.read(spark, str(tmp_path / "panel"), counts.schema)
+    return keyed.read(spark, str(tmp_path / "panel"), counts.schema)
 
 
 def valid_of(m):
@@ -129,12 +131,49 @@ def test_late_rows_amend_their_minute(spark, tmp_path):
     assert [r.value for r in out.orderBy("time").collect()] == [1.0, 2.0, 1.0, 1.0]
 
 
-@pytest.mark.parametrize("width, slide", [("10 days", "10 days"), ("3 days", "1 day")])
+@pytest.mark.parametrize("width, slide", [("10 days", "10 days"), ("3 days", "1 day"), ("10 minutes", "1 minute")])
 def test_active_customer_stream(spark, feed, tmp_path, width, slide):
-    streams.start_active_customers(
+    active.start_active_customers(
         valid_of(raw.stream_files(spark, feed, 1)), str(tmp_path / "panel"), str(tmp_path / "cp"), width, slide, available_now=True
     ).awaitTermination()
-    got = snapshot.read(spark, str(tmp_path / "panel"), streams.ACTIVE)
+    got = active.read_active(spark, str(tmp_path / "panel"), slide)
     window = F.window("event_time", width, slide)
     want = valid_of(raw.read_files(spark, feed)).groupBy(window.alias("w")).agg(F.count_distinct("customer_id").cast("double").alias("value"))
     assert rows_of(got, "time", "value") == rows_of(want.select(F.col("w.end").alias("time"), "value"), "time", "value")
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_changes_sum_up_to_distinct_customers(spark, seed, monkeypatch):
+    """Pairs in any order of arrival, a few at a time."""
+    monkeypatch.setattr(active, "SPAN", 7)
+    rng, k = random.Random(seed), 4
+    pairs = list({(f"c{rng.randrange(4)}", rng.randrange(40)) for _ in range(50)})
+    rng.shuffle(pairs)
+    schema, known, total = "customer_id STRING, slide BIGINT", [], collections.Counter()
+    while pairs:
+        new, pairs = pairs[:9], pairs[9:]
+        found = active.changes(spark.createDataFrame(known, schema), spark.createDataFrame(new, schema), k)
+        total.update({r.slide: r.change for r in found.collect()})
+        known += new
+    table = spark.createDataFrame(list(total.items()), "slide BIGINT, change BIGINT")
+    got = {int(r.time.timestamp()) // 60 - 1: r.value for r in active.counts(table, 60).collect()}
+    want = {e: len({c for c, s in known if s <= e < s + k}) for e in range(50)}
+    assert got == {e: n for e, n in want.items() if n}
+
+
+def test_writer_reads_its_source_once(spark, feed, tables, tmp_path):
+    query = streams.start_stateful_writer(raw.stream_files(spark, feed), tables, str(tmp_path / "progress"), available_now=True)
+    query.awaitTermination()
+    seen = query.recentProgress
+    assert sum(p["numInputRows"] for p in seen) == raw.read_files(spark, feed).count() == 1000
+    counted = [p["observedMetrics"] for p in seen if p["numInputRows"]]
+    assert (counted[0]["accepted"]["inserted"], counted[0]["rejected"]["invalid"], counted[0]["rejected"]["dlq"]) == (784, 206, 10)
+
+
+def test_rejects_are_published_once(spark, tables, tmp_path):
+    """The same source positions read again, as after a restored progress folder."""
+    feed = tmp_path / "in"
+    for _ in range(2):
+        messages(spark, ["{", doc(1), doc(2, rate=300)]).coalesce(1).write.mode("append").parquet(str(feed))
+        streams.start_stateful_writer(raw.stream_files(spark, str(feed)), tables, str(tmp_path / "progress"), available_now=True).awaitTermination()
+    assert tables.read_topic(spark, "events.invalid.v1").count() == 2 and tables.read_events(spark).count() == 1
