@@ -6,8 +6,8 @@ windows have equal anchors, and only windows whose anchor occurs again can
 repeat. The job
 
 1. lists each document's anchors and keeps those that occur more than once;
-2. cuts out the words around each kept anchor, to both sides as far as windows
-   with this anchor reach;
+2. takes, for each kept anchor, the windows around it that have this anchor, each
+   as a hash of its words;
 3. brings the cuts of one anchor together and extends: which of their windows
    are equal to another's. Runs of such windows are the maximal repeats;
 4. takes the words of all runs out of the documents.
@@ -15,7 +15,8 @@ repeat. The job
 Nothing is done by pairs: an anchor's cuts are compared by the hashes of their
 windows. An anchor with very many cuts is dealt over several tasks; each settles
 the windows that repeat within its share and passes on one of each kind, and the
-kinds are counted across shares.
+kinds are counted across shares. Rows equal in id and text are cut once and count
+as often as they stand.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulseforge.llm.common import Words, blocks, written
+from pulseforge.llm.common import Words, blocks, mix, written
 
 MIN_WORDS = 35
 GRAM = 8
@@ -38,7 +39,7 @@ _SLICE = 1 << 18
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """A document is known by its id and its text's hash; rows equal in both have
-    equal results, and count as often as they stand."""
+    equal results."""
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_id"), F.xxhash64(text).alias("_th"), text.alias("text"))
 
@@ -77,10 +78,10 @@ def _anchors(docs: DataFrame, min_words: int, gram: int) -> DataFrame:
 
 
 def _cuts(docs: DataFrame, min_words: int, gram: int) -> DataFrame:
-    """``docs`` with ``marks`` -> the words around each marked anchor."""
+    """``docs`` with ``rows`` and ``marks`` -> the windows of each marked anchor: the
+    word the first begins at (``low``), and the hash of each."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        salt = 0
         for batch, column in blocks(batches, "text"):
             words = Words(column)
             window, anchor, grams = owners(words, min_words, gram)
@@ -93,23 +94,25 @@ def _cuts(docs: DataFrame, min_words: int, gram: int) -> DataFrame:
             doc, parts = doc[first_of], parts[first_of]
             # Windows of one anchor follow one another.
             first = np.searchsorted(anchor, position, side="left")
-            last = np.searchsorted(anchor, position, side="right") - 1
-            low, high = window[first], window[last] + min_words - 1
-            data = words.data.tobytes()
-            slices = [data[a:b] for a, b in zip(words.start[low].tolist(), words.end[high].tolist())]
+            many = np.searchsorted(anchor, position, side="right") - first
+            ends = np.append(0, np.cumsum(many))
+            at = np.arange(ends[-1]) + np.repeat(first - ends[:-1], many)
+            hashes_ = words.grams(min_words)[window[at]]
+            low = window[first] - words.doc[doc]
             ids, hashes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            share = (np.arange(len(doc)) + salt) % np.maximum(parts, 1)
-            salt += len(doc)
+            # The same share again if the task is run again, and even for every anchor.
+            share = mix(ids[doc].view(np.uint64) ^ mix(hashes[doc].view(np.uint64) ^ mix(low.astype(np.uint64)))) % parts.astype(np.uint64)
             yield pa.record_batch({
                 "anchor": pa.array(grams[position].view(np.int64)), "share": pa.array(share.astype(np.int32)), "parts": pa.array(parts.astype(np.int32)),
-                "_id": pa.array(ids[doc]), "_th": pa.array(hashes[doc]), "low": pa.array((low - words.doc[doc]).astype(np.int32)),
-                "cut": pa.array(slices, pa.binary()).cast(pa.string()),
+                "_id": pa.array(ids[doc]), "_th": pa.array(hashes[doc]), "low": pa.array(low.astype(np.int32)),
+                "rows": pa.array(batch.column(batch.schema.get_field_index("rows")).to_numpy()[doc]),
+                "windows": pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(hashes_.view(np.int64))),
             })
 
-    return docs.mapInArrow(cut, "anchor long, share int, parts int, _id long, _th long, low int, cut string")
+    return docs.mapInArrow(cut, "anchor long, share int, parts int, _id long, _th long, low int, rows long, windows array<long>")
 
 
-_FOUND = "_id long, _th long, low int, high int, anchor long, window long"
+_FOUND = "_id long, _th long, low int, high int, anchor long, window long, rows long"
 
 
 def _groups(batches: Iterator[pa.RecordBatch], limit: int = 5_000) -> Iterator[pa.Table]:
@@ -148,10 +151,10 @@ def _extend(cuts: DataFrame, min_words: int) -> DataFrame:
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches):
-            words = Words(table["cut"].cast(pa.large_string()).combine_chunks())
-            window = np.flatnonzero(words.whole(min_words))
-            row = words.text_of()[window]
-            hashes = words.grams(min_words)[window]
+            lists = table["windows"].combine_chunks()
+            sizes = lists.value_lengths().to_numpy()
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            hashes = lists.flatten().to_numpy()
             anchor, share = table["anchor"].to_numpy(), table["share"].to_numpy()
             group = np.cumsum(np.append(False, (anchor[1:] != anchor[:-1]) | (share[1:] != share[:-1])))
             order = np.lexsort((hashes, group[row]))
@@ -159,30 +162,32 @@ def _extend(cuts: DataFrame, min_words: int) -> DataFrame:
             equal = (g[1:] == g[:-1]) & (h[1:] == h[:-1])
             again = np.zeros(len(order), dtype=bool)
             again[order] = np.append(equal, False) | np.append(False, equal)
+            many = table["rows"].to_numpy()
+            again |= many[row] > 1
             ids, texts, low = table["_id"].to_numpy(), table["_th"].to_numpy(), table["low"].to_numpy()
-            place = low[row] + window - words.doc[row]
+            place = low[row] + np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             # Repeated windows one after another in a cut make one run.
             hit = np.flatnonzero(again)
             if len(hit):
                 new = np.flatnonzero(np.append(True, (row[hit][1:] != row[hit][:-1]) | (place[hit][1:] != place[hit][:-1] + 1)))
                 start, stop = hit[new], hit[np.append(new[1:], len(hit)) - 1]
-                yield _found(ids[row[start]], texts[row[start]], place[start], place[stop] + min_words, None, None)
+                yield _found(ids[row[start]], texts[row[start]], place[start], place[stop] + min_words, None, None, None)
             kinds = order[np.append(True, ~equal)] if len(order) else order
             kinds = kinds[table["parts"].to_numpy()[row[kinds]] > 1]
             if len(kinds):
-                yield _found(ids[row[kinds]], texts[row[kinds]], place[kinds], None, anchor[row[kinds]], hashes[kinds].view(np.int64))
+                yield _found(ids[row[kinds]], texts[row[kinds]], place[kinds], None, anchor[row[kinds]], hashes[kinds], many[row[kinds]])
 
     rows = cuts.repartition("anchor", "share").sortWithinPartitions("anchor", "share")
     return rows.mapInArrow(extend, _FOUND)
 
 
-def _found(ids, texts, low, high, anchor, window) -> pa.RecordBatch:
+def _found(ids, texts, low, high, anchor, window, rows) -> pa.RecordBatch:
     n = len(ids)
     column = lambda values, kind: pa.nulls(n, kind) if values is None else pa.array(np.asarray(values), kind)
     return pa.record_batch({
         "_id": column(ids, pa.int64()), "_th": column(texts, pa.int64()), "low": column(np.asarray(low, dtype=np.int32), pa.int32()),
         "high": column(None if high is None else np.asarray(high, dtype=np.int32), pa.int32()),
-        "anchor": column(anchor, pa.int64()), "window": column(window, pa.int64()),
+        "anchor": column(anchor, pa.int64()), "window": column(window, pa.int64()), "rows": column(rows, pa.int64()),
     })
 
 
@@ -196,12 +201,14 @@ def runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     # split a frequent anchor over tasks.
     many = written(anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "anchor-counts")
     parts = F.ceil(F.col("n") / SHARE).cast("int").alias("parts")
-    marks = anchors.join(many, "anchor").groupBy("_id", "_th").agg(F.collect_list(F.struct("position", parts)).alias("marks"))
-    cuts = _cuts(keyed.join(marks, ["_id", "_th"]), min_words, gram)
+    marks = anchors.join(many, "anchor").groupBy("_id", "_th").agg(F.collect_set(F.struct("position", parts)).alias("marks"))
+    # Equal rows become one in the tasks that read them, and one in all after the shuffle.
+    distinct = keyed.groupBy("_id", "_th").agg(F.first("text").alias("text"), F.count("*").alias("rows"))
+    cuts = _cuts(distinct.join(marks, ["_id", "_th"]), min_words, gram)
     found = written(_extend(cuts, min_words), "repeats")
     whole = found.where("high is not null").select("_id", "_th", "low", "high")
     kinds = found.where("high is null")
-    shared = kinds.groupBy("anchor", "window").agg(F.count("*").alias("n")).where("n > 1")
+    shared = kinds.groupBy("anchor", "window").agg(F.sum("rows").alias("n")).where("n > 1")
     across = kinds.join(shared, ["anchor", "window"]).select("_id", "_th", "low", (F.col("low") + min_words).alias("high"))
     return whole.unionByName(across)
 
@@ -217,7 +224,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     rows repeat one another; an empty table gives no rows. Extra columns stay, but
     those named like a result.
     """
-    found = runs(docs, min_words).groupBy("_id", "_th").agg(F.collect_list(F.struct("low", "high")).alias("_runs"))
+    found = runs(docs, min_words).groupBy("_id", "_th").agg(F.collect_set(F.struct("low", "high")).alias("_runs"))
     names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text")]
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names if c != "text"]).alias("_rest"), F.col("text").isNull().alias("_null"), text.alias("text"))

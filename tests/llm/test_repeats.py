@@ -62,3 +62,15 @@ def test_columns_stay(messy, nothing):
     assert {(r._id, r.node) for r in rows.collect()} == {("i", "n")}
     assert [r.text for r in rows.where("doc_id = 2").collect()] == [None]
     assert repeats.remove_repeats(nothing).count() == 0
+
+
+def test_very_many_equal_rows(spark):
+    """Equal in id and text, or in text alone; their number is no square anywhere."""
+    text = " ".join(f"w{i}" for i in range(120))
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = spark.range(100_000).selectExpr("cast(null as long) as doc_id", f"'{text}' as text")
+    rows = rows.unionByName(spark.range(20_000).selectExpr("id % 3 as doc_id", f"'{other}' as text"))
+    rows = rows.unionByName(spark.createDataFrame([(9, "start " + text + " end"), (10, "nothing else")], "doc_id long, text string"))
+    found = repeats.remove_repeats(rows.repartition(8)).groupBy("doc_id", "n_words", "n_removed", "kept_text").count().collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_text, r["count"]) for r in found) == [
+        ("0", 60, 60, "", 6667), ("1", 60, 60, "", 6667), ("10", 2, 0, "nothing else", 1), ("2", 60, 60, "", 6666), ("9", 122, 120, "start end", 1), ("None", 120, 120, "", 100_000)]
