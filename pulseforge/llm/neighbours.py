@@ -2,9 +2,9 @@
 
 Vectors are dealt to shards of bounded size. Each shard gets a directed graph: a
 greedy search from the shard's centre proposes neighbours for every vector, and
-relaxed distance pruning keeps those that no kept neighbour stands in for. Queries
-go in blocks to every shard, where a beam search follows the graph. The best of
-all shards are merged.
+relaxed distance pruning keeps those that no kept neighbour stands in for. A task
+holds one shard, the queries stream past it, and a beam search follows the graph for
+each. The best of all shards are merged.
 
 One more coordinate makes all vectors of a shard equally long, so that nearness in
 the graph is the inner product's order. Shards are dealt within bands of length, so
@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulseforge.llm.common import written
+from pulseforge.llm.meeting import Work, meet
 
 TOP = 20
 DEGREE = 32
@@ -32,7 +33,9 @@ RELAX = 1.2
 #: Vectors, and bytes, of a shard; queries of a block.
 SHARD_VECTORS = 8_192
 SHARD_BYTES = 16 << 20
-BLOCK_QUERIES = 2_048
+#: Queries that pass a shard in one task, and that are searched at once.
+TASK_QUERIES = 65_536
+AT_ONCE = 1_024
 #: Powers of two that lengths within a band, counted from the longest vector, span.
 BAND = 8
 #: Tasks that shards are dealt to at most; a task then builds several.
@@ -168,16 +171,13 @@ def _link_back(x: np.ndarray, graph: np.ndarray, node: np.ndarray, degree: int,
             graph[target[part], degree:] = n
 
 
-def _pack(table: pa.Table) -> tuple[bytes, bytes]:
-    vectors = table["vector"].combine_chunks().flatten().to_numpy()
-    return table["vec_id"].to_numpy().tobytes(), vectors.tobytes()
-
-
 def _build_shard(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     dim, shard = (k.as_py() for k in key)
-    ids, raw = _pack(table)
-    graph, start = build(_longer(np.frombuffer(raw).reshape(-1, dim)))
-    return pa.table({"dim": pa.array([dim], pa.int32()), "shard": pa.array([shard], pa.int32()), "ids": pa.array([ids], pa.binary()), "vectors": pa.array([raw], pa.binary()), "graph": [graph.astype(np.int32).tobytes()], "start": pa.array([start], pa.int32())})
+    vectors = table["vector"].combine_chunks().flatten().to_numpy()
+    graph, start = build(_longer(vectors.reshape(-1, dim)))
+    packed = (table["row"].to_numpy(), table["vec_id"].to_numpy(), vectors, graph.astype(np.int32))
+    blobs = [pa.array([x.tobytes()], pa.binary()) for x in packed]
+    return pa.table([pa.array([dim], pa.int32()), pa.array([shard], pa.int32()), *blobs, pa.array([start], pa.int32())], names=["dim", "shard", "rows", "ids", "vectors", "graph", "start"])
 
 
 def scaled(vectors: np.ndarray, by_row: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -213,34 +213,63 @@ def level(mantissa: np.ndarray, power: np.ndarray) -> np.ndarray:
     return (np.sign(mantissa) * (power + 10_000)).astype(np.int32)
 
 
-def _pack_queries(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    ids, raw = _pack(table)
-    return pa.table({"dim": pa.array([key[0].as_py()], pa.int32()), "block": pa.array([key[1].as_py()], pa.int32()), "query_ids": [ids], "queries": [raw]})
-
-
-def _search(pairs: DataFrame, top: int, beam: int) -> DataFrame:
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                dim, n = row["dim"], len(row["ids"]) // 8
-                ids, vectors = np.frombuffer(row["ids"], dtype=np.int64), np.frombuffer(row["vectors"]).reshape(n, dim)
-                query_ids, queries = np.frombuffer(row["query_ids"], dtype=np.int64), np.frombuffer(row["queries"]).reshape(-1, dim)
-                graph = np.frombuffer(row["graph"], dtype=np.int32).reshape(n, -1)
-                points = scaled(queries, True)[0]
-                points = np.column_stack([points, np.zeros(len(points))]) / np.sqrt((points**2).sum(axis=1, keepdims=True))
-                found, _ = beam_search(_longer(vectors), graph, row["start"], points.astype(np.float32), min(beam, max(n, 1)))
-                i, j = np.nonzero(found < n)
-                mantissa, power = np.zeros(found.shape), np.zeros(found.shape, dtype=np.int32)
-                mantissa[i, j], power[i, j] = products(vectors[found[i, j]], queries[i])
-                levels = np.where(found < n, level(mantissa, power), np.int32(-(1 << 30)))
-                best = np.lexsort((-mantissa, -levels), axis=1)[:, :top]
-                mantissa, power, levels, found = (np.take_along_axis(a, best, axis=1) for a in (mantissa, power, levels, found))
-                i, j = np.nonzero(found < n)
-                with np.errstate(over="ignore"):
-                    scores = np.ldexp(mantissa[i, j], power[i, j])
-                yield pa.record_batch({"query_id": pa.array(query_ids[i]), "rep": pa.array(ids[found[i, j]]), "score": pa.array(scores), "level": pa.array(levels[i, j]), "mantissa": pa.array(mantissa[i, j])})
-
-    return pairs.mapInArrow(search, "query_id long, rep long, score double, level int, mantissa double")
+class _Search(Work):
+    """Beam search of queries in one shard."""
+
+    def __init__(self, top: int, beam: int):
+        self.top, self.beam = top, beam
+
+    def start(self, resident: pa.Table) -> None:
+        row = resident.to_pylist()[0]
+        self.rows, self.ids = (np.frombuffer(row[n], dtype=np.int64) for n in ("rows", "ids"))
+        self.vectors = np.frombuffer(row["vectors"]).reshape(len(self.rows), -1)
+        self.graph = np.frombuffer(row["graph"], dtype=np.int32).reshape(len(self.rows), -1)
+        self.points, self.first = _longer(self.vectors), row["start"]
+
+    def add(self, rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for at in range(0, rows.num_rows, AT_ONCE):
+            part = rows.slice(at, AT_ONCE)
+            queries = part.column("vector").flatten().to_numpy().reshape(part.num_rows, -1)
+            yield self._some(part.column("row").to_numpy(), queries)
+
+    def _some(self, own: np.ndarray, queries: np.ndarray) -> pa.RecordBatch:
+        n = len(self.rows)
+        points = scaled(queries, True)[0]
+        points = np.column_stack([points, np.zeros(len(points))]) / np.sqrt((points**2).sum(axis=1, keepdims=True))
+        found = wide_search(self.points, self.graph, self.first, points.astype(np.float32), min(self.beam, n), self.top)
+        i, j = np.nonzero(found < n)
+        mantissa, power = np.zeros(found.shape), np.zeros(found.shape, dtype=np.int32)
+        mantissa[i, j], power[i, j] = products(self.vectors[found[i, j]], queries[i])
+        levels = np.where(found < n, level(mantissa, power), np.int32(-(1 << 30)))
+        ids = self.ids[np.minimum(found, n - 1)]
+        best = np.lexsort((ids, -mantissa, -levels), axis=1)[:, :self.top]
+        mantissa, power, levels, found = (np.take_along_axis(a, best, axis=1) for a in (mantissa, power, levels, found))
+        i, j = np.nonzero(found < n)
+        with np.errstate(over="ignore"):
+            scores = np.ldexp(mantissa[i, j], power[i, j])
+        return pa.record_batch({
+            "query": pa.array(own[i]), "rep": pa.array(self.rows[found[i, j]]), "score": pa.array(scores),
+            "level": pa.array(levels[i, j]), "mantissa": pa.array(mantissa[i, j]),
+        })
+
+
+def wide_search(x: np.ndarray, graph: np.ndarray, start: int, points: np.ndarray, width: int, top: int) -> np.ndarray:
+    """Beam search that widens its beam for queries whose last hits tie with the
+    ``top``-th, until all ties are in it: ids decide among ties, not the beam."""
+    found, far = beam_search(x, graph, start, points, width)
+    while width < len(x):
+        edge = far[:, min(top, width) - 1]
+        tied = np.flatnonzero(np.isfinite(far[:, -1]) & (far[:, -1] <= edge + 1e-5 * np.maximum(edge, 1)))
+        if not len(tied):
+            break
+        width = min(4 * width, len(x))
+        wide, distance = np.full((len(points), width), len(x), dtype=found.dtype), np.full((len(points), width), np.inf, dtype=far.dtype)
+        wide[:, :found.shape[1]], distance[:, :found.shape[1]] = found, far
+        for at in range(0, len(tied), 64):
+            some = tied[at:at + 64]
+            wide[some], distance[some] = beam_search(x, graph, start, points[some], width)
+        found, far = wide, distance
+    return found
 
 
 def dealt_to(sizes: DataFrame) -> int:
@@ -253,20 +282,18 @@ def search(vectors: DataFrame, is_query: Column, top: int = TOP, beam: int = BEA
 
     Candidates are all usable vectors (see ``usable``) but the query itself; only
     vectors of the query's dimension. A score beyond the range of doubles is
-    infinite, but ranked by its size. Rows without id take no part, rows of one id
-    count once (with the least vector). Nearest first, ties to the smaller id;
+    infinite, but ranked by its size. Rows without id take no part; rows that share
+    an id are queries and candidates each. Nearest first, ties to the smaller id;
     all candidates if there are fewer than ``top``. Of equal vectors the ``top``
     + 1 smallest ids are enough for any query; those are kept, so that any number
     of copies is searched exactly as one. An empty table gives no rows.
     """
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
     rows = rows.where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
-    one = Window.partitionBy("vec_id").orderBy("vector")
-    rows = rows.withColumn("_n", F.row_number().over(one)).where("_n = 1").drop("_n").withColumn("dim", F.size("vector"))
-    rows = written(rows, "vectors")
-    in_class = Window.partitionBy("vector").orderBy("vec_id")
+    rows = written(rows.withColumn("dim", F.size("vector")).withColumn("row", F.monotonically_increasing_id()), "vectors")
+    in_class = Window.partitionBy("vector").orderBy("vec_id", "row")
     members = rows.withColumn("_n", F.row_number().over(in_class)).where(F.col("_n") <= top + 1)
-    members = written(members.withColumn("rep", F.min("vec_id").over(Window.partitionBy("vector"))), "classes")
+    members = written(members.withColumn("rep", F.first("row").over(in_class)), "classes")
 
     distinct = members.where("_n = 1")
     # The logarithm of the length, by the largest component, as squares may overflow.
@@ -281,29 +308,35 @@ def search(vectors: DataFrame, is_query: Column, top: int = TOP, beam: int = BEA
     before = Window.partitionBy("dim").orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
     bands = written(bands.select("dim", "band", "_shards", F.coalesce(F.sum("_shards").over(before), F.lit(0)).cast("int").alias("_first")), "bands")
     sizes = bands.groupBy("dim").agg(F.sum("_shards").cast("int").alias("shards")).withColumn("_size", per_shard.cast("int"))
-    shard = (F.col("_first") + F.pmod(F.xxhash64("vec_id"), F.col("_shards"))).cast("int").alias("shard")
-    dealt = distinct.join(F.broadcast(bands), ["dim", "band"]).select("dim", shard, "vec_id", "vector")
+    shard = (F.col("_first") + F.pmod(F.xxhash64("row"), F.col("_shards"))).cast("int").alias("shard")
+    dealt = distinct.join(F.broadcast(bands), ["dim", "band"]).select("dim", shard, "row", "vec_id", "vector")
     # A small table is one partition to Spark, but each shard is a long piece of work.
     spark = rows.sparkSession
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_TASKS, dealt_to(sizes)))
     dealt = dealt.repartition(tasks, "dim", "shard")
-    graphs = dealt.groupBy("dim", "shard").applyInArrow(_build_shard, "dim int, shard int, ids binary, vectors binary, graph binary, start int")
+    graphs = dealt.groupBy("dim", "shard").applyInArrow(_build_shard, "dim int, shard int, rows binary, ids binary, vectors binary, graph binary, start int")
     graphs = written(graphs, "graphs")
 
+    # Every query goes to every shard of its dimension; a shard is loaded once for
+    # each ``TASK_QUERIES`` of them.
     asked = rows.where(is_query)
-    blocks = asked.groupBy("dim").agg(F.count("*").alias("_asked")).join(sizes, "dim")
-    blocks = blocks.select("dim", "shards", F.ceil(F.col("_asked") / F.least(F.lit(BLOCK_QUERIES), F.col("_size"))).cast("int").alias("_blocks"))
-    asked = asked.join(blocks, "dim").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("_blocks")).cast("int"))
-    packed = asked.select("dim", "block", "vec_id", "vector").groupBy("dim", "block").applyInArrow(_pack_queries, "dim int, block int, query_ids binary, queries binary")
-    # Every block of queries goes to every shard of its dimension.
-    packed = packed.join(blocks.select("dim", "shards"), "dim").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).drop("shards")
-    pairs = packed.join(graphs, ["dim", "shard"]).repartition(tasks, "dim", "shard", "block")
-    found = _search(pairs, top + 1, beam)
-
-    hits = found.join(members.select("rep", "vec_id"), "rep").where("query_id != vec_id").select("query_id", "vec_id", "score", "level", "mantissa")
-    nearest = Window.partitionBy("query_id").orderBy(F.col("level").desc(), F.col("mantissa").desc(), "vec_id")
+    parts = asked.groupBy("dim").agg(F.ceil(F.count("*") / TASK_QUERIES).cast("int").alias("parts")).join(sizes, "dim").select("dim", "shards", "parts")
+    parts = written(parts, "parts")
+    task = F.xxhash64("dim", "shard", "part").alias("task")
+    blob = ("rows", "ids", "vectors", "graph", "start")
+    held = graphs.join(parts, "dim").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    held = held.select(task, F.lit(None).cast("long").alias("row"), F.lit(None).cast("array<double>").alias("vector"), *blob)
+    asking = asked.join(parts, "dim").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int"))
+    asking = asking.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
+    asking = asking.select(task, "row", "vector", *[F.lit(None).cast(held.schema[n].dataType).alias(n) for n in blob])
+    schema = "query long, rep long, score double, level int, mantissa double"
+    found = meet(held, asking, lambda: _Search(top + 1, beam), schema, tasks)
+
+    hits = found.join(members.select("rep", "row", "vec_id"), "rep").where("query != row")
+    nearest = Window.partitionBy("query").orderBy(F.col("level").desc(), F.col("mantissa").desc(), "vec_id", "row")
     hits = hits.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= top)
-    return hits.select("query_id", "rank", "vec_id", "score")
+    named = rows.where(is_query).select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"))
+    return hits.join(named, "query").select("query_id", "rank", "vec_id", "score")
 
 
 def op10_graph_neighbours(spark, sf_dir: str) -> DataFrame:

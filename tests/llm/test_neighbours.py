@@ -78,10 +78,21 @@ def test_unusable_rows_and_few_candidates(spark):
             (0, [1.0, 2.0]), (7, [1.0, 2.0, 3.0]), (140, [3.0, 0.0, 0.0]), (160, []), (180, [5.0]), (3, [-1.0, -1.0])]
     table = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<float>, shard string")
     found = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in neighbours.search(table, F.col("vec_id") % 20 == 0).collect())
-    assert found == [(0, 1, 20, 4.0), (0, 2, 3, -3.0), (20, 1, 0, 4.0), (20, 2, 3, -3.0), (140, 1, 7, 3.0)]
+    # Rows that share an id are queries and candidates each.
+    assert found == [*[(0, 1, 0, 5.0)] * 2, *[(0, 2, 20, 4.0)] * 2, *[(0, 3, 3, -3.0)] * 2, (20, 1, 0, 4.0), (20, 2, 0, 4.0), (20, 3, 3, -3.0), (140, 1, 7, 3.0)]
     assert neighbours.search(table.where("false"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("many", [119, 1000])
+def test_ties_of_different_vectors_go_to_smaller_ids(spark, many):
+    """All products with the query are equal, no two vectors are."""
+    rng = np.random.default_rng(8)
+    rows = [(0, [1.0, 0.0, 0.0, 0.0])] + [(i, [1.0, *(rng.integers(-512, 512, 3) / 256).tolist()]) for i in range(1, many + 1)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = neighbours.search(table, F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in found] == [(i, 1.0) for i in range(1, 21)]
+
+
 def test_pruning_keeps_no_neighbour_behind_another():
     x = np.array([[0, 0], [1, 0], [2, 0], [0, 3], [9, 9]], dtype=np.float32)
     kept = neighbours.prune(x, np.array([0]), np.array([[1, 2, 3, 1, 5, 0]]), 4, 1.2)
