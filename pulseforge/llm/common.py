@@ -27,23 +27,39 @@ _PIECE = 1 << 20
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, which driver and executors
-    share. Only a session that names none (tests) gets a local folder."""
+    share. Only a local session that names none (tests) gets a local folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext._jsc.sc().getCheckpointDir()
-        base = base.get() if base.isDefined() else tempfile.mkdtemp(prefix="run-llm-")
+        base = base.get() if base.isDefined() else None
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="run-llm-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+_written: list[str] = []
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """The rows of ``df`` as a table in the shared folder: computed once, and
     readable again after executors are lost."""
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
     df.write.option("compression", "zstd").parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_written(spark: SparkSession) -> None:
+    """Remove all tables that ``written`` has made in this process. Results that have
+    not been computed yet still read them: call it after the last."""
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, so that further columns cannot clash."""
     return df.select(*[F.col(f"`{n}`") for n in names])

@@ -1,10 +1,15 @@
 """Document fingerprints: Merkle trees over leaves, paragraphs and sections.
 
 Everything here is built from DataFrame functions. A document's lines are its
-paragraphs, ``SECTION`` paragraphs in a row a section. A paragraph is cut into
-leaves of ``LEAF`` code points. A paragraph's node is the SHA-256 of its text, a
-section's that of its paragraphs' nodes, the root that of the sections' nodes;
-the root is the fingerprint.
+paragraphs, ``SECTION`` paragraphs in a row a section. A paragraph is cut into leaves
+after words that their own hash picks, about one in five, so that a change moves no
+cut but those beside it. A leaf's node is the MD5 of its text, a
+paragraph's the SHA-256 of its leaves' nodes in order, a section's that of its
+paragraphs' nodes, the root that of the sections' nodes; the root is the fingerprint.
+
+Edits are located from the root down: sections that differ, and in these the
+paragraphs that differ. Likeness counts the nodes of all levels that two trees share,
+as often as both have them.
 """
 
 from __future__ import annotations
@@ -15,47 +20,82 @@ from pyspark.sql import functions as F
 from pulseforge.llm.common import written
 
 SECTION = 16
-LEAF = 16
+#: Leaves end after words whose MD5 begins with a lesser digit.
+CUT = "3"
+#: A word with the blank after it, or a blank; longer words are cut.
+TOKEN = "[^ ]{0,63}[^ ] ?| "
 
 
-def _sha(text: Column) -> Column:
-    return F.sha2(text.cast("binary"), 256)
+def _sha(parts: Column) -> Column:
+    return F.sha2(F.concat_ws("", parts).cast("binary"), 256)
 
 
-def paragraphs(text: Column) -> Column:
-    """The paragraphs' nodes in order."""
-    return F.transform(F.split(text, "\n", -1), _sha)
+def leaves(text: Column) -> Column:
+    """The nodes of each paragraph's leaves: an array for each paragraph. A paragraph
+    has one leaf at least, which may be empty."""
 
+    def ended(token: Column) -> Column:
+        cut = F.md5(token.cast("binary")) < CUT
+        return F.when(cut, F.concat(token, F.lit("\n"))).otherwise(token)
+
+    def cut(line: Column) -> Column:
+        marked = F.concat_ws("", F.transform(F.regexp_extract_all(line, F.lit(TOKEN), F.lit(0)), ended))
+        return F.transform(F.split(F.rtrim(marked, F.lit("\n")), "\n", -1), lambda leaf: F.md5(leaf.cast("binary")))
+
+    return F.transform(F.split(text, "\n", -1), cut)
 
-def leaves(text: Column) -> Column:
-    """Distinct hashes of the leaves. Cut from each paragraph's start, so a change
-    touches leaves of its own paragraph only."""
-    cut = F.regexp_extract_all(text, F.lit("[^\n]{1,%d}" % LEAF), F.lit(0))
-    return F.array_distinct(F.transform(cut, lambda x: F.xxhash64(x)))
+
+def paragraphs(leaves_: Column) -> Column:
+    """The paragraphs' nodes over their leaves' nodes."""
+    return F.transform(leaves_, _sha)
 
 
 def sections(paragraphs: Column) -> Column:
     """The sections' nodes over the paragraphs' nodes."""
     starts = F.sequence(F.lit(1), F.size(paragraphs), F.lit(SECTION))
-    return F.transform(starts, lambda i: _sha(F.concat_ws("", F.slice(paragraphs, i, SECTION))))
+    return F.transform(starts, lambda i: _sha(F.slice(paragraphs, i, SECTION)))
 
 
 def root(sections_: Column) -> Column:
-    return _sha(F.concat_ws("", sections_))
+    return _sha(sections_)
+
+
+def nodes(leaves_: Column, paragraphs_: Column, sections_: Column) -> Column:
+    """Hashes of all nodes of a tree, sorted, each as often as it stands."""
+    every = F.concat(F.flatten(leaves_), paragraphs_, sections_, F.array(root(sections_)))
+    return F.sort_array(F.transform(every, lambda x: F.xxhash64(x)))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Twice the leaves two trees share over the leaves both have, 0 to 1; two
-    trees without leaves are alike."""
+    """Twice the nodes that two trees share over the nodes of both, 0 to 1; 1 only for
+    equal trees. The sorted lists are merged step by step."""
+    step = lambda i, j, n: F.struct(i.alias("i"), j.alias("j"), n.alias("n"))
+
+    def merge(at: Column, _: Column) -> Column:
+        i, j, n = at["i"], at["j"], at["n"]
+        x, y = F.get(a, i), F.get(b, j)
+        return F.when((i >= F.size(a)) | (j >= F.size(b)), at).when(x == y, step(i + 1, j + 1, n + 1)).when(x < y, step(i + 1, j, n)).otherwise(step(i, j + 1, n))
+
     both = F.size(a) + F.size(b)
-    return F.when(both == 0, F.lit(1.0)).otherwise(2.0 * F.size(F.array_intersect(a, b)) / both)
+    shared = F.aggregate(F.sequence(F.lit(1), both), step(F.lit(0), F.lit(0), F.lit(0)), merge, lambda at: at["n"])
+    return 2.0 * shared / both
+
+
+def differences(a: Column, b: Column) -> Column:
+    """The places (from 0) at which two lists of nodes differ."""
+    places = F.sequence(F.lit(0), F.greatest(F.size(a), F.size(b)) - 1)
+    return F.filter(places, lambda i: ~F.get(a, i).eqNullSafe(F.get(b, i)))
+
+
+def differences_below(above: Column, a: Column, b: Column) -> Column:
+    """The places at which paragraphs differ, looked for in the sections ``above``."""
+    most = F.greatest(F.size(a), F.size(b))
 
+    def inside(s: Column) -> Column:
+        places = F.sequence(s * SECTION, F.least((s + 1) * SECTION, most) - 1)
+        return F.filter(places, lambda i: ~F.get(a, i).eqNullSafe(F.get(b, i)))
 
-def first_difference(a: Column, b: Column) -> Column:
-    """Where two lists of nodes first differ (from 0); null where they do not."""
-    same = F.zip_with(a, b, lambda x, y: x.eqNullSafe(y))
-    at = F.array_position(same, F.lit(False))
-    return F.when(at > 0, at - 1)
+    return F.flatten(F.transform(above, inside))
 
 
 def next_ids(docs: DataFrame) -> DataFrame:
@@ -90,8 +130,8 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
 
     Columns: ``doc_id``; ``n_chars``; ``edited_sha256``; ``fingerprint``,
     ``edited_fingerprint`` (roots: equal texts have equal ones); ``near_edited``,
-    ``near_next`` (likeness of the leaves); ``edit_paragraph``, ``edit_section``
-    (the first that the edit touches, null if none). A null text is empty. The
+    ``near_next`` (likeness of the trees); ``edit_sections``, ``edit_paragraphs`` (all
+    that the edit touches, from 0, joined by commas). A null text is empty. The
     next document is the one with the next larger doc_id; where rows share an id,
     the next is the least of their texts; a row without id is followed by the
     document with the least. One document is its own next. Extra columns are
@@ -109,17 +149,19 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     others = others.withColumn("_n", F.row_number().over(least)).where("_n = 1").select("_id", "other")
     rows = rows.hint("merge").join(others, "_id", "left").select("doc_id", "text", F.coalesce("other", F.lit("")).alias("other"))
     rows = rows.withColumn("edited", edited(F.col("text"), F.col("other")))
-    for name in ("text", "edited"):
-        rows = rows.withColumn(f"_p_{name}", paragraphs(F.col(name)))
-    for name in ("text", "edited"):
-        rows = rows.withColumn(f"_s_{name}", sections(F.col(f"_p_{name}")))
-    for name in ("text", "edited", "other"):
-        rows = rows.withColumn(f"_l_{name}", leaves(F.col(name)))
+    names = ("text", "edited", "other")
+    rows = rows.withColumns({f"_l_{n}": leaves(F.col(n)) for n in names})
+    rows = rows.withColumns({f"_p_{n}": paragraphs(F.col(f"_l_{n}")) for n in names})
+    rows = rows.withColumns({f"_s_{n}": sections(F.col(f"_p_{n}")) for n in names})
+    rows = rows.withColumns({f"_n_{n}": nodes(F.col(f"_l_{n}"), F.col(f"_p_{n}"), F.col(f"_s_{n}")) for n in names})
+    rows = rows.withColumn("_edits", differences(F.col("_s_text"), F.col("_s_edited")))
+    listed = lambda places: F.concat_ws(",", places.cast("array<string>"))
     return rows.select(
-        "doc_id", F.length("text").cast("long").alias("n_chars"), _sha(F.col("edited")).alias("edited_sha256"),
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         root(F.col("_s_text")).alias("fingerprint"), root(F.col("_s_edited")).alias("edited_fingerprint"),
-        likeness(F.col("_l_text"), F.col("_l_edited")).alias("near_edited"), likeness(F.col("_l_text"), F.col("_l_other")).alias("near_next"),
-        first_difference(F.col("_p_text"), F.col("_p_edited")).alias("edit_paragraph"), first_difference(F.col("_s_text"), F.col("_s_edited")).alias("edit_section"),
+        likeness(F.col("_n_text"), F.col("_n_edited")).alias("near_edited"), likeness(F.col("_n_text"), F.col("_n_other")).alias("near_next"),
+        listed(F.col("_edits")).alias("edit_sections"),
+        listed(differences_below(F.col("_edits"), F.col("_p_text"), F.col("_p_edited"))).alias("edit_paragraphs"),
     )
 
 

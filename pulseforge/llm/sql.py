@@ -23,10 +23,12 @@ rated AS (SELECT s.*, g.source_size, g.target,
     CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0.0::DOUBLE END AS rate
     FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source),
 drawn AS (SELECT *, floor(rate) AS whole, rate - floor(rate) AS part, size > source_size * 0.001::DOUBLE AS large,
-    {_unit("'7'", "coalesce(source, '')")} AS start, {_unit("'7'", "coalesce(source, '')", "coalesce(doc_id::VARCHAR, '')")} AS own FROM rated),
-placed AS (SELECT *, row_number() OVER (PARTITION BY source, large ORDER BY size DESC, doc_id NULLS FIRST, md5(text) NULLS FIRST) * part + start AS step FROM drawn)
+    {_unit("'7'", "coalesce(source, '')")} AS start, {_unit("'7'", "coalesce(source, '')", "coalesce(doc_id::VARCHAR, '')")} AS own,
+    count(*) OVER (PARTITION BY source, doc_id) > 1 AS again, {_unit("'7'", "coalesce(source, '')", "coalesce(doc_id::VARCHAR, '')", "coalesce(md5(text), '')")} AS counted FROM rated),
+counted AS (SELECT *, row_number() OVER (PARTITION BY source, doc_id, text, large) * part + counted AS turn FROM drawn),
+placed AS (SELECT *, row_number() OVER (PARTITION BY source, large ORDER BY size DESC, doc_id NULLS FIRST, md5(text) NULLS FIRST) * part + start AS step FROM counted)
 SELECT doc_id, size, source_size, target,
-    (size * (whole + CASE WHEN large THEN floor(step) > floor(step - part) ELSE own < part END::INT))::BIGINT AS taken FROM placed
+    (size * (whole + CASE WHEN large THEN floor(step) > floor(step - part) WHEN again THEN floor(turn) > floor(turn - part) ELSE own < part END::INT))::BIGINT AS taken FROM placed
 """
 
 REPEATS = f"""
@@ -56,35 +58,49 @@ FROM texts t JOIN classes c ON c.u = t.doc_id LEFT JOIN sizes s ON s.doc_id = t.
 """
 
 
+def _leaves(text: str) -> str:
+    """The MD5s of each line's leaves."""
+    tokens = "regexp_extract_all(line, '[^ ]{0,63}[^ ] ?| ')"
+    marked = f"array_to_string(list_transform({tokens}, lambda t: t || CASE WHEN md5(t) < '3' THEN chr(10) ELSE '' END), '')"
+    return f"list_transform(string_split({text}, chr(10)), lambda line: list_transform(string_split(rtrim(coalesce({marked}, ''), chr(10)), chr(10)), lambda leaf: md5(leaf)))"
+
+
+def _sha(nodes: str) -> str:
+    return f"sha256(array_to_string({nodes}, ''))"
+
+
 def _sections(paragraphs: str) -> str:
-    return f"list_transform(range(0, len({paragraphs}), 16), lambda i: sha256(array_to_string({paragraphs}[i + 1:i + 16], '')))"
+    return f"list_transform(range(0, len({paragraphs}), 16), lambda i: {_sha(f'{paragraphs}[i + 1:i + 16]')})"
 
 
-def _paragraphs(text: str) -> str:
-    return f"list_transform(string_split({text}, chr(10)), lambda x: sha256(x))"
+def _nodes(name: str) -> str:
+    return f"list_concat(list_concat(flatten(l_{name}), p_{name}), list_concat(s_{name}, [{_sha(f's_{name}')}]))"
 
 
-def _likeness(a: str, b: str) -> str:
-    return f"CASE WHEN len({a}) + len({b}) = 0 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * len(list_intersect({a}, {b})) / (len({a}) + len({b})) END"
+def _likeness(name: str) -> str:
+    shared = "SELECT least(a.n, b.n) AS n FROM (SELECT x, count(*) AS n FROM unnest(n_text) AS t(x) GROUP BY x) a JOIN"
+    shared += f" (SELECT x, count(*) AS n FROM unnest(n_{name}) AS t(x) GROUP BY x) b USING (x)"
+    return f"2.0::DOUBLE * coalesce((SELECT sum(n) FROM ({shared})), 0)::DOUBLE / (len(n_text) + len(n_{name}))"
 
 
-def _first(a: str, b: str) -> str:
-    return f"list_filter(range(0, greatest(len({a}), len({b}))), lambda i: {a}[i + 1] IS DISTINCT FROM {b}[i + 1])[1]"
+def _differences(a: str, b: str) -> str:
+    return f"array_to_string(list_filter(range(0, greatest(len({a}), len({b}))), lambda i: {a}[i + 1] IS DISTINCT FROM {b}[i + 1]), ',')"
 
 
-_LEAVES = "list_distinct(regexp_extract_all({}, '[^\\n]{{1,16}}'))"
+_THREE = ("text", "edited", "other")
 
 MERKLE = f"""
 WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 pairs AS (SELECT doc_id, text, coalesce(lead(text) OVER (ORDER BY doc_id), first_value(text) OVER (ORDER BY doc_id)) AS other FROM texts),
 edits AS (SELECT *, left(text, length(text) - length(text) // 2) || left(other, length(text) // 2) AS edited FROM pairs),
-nodes AS (SELECT *, {_paragraphs("text")} AS p, {_paragraphs("edited")} AS q,
-    {_LEAVES.format("text")} AS a, {_LEAVES.format("edited")} AS b, {_LEAVES.format("other")} AS c FROM edits),
-tops AS (SELECT *, {_sections("p")} AS s, {_sections("q")} AS t FROM nodes)
-SELECT doc_id, length(text)::BIGINT AS n_chars, sha256(edited) AS edited_sha256, sha256(array_to_string(s, '')) AS fingerprint,
-    sha256(array_to_string(t, '')) AS edited_fingerprint, {_likeness("a", "b")} AS near_edited, {_likeness("a", "c")} AS near_next,
-    {_first("p", "q")} AS edit_paragraph, {_first("s", "t")} AS edit_section
-FROM tops
+cut AS (SELECT *, {', '.join(f'{_leaves(n)} AS l_{n}' for n in _THREE)} FROM edits),
+lines AS (SELECT *, {', '.join(f"list_transform(l_{n}, lambda x: {_sha('x')}) AS p_{n}" for n in _THREE)} FROM cut),
+tops AS (SELECT *, {', '.join(f"{_sections(f'p_{n}')} AS s_{n}" for n in _THREE)} FROM lines),
+trees AS (SELECT *, {', '.join(f'{_nodes(n)} AS n_{n}' for n in _THREE)} FROM tops)
+SELECT doc_id, length(text)::BIGINT AS n_chars, sha256(edited) AS edited_sha256, {_sha('s_text')} AS fingerprint, {_sha('s_edited')} AS edited_fingerprint,
+    {_likeness('edited')} AS near_edited, {_likeness('other')} AS near_next,
+    {_differences('s_text', 's_edited')} AS edit_sections, {_differences('p_text', 'p_edited')} AS edit_paragraphs
+FROM trees
 """
 
 _TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
