@@ -12,9 +12,10 @@ from pulseforge.operators.lookback import with_recent
 from pulseforge.operators.route import storable
 
 
-def with_previous_rate(readings: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Add ``previous_rate``: the customer's preceding reading in arrival order."""
-    rows = with_recent(readings, "_recent", 1, settings.lookback_chunk)
+def with_previous_rate(readings: DataFrame, settings: Settings = DEFAULTS, known: DataFrame | None = None) -> DataFrame:
+    """Add ``previous_rate``: the customer's preceding reading in arrival order, for
+    the first one that of ``known`` (customers' last readings before), if any."""
+    rows = with_recent(readings, "_recent", 1, settings.lookback_chunk, known)
     return rows.withColumn("previous_rate", F.get("_recent", 0)).drop("_recent")
 
 

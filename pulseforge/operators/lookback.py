@@ -29,14 +29,20 @@ def _tails(rows: DataFrame, place: list[str], value: str, depth: int) -> DataFra
     return last.groupBy(*place).agg(F.transform(ordered, lambda x: x[value]).alias("_tail"))
 
 
-def with_recent(rows: DataFrame, output: str, depth: int, chunk: int, value: str = "heart_rate", key: str = "customer_id") -> DataFrame:
+def with_recent(
+    rows: DataFrame, output: str, depth: int, chunk: int, known: DataFrame | None = None, value: str = "heart_rate", key: str = "customer_id"
+) -> DataFrame:
     """Add ``output``: up to ``depth`` values that precede a row among its key's rows
-    by arrival (topic, partition, offset), oldest first."""
+    by arrival (topic, partition, offset), oldest first. ``known`` has the last value
+    of keys before all rows, if any; it meets one row for each key and chunk."""
     place = [key, "topic", "partition", "_cell"]
     rows = rows.withColumn("_cell", F.floor(F.col("offset") / F.lit(chunk)))
     earlier = Window.partitionBy(key).orderBy(*place[1:]).rowsBetween(-depth, -1)
     before = _last(F.flatten(F.collect_list("_tail").over(earlier)), depth)
-    seeds = _tails(rows, place, value, depth).withColumn("_before", before).drop("_tail").where(F.size("_before") > 0)
+    tails = _tails(rows, place, value, depth)
+    if known is not None:  # nulls come first
+        tails = tails.unionByName(known.select(key, F.array(value).alias("_tail")), allowMissingColumns=True)
+    seeds = tails.withColumn("_before", before).drop("_tail").where(F.size("_before") > 0)
     inside = Window.partitionBy(*place).orderBy("offset").rowsBetween(-depth, -1)
     seen = rows.withColumn("_inside", F.collect_list(value).over(inside)).join(seeds, place, "left")
     recent = F.when(F.col("_before").isNull() | (F.size("_inside") == depth), F.col("_inside"))

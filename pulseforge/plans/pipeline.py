@@ -61,31 +61,39 @@ def detect(
     tables: Tables,
     batch: Batch | None = None,
     settings: Settings = DEFAULTS,
+    staging: str | None = None,
 ) -> None:
     """Detector: flag anomalies, store and publish them, keep last readings.
 
+    Readings and anomalies are used more than once. They are held in executor memory
+    and disk or, given a ``staging`` folder on shared storage (for inputs too large to
+    hold), written there and read back.
+
     A customer's first reading in the batch takes its predecessor from the last
-    readings stored by earlier batches. Only those first readings are joined,
-    one per customer, so a hot customer adds one row to the join.
+    readings stored by earlier batches, of which only those of the batch's customers
+    are read.
     """
     batch = batch or Batch.new()
     arrival = F.struct("topic", "partition", "offset")
-    readings = decode.schema_valid(decode.decode_messages(messages)).persist(StorageLevel.MEMORY_AND_DISK)
-    found = None
+    held: list[DataFrame] = []
+
+    def hold(rows: DataFrame, name: str) -> DataFrame:
+        if staging:
+            rows.write.mode("overwrite").parquet(f"{staging}/{name}")
+            return spark.read.schema(rows.schema).parquet(f"{staging}/{name}")
+        held.append(rows.persist(StorageLevel.MEMORY_AND_DISK))
+        return held[-1]
+
     try:
+        readings = hold(decode.schema_valid(decode.decode_messages(messages)), "readings")
         # Only the buckets in which the batch's customers lie are read.
-        known = tables.read_last_readings(spark, before=batch, keys=readings).withColumnRenamed("heart_rate", "_known")
-        chained = anomalies.with_previous_rate(readings, settings)
-        first = chained.where(F.col("previous_rate").isNull()).join(known, "customer_id", "left")
-        linked = chained.where(F.col("previous_rate").isNotNull()).unionByName(
-            first.withColumn("previous_rate", F.col("_known")).drop("_known")
-        )
-        found = anomalies.flag_anomalies(linked, settings).persist(StorageLevel.MEMORY_AND_DISK)
+        known = tables.read_last_readings(spark, before=batch, keys=readings)
+        linked = anomalies.with_previous_rate(readings, settings, known)
+        found = hold(anomalies.flag_anomalies(linked, settings), "anomalies")
         sinks.append_anomalies(found, tables, batch)
         sinks.publish_anomalies(found, tables, batch, settings)
         latest = readings.groupBy("customer_id").agg(F.max_by("heart_rate", arrival).alias("heart_rate"))
         keyed.upsert(spark, tables.last_readings, LAST_READING, latest, ("customer_id",), batch)
     finally:
-        if found is not None:
-            found.unpersist()
-        readings.unpersist()
+        for rows in held:
+            rows.unpersist()

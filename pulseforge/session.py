@@ -20,6 +20,9 @@ TUNING = {
     # one message fuses into a larger one, so past this size let Spark use
     # split per-operator projections, which do get compiled (twice as fast).
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Tables' files come by name from their commits. Up to this many are looked up
+    # on the driver, which takes less time than a job with a task for each.
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "1000",
 }
 
 
@@ -55,9 +58,11 @@ def build(app_name: str = "pulseforge", master: str | None = None, **conf: str)
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh directory under the cluster's shared checkpoint folder; a local
-    temporary folder only where the session names none (tests)."""
+    """A fresh directory under the cluster's shared checkpoint folder. Only a local
+    session that names none (tests) gets a local temporary folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     return tempfile.mkdtemp(prefix=f"run-{purpose}-")

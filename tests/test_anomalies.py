@@ -104,6 +104,17 @@ def test_lookback_equals_plain_window(spark, chunk):
     assert key(history, "recent_rates") == key(plain, "h")
 
 
+@pytest.mark.parametrize("chunk", [1, 7, 1 << 20])
+def test_known_values_precede_all_others(spark, chunk):
+    rows = hot_readings(spark)
+    known = spark.createDataFrame([("hot", 900), ("c5", 901), ("nobody", 902)], "customer_id STRING, heart_rate INT")
+    found = anomalies.with_previous_rate(rows, Settings(lookback_chunk=chunk), known)
+    plain = anomalies.with_previous_rate(rows, Settings(lookback_chunk=chunk))
+    got = {r.offset: r.previous_rate for r in found.collect()}
+    changed = {r.customer_id: got[r.offset] for r in plain.collect() if got[r.offset] != r.previous_rate}
+    assert changed == {"hot": 900, "c5": 901} and len(got) == 3000
+
+
 def test_lookback_bounds_every_window_group(spark):
     """No (customer, chunk) group exceeds the chunk, and edge rows are few."""
     chunk = 50

@@ -70,6 +70,13 @@ def test_retried_batch_changes_nothing(spark, tables):
     assert rows_of(tables.read_last_readings(spark), "heart_rate") == [(80,)]
 
 
+def test_staged_detector_is_the_same(spark, small, tables, tmp_path):
+    m = fixture.raw_messages(fixture.read_events(spark, small))
+    pipeline.detect(spark, m, tables, staging=str(tmp_path / "staging"))
+    batch = anomalies.detect(decode.schema_valid(decode.decode_messages(m)))
+    assert rows_of(tables.read_anomalies(spark), *FOUND) == rows_of(batch, *FOUND)
+
+
 def test_history_survives_a_restart(spark, tables):
     pipeline.detect(spark, messages(spark, [doc(1, customer="a", rate=70), doc(2, customer="b", rate=70)]), tables, Batch("t", 0))
     pipeline.detect(spark, messages(spark, [doc(3, customer="b", rate=71)], start=2), tables, Batch("t", 1))
