@@ -32,11 +32,11 @@ class Trees:
 def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, trees: int = 50, depth: int = 4, rate: float = 0.3, bins: int = 32, ridge: float = 1.0) -> Trees:
     """Fit by Newton steps on the logistic loss."""
     cuts = [np.unique(np.quantile(c, np.linspace(0, 1, bins + 1)[1:-1], method="lower")) for c in x.T]
-    binned = np.column_stack([np.searchsorted(c, v, side="left") for c, v in zip(cuts, x.T)])
+    binned = np.column_stack([np.searchsorted(c, v, side="left").astype(np.uint8) for c, v in zip(cuts, x.T)])
     width, (n, features) = bins + 1, x.shape
     # Features of two values need no counting: a product has their sums.
     two = binned.max(axis=0) <= 1
-    ones, many = binned[:, two].astype(np.float64), np.flatnonzero(~two)
+    ones, many = binned[:, two].astype(np.float32), np.flatnonzero(~two)
     flat = binned[:, many] + np.arange(len(many)) * width
     mean = np.clip((weight * y).sum() / weight.sum(), 1e-3, 1 - 1e-3)
     prior = float(np.log(mean / (1 - mean)))
@@ -52,7 +52,7 @@ def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, trees: int = 50, depth
                 sums = [np.zeros((features, width)) for _ in range(2)]
                 for s, v in zip(sums, (g[rows], h[rows])):
                     s[many] = np.bincount(flat[rows].ravel(), np.repeat(v, len(many)), len(many) * width).reshape(len(many), width)
-                    s[two, 1] = v @ ones[rows]
+                    s[two, 1] = v.astype(np.float32) @ ones[rows]
                     s[two, 0] = v.sum() - s[two, 1]
                 left_g, left_h = np.cumsum(sums[0], axis=1), np.cumsum(sums[1], axis=1)
                 all_g, all_h = left_g[0, -1], left_h[0, -1]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from functools import lru_cache
 from html import unescape
@@ -11,28 +12,38 @@ import numpy as np
 
 TEXT = "#text"
 
-#: Elements that do not break a line of text (fixed by HTML).
-INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+#: Elements that break a line of text (fixed by HTML). All others, unknown ones
+#: too, stand in a line.
+BLOCK = frozenset(
+    "address article aside blockquote body caption center colgroup dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 "
+    "head header hgroup html legend li listing main menu nav ol p plaintext pre search section summary table tbody td tfoot th thead title tr ul xmp".split()
 )
 #: Elements without content (fixed by HTML).
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements whose content is no text of the page.
-SILENT = frozenset("script style template svg math object canvas audio video iframe".split())
+#: Elements whose content is no text of the page: it is not shown, or is drawn, or is
+#: what a control can be set to.
+SILENT = frozenset("script style template svg object canvas audio video iframe noembed noframes noscript annotation textarea select datalist".split())
+#: What the start of these elements ends although it is still open (fixed by HTML):
+#: drawings end where a page's own elements begin, but inside these, and controls
+#: where blocks begin.
+LEAVES_SVG = BLOCK - {"title"} | frozenset("b big br code em embed font hr i img meta nobr ruby s small span strong strike sub sup tt u var".split())
+STAYS_SVG = frozenset("foreignobject desc title".split())
 #: What the start of an element ends, and what that does not reach beyond.
 ENDS = {
     "li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
     "tr": (("tr",), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")),
-    "option": (("option",), ("select", "datalist")), "tbody": (("thead", "tbody"), ("table",)), "tfoot": (("tbody",), ("table",)),
+    "tbody": (("thead", "tbody"), ("table",)), "tfoot": (("tbody",), ("table",)),
     "body": (("head",), ()),
 }
 
 TAGS = (
-    "html head title body article main section div p h1 h2 h3 h4 h5 h6 nav header footer aside form fieldset button select textarea ul ol li dl table tr td "
-    "blockquote pre figure figcaption address noscript dialog details"
+    "html head title body article main section div p h1 h2 h3 h4 h5 h6 nav header footer aside form fieldset ul ol li dl table tr td "
+    "blockquote pre figure figcaption address dialog details"
 ).split()
-LANDMARKS = ("head", "article", "main", "nav", "header", "footer", "aside", "form", "dialog", "noscript")
-#: Beginnings of words in class, id and role by what they speak of.
+LANDMARKS = ("head", "article", "main", "nav", "header", "footer", "aside", "form", "dialog")
+#: Hash buckets of the words in class, id and role.
+WORDS = 64
+#: Beginnings of such words by what they speak of: names of one meaning share a feature.
 FAMILIES = {
     "advert": ("ad", "ads", "advert", "sponsor", "promo", "banner", "adsense", "adslot", "outbrain", "taboola"),
     "menu": ("nav", "menu", "breadcrumb", "toc", "pagination", "pager", "skip", "tabs", "topbar"),
@@ -45,6 +56,7 @@ FAMILIES = {
     "share": ("share", "social", "follow", "tweet"),
     "content": ("content", "article", "post", "entry", "story", "main", "prose"),
 }
+NAMES = WORDS + len(FAMILIES)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _TAG = {t: i for i, t in enumerate(TAGS)}
 _LANDMARK_BIT = {t: 1 << i for i, t in enumerate(LANDMARKS)}
@@ -53,7 +65,11 @@ NUMBERS = (
     "depth", "is_text", "own_chars", "chars", "links", "runs", "blocks", "chars_per_block", "ends", "words_per_end", "index", "siblings",
     "share_of_parent", "alike", "sibling_chars", "place", "share_of_page", "longest", "paragraphs", "headings",
 )
-FEATURES = (*NUMBERS, *(f"tag_{t}" for t in TAGS), *(f"attr_{f}" for f in FAMILIES), *(f"in_{t}" for t in LANDMARKS), *(f"in_attr_{f}" for f in FAMILIES), "parent_main", "parent_text", "page_marked")
+FEATURES = (
+    *NUMBERS, *(f"tag_{t}" for t in TAGS), *(f"word_{k}" for k in range(WORDS)), *(f"attr_{f}" for f in FAMILIES),
+    *(f"in_{t}" for t in LANDMARKS), *(f"in_word_{k}" for k in range(WORDS)), *(f"in_attr_{f}" for f in FAMILIES),
+    "parent_main", "parent_text", "page_marked",
+)
 
 
 #: A comment, a tag (its slash, name and attributes), or another declaration. What
@@ -65,7 +81,7 @@ _MARKUP = re.compile(
 _NAMED = re.compile(r"""(?:^|[\s"'/])(?:class|id|role)\s*=\s*("[^"]*|'[^']*|[^\s"'>]+)""", re.IGNORECASE)
 #: Elements whose content holds no tags, and those of them that are text (fixed by HTML).
 RAW = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)", re.IGNORECASE) for t in "script style textarea title xmp iframe noembed noframes".split()}
-RAW_TEXT = frozenset(("textarea", "title", "xmp"))
+RAW_TEXT = frozenset(("title", "xmp"))
 
 
 class Page:
@@ -78,7 +94,8 @@ class Page:
         self.linked: list[int] = []
         self._open: list[int] = []
         self._many: Counter[str] = Counter()  # open elements of a name
-        self._silent, self._link = 0, 0
+        self._silent: list[str] = []  # open elements of SILENT, and those of STAYS_SVG in drawings
+        self._link = 0
         self._waiting: list[str] = []
         self._waiting_linked = 0
         self._add("#page", "")
@@ -98,8 +115,9 @@ class Page:
             if slash:
                 self._end(tag)
                 continue
+            drawn = "svg" in self._silent
             self._start(tag, attrs)
-            if tag in RAW:
+            if tag in RAW and not (drawn and (tag == "title" or attrs.endswith("/"))):
                 end = RAW[tag].search(html, at)
                 stop = end.start() if end else len(html)
                 if tag in RAW_TEXT:
@@ -135,19 +153,32 @@ class Page:
             if tag in beyond:
                 return
 
+    def _still_silent(self, tag: str) -> bool:
+        """Whether an open silent element goes on at the start of another."""
+        kind = self._silent[-1]
+        if kind == "svg" and tag in LEAVES_SVG or kind in ("select", "datalist") and tag in BLOCK:
+            while self._silent and self._silent[-1] in ("svg", "select", "datalist"):
+                self._silent.pop()
+        return bool(self._silent)
+
     def _start(self, tag: str, attrs: str) -> None:
-        if tag in VOID:
+        if self._silent and self._still_silent(tag):
+            drawn = "svg" in self._silent
+            if (tag in SILENT or drawn and tag in STAYS_SVG) and not (attrs.endswith("/") and (drawn or tag not in RAW)):
+                self._silent.append(tag)
+        elif tag in VOID:
             if tag == "br":
                 self._waiting.append(" ")
             elif tag == "hr":
                 self._flush()
         elif tag in SILENT:
-            self._silent += tag in RAW or not attrs.endswith("/")
+            if tag in RAW or tag != "svg" or not attrs.endswith("/"):
+                self._silent.append(tag)
         elif tag == "a":
             self._link += 1
-        elif tag not in INLINE:
+        elif tag in BLOCK:
             self._flush()
-            self._close(("p",), ("button", "table", "td", "th"))
+            self._close(("p",), ("table", "td", "th"))
             if tag in ENDS:
                 self._close(*ENDS[tag])
             self._link = 0
@@ -156,11 +187,20 @@ class Page:
             self._many[tag] += 1
 
     def _end(self, tag: str) -> None:
-        if tag in SILENT:
-            self._silent = max(0, self._silent - 1)
-        elif tag == "a":
+        if self._silent:
+            if tag in self._silent:
+                while self._silent.pop() != tag:
+                    pass
+                return
+            # The end of a block around an element that was left open ends both.
+            if tag not in BLOCK or not self._many[tag] or "template" in self._silent:
+                return
+            self._silent.clear()
+        if tag == "a":
             self._link = max(0, self._link - 1)
-        elif tag not in INLINE and tag not in VOID:
+        elif tag == "p" and not self._many["p"]:
+            self._flush()
+        elif tag in BLOCK:
             self._close((tag,))
 
     def _data(self, data: str) -> None:
@@ -179,22 +219,32 @@ def families(attrs: str) -> frozenset[int]:
     return frozenset(i for i, starts in enumerate(FAMILIES.values()) for w in words for s in starts if w == s or w == s + "s" or (len(s) > 4 and w.startswith(s)))
 
 
+@lru_cache(maxsize=10_000)
+def words(attrs: str) -> int:
+    """The words of class, id and role as bits: their hash buckets, then what they
+    speak of."""
+    mask = sum(1 << WORDS + f for f in families(attrs))
+    for word in _NAME.findall(attrs):
+        mask |= 1 << zlib.crc32(word.lower().encode()) % WORDS
+    return mask
+
+
 def measure(page: Page) -> np.ndarray:
     """One row of ``FEATURES`` per node. Nodes stand in page order, so a subtree
     is a stretch of nodes and its sums are differences of running sums."""
     n, parent, tags = len(page.tag), page.parent, page.tag
     own = [len(t) for t in page.text]
     size, longest, index, siblings, alike = [1] * n, own[:], [0] * n, [0] * n, {}
-    over, inside, own_names = [0] * n, [0] * n, [0] * n  # bits: landmarks above, families above, own families
+    over, inside, own_words = [0] * n, [0] * n, [0] * n  # bits: landmarks above, words above, own words
     for i in range(1, n):
         p, tag = parent[i], tags[i]
         index[i] = siblings[p]
         siblings[p] += 1
         alike[p, tag] = alike.get((p, tag), 0) + 1
         if page.attrs[i]:
-            own_names[i] = sum(1 << f for f in families(page.attrs[i]))
+            own_words[i] = words(page.attrs[i])
         over[i] = over[p] | _LANDMARK_BIT.get(tags[p], 0)
-        inside[i] = inside[p] | own_names[p]
+        inside[i] = inside[p] | own_words[p]
     for i in range(n - 1, 0, -1):
         p = parent[i]
         size[p] += size[i]
@@ -224,10 +274,16 @@ def measure(page: Page) -> np.ndarray:
     )
     tag = np.array([_TAG.get(t, -1) for t in tags])
     # Characters of the page in elements that are marked as an article.
-    main, content = _LANDMARK_BIT["article"] | _LANDMARK_BIT["main"], 1 << list(FAMILIES).index("content")
+    main = _LANDMARK_BIT["article"] | _LANDMARK_BIT["main"]
+    content = 1 << WORDS + list(FAMILIES).index("content")
     marked = sum(k for k, a, b in zip(own, over, inside) if a & main or b & content)
-    bits = lambda masks, k: np.array(masks)[:, None] >> np.arange(k) & 1
+
+    def bits(masks: list[int], k: int) -> np.ndarray:
+        size = -(-k // 8)
+        raw = np.frombuffer(b"".join(m.to_bytes(size, "little") for m in masks), dtype=np.uint8).reshape(n, size)
+        return np.unpackbits(raw, axis=1, bitorder="little")[:, :k]
+
     return np.column_stack([
-        *numbers, tag[:, None] == np.arange(len(TAGS)), bits(own_names, len(FAMILIES)), bits(over, len(LANDMARKS)), bits(inside, len(FAMILIES)),
+        *numbers, tag[:, None] == np.arange(len(TAGS)), bits(own_words, NAMES), bits(over, len(LANDMARKS)), bits(inside, NAMES),
         np.isin(tag[up], (_TAG["article"], _TAG["main"])), chars[up] / total, np.full(n, marked / total),
     ]).astype(np.float32)

@@ -39,7 +39,7 @@ LAYOUTS = 300
 
 #: Stands before each piece of article text of a layout, to tell its label.
 _MARK = "\ue000"
-_GONE = frozenset("head nav footer aside form dialog noscript button select textarea".split())
+_GONE = frozenset("head nav footer aside form dialog".split())
 _NAMES = {name: i for i, name in enumerate(dom.FAMILIES)}
 _GONE_NAMES = frozenset(_NAMES[n] for n in ("advert", "menu", "footer", "sidebar", "notice", "form", "comment", "share"))
 
@@ -90,29 +90,34 @@ def layout(number: int) -> tuple[str, str]:
         items = [f'<li><a href="#">{word()}</a></li>' for _ in range(rng.randrange(2, 9))]
         return f"<ul>{''.join(items)}</ul>" if rng.random() < 0.8 else "".join(f"<a>{word()}</a> " for _ in items)
 
-    def named(tag: str, *names: str) -> tuple[str, str]:
-        name = pick_one(*names)
+    def of(kind: str, *more: str) -> str:
+        """A name for a part: one of ``more``, or a word that speaks of it, alone or with another."""
+        word_ = pick_one(*dom.FAMILIES[kind])
+        return pick_one(*more, word_, word_, f"{word_}-{pick_one('box', 'wrap', 'area', 'list', 'inner', 'top')}", f"site-{word_}", f"{word_}s", f"main{word_.capitalize()}")
+
+    def named(tag: str, kind: str, *names: str) -> tuple[str, str]:
+        name = of(kind, *names)
         key = pick_one("class", "class", "id", "role")
         return (f"<{tag}>", f"</{tag}>") if tag not in ("div", "section") and rng.random() < 0.5 else (f'<{tag} {key}="{name}">', f"</{tag}>")
 
     def part(kind: str) -> str:
         if kind == "menu":
-            a, b = named(pick_one("nav", "div", "div"), "menu", "nav", "main-menu", "navbar", "breadcrumb", "navigation-menu", "skip")
+            a, b = named(pick_one("nav", "div", "div"), "menu", "menu", "nav", "main-menu", "navbar", "breadcrumb", "navigation-menu", "skip")
             return a + links() + b
         if kind == "header":
-            a, b = named(pick_one("header", "div"), "header", "masthead", "branding")
+            a, b = named(pick_one("header", "div"), "header", "header", "masthead", "branding")
             return a + pick_one("", f"<h1>{word()}</h1>", f"<div>{sentence()}</div>", f"<p>{sentence()}</p>") + pick_one("", links()) + b
         if kind == "footer":
-            a, b = named(pick_one("footer", "div"), "footer", "page-footer", "copyright", "legal")
+            a, b = named(pick_one("footer", "div"), "footer", "footer", "page-footer", "copyright", "legal")
             return a + pick_one(f"&copy; {sentence()}", f"<p>{prose()}</p>", links()) + b
         if kind == "sidebar":
-            a, b = named(pick_one("aside", "aside", "div"), "sidebar", "related", "widget", "popular", "side")
+            a, b = named(pick_one("aside", "aside", "div"), "sidebar", "sidebar", "related", "widget", "popular", "side")
             return a + pick_one("", f"<h3>{word()}</h3>") + pick_one(links(), f"<p>{prose()}</p>", f"<p>{prose()}</p><p>{prose()}</p>", sentence()) + b
         if kind == "notice":
-            name = pick_one("notice", "cookie-notice", "cookie", "consent", "alert", "popup", "gdpr", "newsletter", "paywall", "modal")
+            name = of("notice", "notice", "cookie-notice", "cookie", "consent", "alert", "popup", "gdpr", "newsletter", "paywall", "modal")
             return f'<{(t := pick_one("div", "section", "p"))} class="{name}">{pick_one(sentence(), f"<p>{prose()}</p>" if t != "p" else prose())}{pick_one("", "<button>Ok</button>")}</{t}>'
         if kind == "advert":
-            name = pick_one("ad", "ads", "advert", "advertisement", "sponsored", "promo", "banner", "ad-slot", "adBox")
+            name = of("advert", "ad", "ads", "advert", "advertisement", "sponsored", "promo", "banner", "ad-slot", "adBox")
             return f'<{(t := pick_one("div", "section"))} {pick_one("class", "id")}="{name}">{pick_one(sentence(), f"<p>{prose()}</p>")}</{t}>'
         if kind == "form":
             inner = pick_one("", f"<p>{sentence()}</p>") + f"<label>{word()}</label><input>" + pick_one("", f"<textarea>{word()}</textarea>", f"<select><option>{word()}<option>{word()}</select>")
@@ -120,10 +125,10 @@ def layout(number: int) -> tuple[str, str]:
         if kind == "comments":
             one = lambda: pick_one(f"<p>{prose()}</p>", f"<b>{word()}</b><p>{prose()}</p>", prose(), f"<p>{prose()}</p><p>{prose()}</p>")
             inner = "".join(pick_one(f'<div class="comment">{one()}</div>', f"<li>{one()}</li>", one()) for _ in range(rng.randrange(1, 8)))
-            a, b = f'<{(t := pick_one("div", "section", "ol"))} {pick_one("class", "id")}="{pick_one("comments", "comment-list", "comments-area", "disqus", "replies", "discussion")}">', f"</{t}>"
+            a, b = f'<{(t := pick_one("div", "section", "ol"))} {pick_one("class", "id")}="{of("comment", "comments", "comment-list", "comments-area", "disqus", "replies", "discussion")}">', f"</{t}>"
             return a + pick_one("", f"<h2>{word()}</h2>", f"<h3>{word()}</h3>") + inner + b
         if kind == "share":
-            return f'<div class="{pick_one("share", "social", "share-buttons")}">{links()}</div>'
+            return f'<div class="{of("share", "share", "social", "share-buttons")}">{links()}</div>'
         raise ValueError(kind)
 
     def own(html: str) -> str:
@@ -149,7 +154,7 @@ def layout(number: int) -> tuple[str, str]:
         ) if number % 2 else pick_one(
             ("<article>", "</article>"), ("<article>", "</article>"), ('<article class="post">', "</article>"), ("<main>", "</main>"), ("<main><article>", "</article></main>"),
             ('<div class="article">', "</div>"), ('<div class="content">', "</div>"), ('<div id="post-12" class="entry">', "</div>"), ('<div id="main-content">', "</div>"),
-            ('<section class="story">', "</section>"), ('<div class="article-body">', "</div>"),
+            ('<section class="story">', "</section>"), ('<div class="article-body">', "</div>"), (f'<div class="{of("content")}">', "</div>"), (f'<section id="{of("content")}">', "</section>"),
         )
         return a + "".join(out) + b
 
@@ -214,11 +219,19 @@ def fit(pages: DataFrame, bound: int = FIT_PAGES, layouts: int = LAYOUTS) -> boo
                     x, y = _examples(shown, label)
                     yield pa.record_batch({"x": pa.array([x.tobytes()], pa.binary()), "y": pa.array([y.tobytes()], pa.binary())})
 
-    found = sorted((bytes(r["x"]), bytes(r["y"])) for r in rows.mapInArrow(learn, "x binary, y binary").collect())
-    made = [_made(i) for i in range(2 * layouts)]
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number in batch.column(0).to_pylist():
+                x, y = _made(number)
+                yield pa.record_batch({"x": pa.array([x.tobytes()], pa.binary()), "y": pa.array([y.tobytes()], pa.binary())})
+
+    spark = pages.sparkSession
+    numbers = spark.range(0, 2 * layouts, 1, max(1, min(16, layouts // 8)))
+    found = rows.mapInArrow(learn, "x binary, y binary").unionByName(numbers.mapInArrow(make, "x binary, y binary"))
+    found = sorted((bytes(r["x"]), bytes(r["y"])) for r in found.collect())
     width = len(dom.FEATURES)
-    x = np.concatenate([*[np.frombuffer(a, dtype=np.float32).reshape(-1, width) for a, _ in found], *[a for a, _ in made]])
-    y = np.concatenate([*[np.frombuffer(b) for _, b in found], *[b for _, b in made]])
+    x = np.concatenate([np.frombuffer(a, dtype=np.float32).reshape(-1, width) for a, _ in found])
+    y = np.concatenate([np.frombuffer(b) for _, b in found])
     return boosting.fit(x, y, np.ones(len(y)), trees=80, rate=0.4)
 
 

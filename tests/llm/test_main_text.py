@@ -116,6 +116,13 @@ def test_sums_over_subtrees():
     ("<p>a<!-- <p>x</p> -->b<br>c", ["ab c"]), ("<![if x]>a<![endif]>b<![foo[", ["ab"]), ("<script>'</p><p>no'</script>a", ["a"]), ("<SCRIPT>no", []),
     ("<title>a &amp; <b></title>c", ["a & <b>", "c"]), ("<p title='>'>a<P class=\"b>\">c", ["a", "c"]), ("a < b &lt; c", ["a < b < c"]), ("<li>a<li>b<ul><li>c</ul>d", ["a", "b", "c", "d"]),
     ("<td>a<p>b<td>c", ["a", "b", "c"]), ("<svg><text>no</text></svg>a<svg/>b", ["ab"]), ("<p>a</div></b>b", ["ab"]),
+    # What HTML ends although it is open, what stands in a line, and what is no text.
+    ("<p>a</p><svg><path d='x'><p>b</p><p>c", ["a", "b", "c"]), ("<p>see <svg><g><path/></g></svg> icon</p>", ["see icon"]), ("<svg><title>no</title><text>no</text></svg>a", ["a"]),
+    ("<svg><title/><style/></svg>a", ["a"]), ("<svg><foreignObject><p>no</p></foreignObject><g></svg>a", ["a"]), ("<div><svg><g></div>a", ["a"]), ("<div>a<video>no</div>b", ["a", "b"]),
+    ("<p>x <math><mi>y</mi><mo>=</mo><mn>2</mn></math> z</p>", ["x y=2 z"]), ("<p>a<math><mi>b</math>c<p>d", ["abc", "d"]),
+    ("<p>a <picture><source><img></picture> <button>b</button> <x-y>c</x-y> <label>d</label></p>", ["a b c d"]),
+    ("<p>a<select><option>no<option>no</select>b", ["ab"]), ("<select><option>no<p>a", ["a"]), ("<p>a<textarea><p>no</textarea>b", ["ab"]),
+    ("<template><p>no</p></template>a", ["a"]), ("<p>a<noscript><img></noscript>b", ["ab"]), ("a</p>b", ["a", "b"]), ("<canvas>no</canvas><object><p>no</p></object>a", ["a"]),
 ])
 def test_markup(html, text):
     assert [t for t in dom.Page(html).text if t] == text
