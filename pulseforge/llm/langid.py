@@ -14,7 +14,11 @@ from pulseforge.llm.common import blocks, crc_fold, mix, pick
 
 UNDETERMINED = "und"
 ORDERS = (1, 2, 3)
+#: N-gram buckets, fewer (a power of two) where there are so many languages that the
+#: model would exceed MODEL_BYTES, but LEAST_BUCKETS at least.
 BUCKETS = 1 << 15
+LEAST_BUCKETS = 1 << 8
+MODEL_BYTES = 16 << 20
 #: Labelled documents of each language the model is fitted on, at most about (all, if fewer).
 FIT_DOCUMENTS = 40_000
 #: Below this score a document's language counts as not recognised.
@@ -23,6 +27,8 @@ LEAST_SCORE = 0.5
 _BLANK = np.uint32(0x20)
 #: Code points of one text that are worked on at once.
 _SLICE = 1 << 20
+#: Log-probabilities that are added up at once.
+_TERMS = 1 << 22
 _letter: list[np.ndarray] = []
 
 
@@ -56,7 +62,17 @@ def symbols(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.where(letter, points, _BLANK)[keep], text[keep]
 
 
-def features(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def buckets_for(languages: int) -> int:
+    """The number of buckets of a model of so many languages."""
+    buckets = BUCKETS
+    while buckets > LEAST_BUCKETS and 4 * buckets * languages > MODEL_BYTES:
+        buckets //= 2
+    if 4 * buckets * languages > MODEL_BYTES:
+        raise ValueError(f"{languages} languages: a model of {LEAST_BUCKETS} buckets each exceeds {MODEL_BYTES} bytes")
+    return buckets
+
+
+def features(column: pa.Array, buckets: int = BUCKETS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(buckets, text numbers) of the n-grams of some texts, order by order.
     N-grams begin and end with letters or are cut at one blank."""
     point, text = symbols(column)
@@ -74,7 +90,7 @@ def features(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             some |= letter[i:size + i]
         # Unigrams: letters. Longer ones hold a letter and lie in one text.
         keep = one_text & some
-        yield (mix(h[keep]) % np.uint64(BUCKETS)).astype(np.int64), text[:size][keep]
+        yield (mix(h[keep]) % np.uint64(buckets)).astype(np.int64), text[:size][keep]
 
 
 def slices(column: pa.Array) -> Iterator[tuple[np.ndarray, pa.Array]]:
@@ -101,8 +117,9 @@ def fit(docs: DataFrame, learn: Column, bound: int = FIT_DOCUMENTS) -> Model:
     Of a language with more than ``bound`` such rows, a hash of the row (its id,
     if it has one, and text) picks about that many; other languages are learnt
     whole. Priors come from all rows. Counts by language and bucket are summed on
-    the executors; the driver gets at most ``BUCKETS`` numbers per language.
-    Counts are smoothed by one half.
+    the executors; the driver gets one number for each at most, and the model never
+    exceeds ``MODEL_BYTES`` (ValueError above 16,384 languages). Counts are smoothed
+    by one half.
     """
     rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
     documents = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -112,17 +129,18 @@ def fit(docs: DataFrame, learn: Column, bound: int = FIT_DOCUMENTS) -> Model:
         share = F.broadcast(docs.sparkSession.createDataFrame(shares, "lang string, _share long"))
         rows = rows.select("lang", "text", drawn.alias("_drawn")).join(share, "lang", "left").where(F.col("_share").isNull() | (F.col("_drawn") < F.col("_share")))
     rows = rows.select("lang", "text")
+    buckets = buckets_for(len(documents))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
         for batch, column in blocks(batches, "text"):
             languages = np.array(batch.column(0).to_pylist(), dtype=object)
             for numbers, part in slices(column):
-                for bucket, text in features(part):
-                    language = languages[numbers][text]
-                    for name in set(languages[numbers]):
-                        found = np.bincount(bucket[language == name], minlength=BUCKETS)
-                        totals[name] = totals.get(name, 0) + found
+                names, code = np.unique(languages[numbers], return_inverse=True)
+                for bucket, text in features(part, buckets):
+                    found = np.bincount(code[text] * buckets + bucket, minlength=len(names) * buckets).reshape(-1, buckets)
+                    for name, own in zip(names, found):
+                        totals[name] = totals.get(name, 0) + own
         for name, found in totals.items():
             at = np.flatnonzero(found)
             yield pa.record_batch({"lang": pa.array([name] * len(at), pa.string()), "bucket": pa.array(at, pa.int32()), "n": pa.array(found[at], pa.int64())})
@@ -130,7 +148,7 @@ def fit(docs: DataFrame, learn: Column, bound: int = FIT_DOCUMENTS) -> Model:
     counts = rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     languages = tuple(sorted(documents))
     number = {x: i for i, x in enumerate(languages)}
-    found = np.full((BUCKETS, len(languages)), 0.5)
+    found = np.full((buckets, len(languages)), 0.5)
     if counts.num_rows:
         at = np.array([number[x] for x in counts["lang"].to_pylist()])
         found[counts["bucket"].to_numpy(), at] += counts["n"].to_numpy()
@@ -156,11 +174,15 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         for batch, column in blocks(batches, "text"):
             sums, grams = np.zeros((len(column), len(m.languages))), np.zeros(len(column), dtype=np.int64)
             for numbers, part in slices(column):
-                for bucket, text in features(part):
-                    owner = numbers[text]
-                    grams += np.bincount(owner, minlength=len(column))
-                    for k in range(len(m.languages)):
-                        sums[:, k] += np.bincount(owner, m.weight[bucket, k], minlength=len(column))
+                for bucket, text in features(part, len(m.weight)):
+                    grams += np.bincount(numbers[text], minlength=len(column))
+                    # The n-grams of a text stand together: rows of the matrix, summed by text.
+                    step = max(1, _TERMS // max(1, len(m.languages)))
+                    for at in range(0, len(bucket), step):
+                        own = text[at:at + step]
+                        first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+                        added = np.add.reduceat(m.weight[bucket[at:at + step]], first, axis=0, dtype=np.float64)
+                        np.add.at(sums, numbers[own[first]], added)
             known = (grams > 0) & bool(len(m.languages))
             names, scores = [UNDETERMINED] * len(column), np.zeros(len(column))
             if m.languages:

@@ -51,11 +51,13 @@ def row_key(doc_id: Column, text: Column) -> list[Column]:
 
 
 def prefix_length(threshold: float, recall: float, trees: int = TREES, length: int = LENGTH) -> int:
-    """The longest prefix that finds pairs at the threshold with this probability."""
-    for n in range(length, 1, -1):
+    """The longest prefix that finds pairs at the threshold with this probability:
+    prefixes are shortened from full length until they do. ValueError if even the
+    shortest does not."""
+    for n in range(length, 0, -1):
         if 1 - (1 - threshold**n) ** trees >= recall:
             return n
-    return 1
+    raise ValueError(f"{trees} trees do not find pairs at {threshold} with probability {recall}")
 
 
 def gram_sets(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -267,6 +269,7 @@ def similar(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECAL
     documents. An empty table gives no rows. ``recall`` is the probability with
     which two different documents at the threshold itself become candidates; it
     is higher above the threshold, and similarities of candidates are exact.
+    ValueError where ``TREES`` trees cannot give that (a threshold below 0.37).
 
     Columns ``_id`` and ``_th`` (see ``row_key``) and ``_class_id``, ``_class_th``
     (the row that stands for the class) lead back to the rows.

@@ -49,13 +49,14 @@ def histogram(docs: DataFrame, text: str = "text", end_token: bool = True) -> Da
 
 def at_limits(table: DataFrame, limits: Sequence[int]) -> DataFrame:
     """Tokens kept, documents cut and tokens lost for context limits, from a
-    ``histogram``. Each limit reads the shortest length at or above it; a limit
-    above all lengths cuts nothing."""
-    total = F.coalesce(F.sum("tokens"), F.lit(0))
+    ``histogram``: the suffix sums of the shortest length above a limit tell how many
+    documents it cuts, and what they hold. A limit above all lengths cuts nothing."""
+    total = F.coalesce(F.max("total_tokens"), F.lit(0))
 
     def entry(limit: int) -> Column:
-        kept = F.coalesce(F.sum(F.least(F.col("n_tokens"), F.lit(limit)) * F.col("n_docs")), F.lit(0))
-        cut = F.coalesce(F.sum(F.when(F.col("n_tokens") > limit, F.col("n_docs"))), F.lit(0))
+        above = F.min(F.when(F.col("n_tokens") > limit, F.struct("n_tokens", "docs_from", "tokens_from")))
+        cut = F.coalesce(above["docs_from"], F.lit(0))
+        kept = total - F.coalesce(above["tokens_from"], F.lit(0)) + limit * cut
         return F.struct(F.lit(limit).cast("long").alias("context_limit"), cut.alias("docs_cut"), kept.alias("tokens_kept"), (total - kept).alias("tokens_lost"))
 
     return table.agg(F.array(*[entry(int(x)) for x in sorted(set(limits))]).alias("_limits")).select(F.inline("_limits"))

@@ -92,3 +92,26 @@ def test_every_language_is_learnt_under_the_bound(spark):
     copies = (np.exp(model.weight[bucket, 0] - model.weight[:, 0].min()) - 1) / 2
     assert 60 <= copies <= 150
     assert {r.lang_pred for r in langid.predict(docs.where("lang = 'xx'"), model).collect()} == {"xx"}
+
+
+def test_very_many_languages(spark, monkeypatch):
+    """The model stays within its bound; above it there is an error, no silent choice."""
+    assert [langid.buckets_for(n) for n in (0, 4, 128, 129, 10_000, 16_384)] == [1 << 15, 1 << 15, 1 << 15, 1 << 14, 1 << 8, 1 << 8]
+    with pytest.raises(ValueError):
+        langid.buckets_for(16_385)
+    monkeypatch.setattr(langid, "MODEL_BYTES", 1 << 18)
+    rows = [(i, f"l{i % 200:03d}", " ".join(f"{'abcdefghijklmnopqrst'[(i % 200 + k * (1 + i % 200 // 20)) % 20]}{'uvwxyz'[i % 200 // 34]}" for k in range(30))) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = langid.fit(docs, F.lit(True))
+    assert model.weight.shape == (256, 200) and model.weight.nbytes <= 1 << 18
+    found = langid.predict(docs, model).collect()
+    assert sum(r.lang == r.lang_pred for r in found) / len(found) > 0.9
+
+
+def test_sums_of_long_texts_are_cut_evenly(spark, monkeypatch):
+    text = "the quick brown fox and der schnelle braune Fuchs " * 400
+    docs = spark.createDataFrame([(1, "en", "the quick brown fox and"), (2, "de", "der schnelle braune Fuchs"), (3, None, text), (4, None, "")], "doc_id long, lang string, text string")
+    model = langid.fit(docs, F.lit(True))
+    whole = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(docs, model).collect()}
+    monkeypatch.setattr(langid, "_TERMS", 7)
+    assert {r.doc_id: (r.lang_pred, pytest.approx(r.score)) for r in langid.predict(docs, model).collect()} == whole

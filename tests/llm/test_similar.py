@@ -86,6 +86,9 @@ def test_one_row_of_each_class_stays(messy, nothing):
 
 def test_prefixes_are_shortened_to_the_recall():
     assert [similar.prefix_length(t, r) for t, r in ((0.8, 0.9999), (0.8, 0.99), (0.5, 0.9999), (0.95, 0.9999))] == [4, 5, 1, 5]
+    assert similar.prefix_length(0.3, 0.999) == 1
+    with pytest.raises(ValueError):
+        similar.prefix_length(0.3, 0.9999)
 
 
 @settings(max_examples=50, deadline=None)
