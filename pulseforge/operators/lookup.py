@@ -58,12 +58,11 @@ def ingest_latency(events: DataFrame) -> DataFrame:
     rows = events.select(micros.alias("_micros"))
     whole = "decimal(30,0)"
     mean = F.try_divide(F.sum(F.col("_micros").cast(whole)), F.count("_micros").cast(whole))
-    return rows.agg(
-        F.count("_micros").alias("events"),
-        (F.round(mean, 0) / 1_000_000).cast("double").alias("avg_seconds"),
-        (F.lit(quantile(rows, F.col("_micros"), 0.95)).cast("bigint") / 1_000_000).alias("p95_seconds"),
-        (F.max("_micros") / 1_000_000).alias("max_seconds"),
-    )
+    average = (F.round(mean, 0) / 1_000_000).cast("double")
+    count, seconds, low, high = rows.agg(F.count("_micros"), average, F.min("_micros"), F.max("_micros")).first()
+    p95 = quantile(rows, F.col("_micros"), 0.95, (low, high, count))
+    found = events.sparkSession.createDataFrame([(count, seconds, p95, high)], "events BIGINT, avg_seconds DOUBLE, _p95 BIGINT, _high BIGINT")
+    return found.select("events", "avg_seconds", (F.col("_p95") / 1_000_000).alias("p95_seconds"), (F.col("_high") / 1_000_000).alias("max_seconds"))
 
 
 def trace_to_source(stored: DataFrame, messages: DataFrame) -> DataFrame:

@@ -11,17 +11,17 @@ from pyspark.sql import functions as F
 BITS = 16
 
 
-def quantile(rows: DataFrame, value: Column, fraction: float) -> int | None:
+def quantile(rows: DataFrame, value: Column, fraction: float, known: tuple | None = None) -> int | None:
     """The least whole value that at least ``fraction`` of all values do not exceed.
 
     Each pass counts the values still in question by their next ``BITS`` leading bits
     (combined before the shuffle, at most 2^BITS groups, whatever the number of rows)
     and keeps the group that holds the wanted rank: three passes for a range of 2^48.
     NULLs do not count; NULL where there are no values. The values' range must be
-    below 2^62.
+    below 2^62. ``known``: their least, greatest and count, if at hand.
     """
     rows = rows.select(value.cast("bigint").alias("_value")).where("_value IS NOT NULL")
-    low, high, count = rows.agg(F.min("_value"), F.max("_value"), F.count("_value")).first()
+    low, high, count = known or rows.agg(F.min("_value"), F.max("_value"), F.count("_value")).first()
     if not count:
         return None
     rank = max(1, ceil(fraction * count))
