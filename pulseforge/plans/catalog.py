@@ -365,22 +365,28 @@ def preview_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CUTS = 4
+#: Rows that a file of the feed has at least, where a stretch has several.
+FEED_ROWS = 10_000
 
 
 def _message_stream(spark: SparkSession, sf_dir: str, late: bool = False, again: bool = False) -> DataFrame:
-    """All messages as a stream that arrives in at least ``CUTS`` micro-batches:
-    stretches of the table are written one after another and read file by file.
-    ``late`` cuts across, so that every batch has rows of all times. ``again`` sends
-    each stretch a second time, in a batch of its own."""
+    """All messages as a stream that arrives in ``CUTS`` micro-batches: stretches of
+    the table are written one after another, each in as many files, and read stretch
+    by stretch. The files are dealt to all cores, so the number of batches does not
+    grow with the files that a large table is written to or scanned in. ``late`` cuts
+    across, so that every batch has rows of all times. ``again`` sends each stretch a
+    second time, in a batch of its own. A stretch without rows is left out."""
     events, feed = _source(spark, sf_dir), work_dir(spark, "feed")
     low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
     width = (high - low) // CUTS + 1
-    for cut in range(CUTS):
-        start = low + cut * width
-        part = F.col("event_id") % CUTS == cut if late else F.col("event_id").between(start, start + width - 1)
+    starts = [low + cut * width for cut in range(CUTS)]
+    parts = [F.col("event_id") % CUTS == cut if late else F.col("event_id").between(starts[cut], starts[cut] + width - 1) for cut in range(CUTS)]
+    counts = events.agg(*[F.count_if(part) for part in parts]).first()
+    files = max(1, min(spark.sparkContext.defaultParallelism, min(n for n in counts if n) // FEED_ROWS))
+    for part in (part for part, n in zip(parts, counts) if n):
         for more in (0, REDELIVERY)[:2 if again else 1]:
-            events.where(part).withColumn("_more", F.lit(more)).write.mode("append").parquet(feed)
-    stream = spark.readStream.schema(f"{fixture.EVENTS_SCHEMA}, _more BIGINT").option("maxFilesPerTrigger", 1).parquet(feed)
+            events.where(part).withColumn("_more", F.lit(more)).repartition(files).write.mode("append").parquet(feed)
+    stream = spark.readStream.schema(f"{fixture.EVENTS_SCHEMA}, _more BIGINT").option("maxFilesPerTrigger", files).parquet(feed)
     return fixture.raw_messages(stream, "_more")
 
 

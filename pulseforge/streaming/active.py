@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from pulseforge.session import adaptive
 from pulseforge.sources import keyed
 from pulseforge.sources.batch import Batch, run_of
-from pulseforge.sources.committed import Committed
+from pulseforge.sources.committed import Committed, entry
 
 #: (customer, slide) pairs seen, by the day of the slide.
 SEEN = T.StructType([T.StructField("customer_id", T.StringType()), T.StructField("slide", T.LongType()), T.StructField("day", T.DateType())])
@@ -98,22 +99,29 @@ def start_active_customers(
     table = Committed(f"{path}/seen", SEEN, "day")
 
     def batch(new: DataFrame, batch_id: int) -> None:
-        spark, this = new.sparkSession, Batch(run, batch_id)
+        with adaptive(new.sparkSession, rows.sparkSession):
+            keep(new, Batch(run, batch_id))
+
+    def keep(new: DataFrame, this: Batch) -> None:
+        spark = new.sparkSession
         day = lambda slide: F.timestamp_seconds(slide * seconds).cast("date")
-        new = new.withColumn("day", day(F.col("slide"))).persist()
+        # The pairs are used more than once. They are read back from their files, which
+        # count from the commit at the end on: a plan that has the stream's own frame
+        # twice would run its state again, persisted or not.
+        added = table.put(new.withColumn("day", day(F.col("slide"))).hint("rebalance", F.col("day")).sortWithinPartitions("day", "customer_id"))
+        if not added:
+            return
+        new = table.load(spark, [a["file"] for a in added])
+        low, high = new.agg(day(F.min("slide") - k).cast("string"), day(F.max("slide") + k).cast("string")).first()
+        known = table.read(spark, this, low, high).join(new.select("customer_id").distinct(), "customer_id", "left_semi")
+        changed = changes(known, new, k).persist()
         try:
-            low, high = new.agg(day(F.min("slide") - k).cast("string"), day(F.max("slide") + k).cast("string")).first()
-            if low is None:
-                return
-            known = table.read(spark, this, low, high).join(new.select("customer_id").distinct(), "customer_id", "left_semi")
-            changed = changes(known, new, k).persist()
             old = keyed.read(spark, f"{path}/changes", CHANGES, this, changed).withColumnRenamed("change", "_old")
             updates = changed.join(old, "slide", "left").select("slide", (F.col("change") + F.coalesce("_old", F.lit(0))).alias("change"))
             keyed.upsert(spark, f"{path}/changes", CHANGES, updates, ("slide",), this)
-            changed.unpersist()
-            table.write(new.hint("rebalance", F.col("day")).sortWithinPartitions("day", "customer_id"), this)
         finally:
-            new.unpersist()
+            changed.unpersist()
+        table.commit(spark, lambda state: entry(this, added, state.of(this)))
 
     pairs = seen_pairs(rows, seconds).dropDuplicates(["customer_id", "slide"])
     return _start(pairs.writeStream.foreachBatch(batch), checkpoint, available_now, interval)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from helpers import doc, messages, rows_of, uid
 from pulseforge.operators import anomalies, decode, metrics, route
-from pulseforge.plans import fixture, pipeline
+from pulseforge.plans import catalog, fixture, pipeline
 from pulseforge.schema import CHECKPOINT
 from pulseforge.sources import keyed, raw
 from pulseforge.sources.batch import Batch
@@ -184,3 +184,34 @@ def test_rejects_are_published_once(spark, tables, tmp_path):
         messages(spark, ["{", doc(1), doc(2, rate=300)]).coalesce(1).write.mode("append").parquet(str(feed))
         streams.start_stateful_writer(raw.stream_files(spark, str(feed)), tables, str(tmp_path / "progress"), available_now=True).awaitTermination()
     assert tables.read_topic(spark, "events.invalid.v1").count() == 2 and tables.read_events(spark).count() == 1
+
+
+@pytest.mark.parametrize("late, again", [(False, False), (True, False), (True, True)])
+def test_feed_has_a_batch_for_each_stretch(spark, tmp_path, late, again):
+    """However many files the table has."""
+    columns = ("id AS event_id", "TIMESTAMP_NTZ'2024-01-01' AS ts", "id % 5 AS user_id", "'view' AS event_type", "50D AS value", "'' AS props")
+    spark.range(0, 100_000, 1, 6).selectExpr(*columns).write.parquet(str(tmp_path / "events.parquet"))
+    stream, seen = catalog._message_stream(spark, str(tmp_path), late, again), []
+    cut = (F.col("offset") % catalog.REDELIVERY % 4) if late else F.floor(F.col("offset") / 25_000)
+
+    def batch(rows, batch_id):
+        seen.append(rows.agg(F.count("*"), F.min(cut), F.max(cut), F.floor(F.max("offset") / catalog.REDELIVERY)).first())
+
+    stream.writeStream.option("checkpointLocation", str(tmp_path / "cp")).foreachBatch(batch).trigger(availableNow=True).start().awaitTermination()
+    assert [tuple(r) for r in seen] == [(25_000, c, c, more) for c in range(4) for more in range(2 if again else 1)]
+
+
+def _on_two_days(spark, path):
+    docs = [doc(n, customer=f"c{n}", time=f"2025-11-0{n % 2 + 3}T16:41:27Z") for n in range(60)]
+    messages(spark, docs).coalesce(1).write.parquet(path)
+    return raw.stream_files(spark, path)
+
+
+def test_active_customers_run_their_state_once(spark, tmp_path):
+    feed = _on_two_days(spark, str(tmp_path / "in"))
+    query = active.start_active_customers(valid_of(feed), str(tmp_path / "panel"), str(tmp_path / "cp"), available_now=True)
+    query.awaitTermination()
+    (progress,) = [p for p in query.recentProgress if p["numInputRows"]]
+    assert progress["stateOperators"][0]["numRowsTotal"] == 60
+    assert len(glob.glob(str(tmp_path / "panel/seen/data/*/*/part-*.parquet"))) == 2
+    assert {r.value for r in active.read_active(spark, str(tmp_path / "panel")).collect()} == {30.0}
