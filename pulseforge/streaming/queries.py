@@ -14,6 +14,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 from pulseforge.config import DEFAULTS, Settings
 from pulseforge.operators import decode, metrics, route
 from pulseforge.plans import pipeline
+from pulseforge.session import adaptive
 from pulseforge.sources import keyed, sinks
 from pulseforge.sources.batch import Batch, run_of
 from pulseforge.sources.committed import Committed
@@ -111,19 +112,22 @@ def start_stateful_writer(
     run = run_of(messages.sparkSession, checkpoint)
 
     def batch(rows: DataFrame, batch_id: int) -> None:
-        spark, this = rows.sparkSession, Batch(run, batch_id)
         rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            fresh = rows.where(F.col("first.batch_time") == F.col("last.batch_time"))
-            names = ("topic", "partition", "offset", "event_time", "heart_rate", "raw", "error")
-            fresh = fresh.select("route", "event_id", "customer_id", *[f"first.{n}" for n in names])
-            sinks.publish_quarantine(fresh, tables, this, settings)
-            sinks.write_events(route.valid_events(fresh), tables, this)
-            met = rows.where(F.col("route") == route.VALID)
-            sinks.upsert_checkpoint(spark, metrics.high_water_marks(met.select("last.*"), settings.group_writer), tables, this)
+            with adaptive(rows.sparkSession, messages.sparkSession):
+                store(rows, Batch(run, batch_id))
         finally:
             rows.unpersist()
 
+    def store(rows: DataFrame, this: Batch) -> None:
+        fresh = rows.where(F.col("first.batch_time") == F.col("last.batch_time"))
+        names = ("topic", "partition", "offset", "event_time", "heart_rate", "raw", "error")
+        fresh = fresh.select("route", "event_id", "customer_id", *[f"first.{n}" for n in names])
+        sinks.publish_quarantine(fresh, tables, this, settings)
+        sinks.write_events(route.valid_events(fresh), tables, this)
+        met = rows.where(F.col("route") == route.VALID)
+        sinks.upsert_checkpoint(rows.sparkSession, metrics.high_water_marks(met.select("last.*"), settings.group_writer), tables, this)
+
     writer = _first_arrivals(counted).writeStream.outputMode("update").queryName(_query_name(settings.group_writer))
     return _start(writer.foreachBatch(batch), checkpoint, available_now, interval)
 

@@ -207,6 +207,12 @@ def _on_two_days(spark, path):
     return raw.stream_files(spark, path)
 
 
+def test_stateful_writer_gathers_files_by_date(spark, tables, tmp_path):
+    feed = _on_two_days(spark, str(tmp_path / "in"))
+    streams.start_stateful_writer(feed, tables, str(tmp_path / "progress"), available_now=True).awaitTermination()
+    assert len(tables.events.state(spark).files) == 2 and tables.read_events(spark).count() == 60
+
+
 def test_active_customers_run_their_state_once(spark, tmp_path):
     feed = _on_two_days(spark, str(tmp_path / "in"))
     query = active.start_active_customers(valid_of(feed), str(tmp_path / "panel"), str(tmp_path / "cp"), available_now=True)
