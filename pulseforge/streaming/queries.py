@@ -181,7 +181,8 @@ def start_panel(
     run = run_of(counts.sparkSession, checkpoint)
 
     def batch(rows: DataFrame, batch_id: int) -> None:
-        keyed.upsert(rows.sparkSession, path, counts.schema, rows, key, Batch(run, batch_id))
+        with adaptive(rows.sparkSession, counts.sparkSession):
+            keyed.upsert(rows.sparkSession, path, counts.schema, rows.hint("rebalance"), key, Batch(run, batch_id))
 
     return _start(counts.writeStream.outputMode("update").foreachBatch(batch), checkpoint, available_now, interval)
 

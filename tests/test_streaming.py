@@ -213,6 +213,13 @@ def test_stateful_writer_gathers_files_by_date(spark, tables, tmp_path):
     assert len(tables.events.state(spark).files) == 2 and tables.read_events(spark).count() == 60
 
 
+def test_panel_gathers_its_rows(spark, tmp_path):
+    docs = [doc(n, time=f"2025-11-03T16:{n:02d}:27Z") for n in range(60)]
+    messages(spark, docs).coalesce(1).write.parquet(str(tmp_path / "in"))
+    out = panel(spark, streams.minute_counts(valid_of(raw.stream_files(spark, str(tmp_path / "in")))), "time", tmp_path)
+    assert out.count() == 60 and len(glob.glob(str(tmp_path / "panel/data/*/*/part-*.parquet"))) == 1
+
+
 def test_active_customers_run_their_state_once(spark, tmp_path):
     feed = _on_two_days(spark, str(tmp_path / "in"))
     query = active.start_active_customers(valid_of(feed), str(tmp_path / "panel"), str(tmp_path / "cp"), available_now=True)
