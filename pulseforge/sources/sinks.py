@@ -64,10 +64,14 @@ def publish_kafka(messages: DataFrame, topic: str, settings: Settings = DEFAULTS
     messages.write.format("kafka").options(**kafka_sink_options(topic, settings)).save()
 
 
+def publish_rejects(routed: DataFrame, error_type: str, tables: Tables, batch: Batch, settings: Settings = DEFAULTS) -> None:
+    topic = {route.VALIDATION: settings.topic_invalid, route.PROCESSING: settings.topic_dlq}[error_type]
+    publish_files(route.as_envelope_json(route.quarantine(routed, error_type)), tables, topic, batch, settings)
+
+
 def publish_quarantine(routed: DataFrame, tables: Tables, batch: Batch, settings: Settings = DEFAULTS) -> None:
-    for error_type, topic in ((route.VALIDATION, settings.topic_invalid), (route.PROCESSING, settings.topic_dlq)):
-        envelopes = route.as_envelope_json(route.quarantine(routed, error_type))
-        publish_files(envelopes, tables, topic, batch, settings)
+    for error_type in (route.VALIDATION, route.PROCESSING):
+        publish_rejects(routed, error_type, tables, batch, settings)
 
 
 def publish_anomalies(found: DataFrame, tables: Tables, batch: Batch, settings: Settings = DEFAULTS) -> None:

@@ -10,6 +10,7 @@ batch commits first, the offsets are dealt again from where that one ended.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, Window
@@ -31,17 +32,15 @@ def _placed(messages: DataFrame, partitions: int) -> DataFrame:
 
 def _dealt(placed: DataFrame, topic: str, first: dict[str, int]) -> DataFrame:
     """The messages in the raw layout."""
-    spark = placed.sparkSession
     earlier = Window.partitionBy("_partition").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     counts = placed.groupBy("_partition", "_task").agg(F.count(F.lit(1)).alias("_n"))
     starts = counts.select("_partition", "_task", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    base = spark.createDataFrame([(int(p), n) for p, n in first.items()], "_partition INT, _first BIGINT")
+    base = F.from_json(F.lit(json.dumps(first)), "MAP<STRING, BIGINT>")[F.col("_partition").cast("string")]
     own = F.row_number().over(Window.partitionBy("_partition", "_task").orderBy("_place")) - 1
-    offset = F.coalesce("_first", F.lit(0)) + F.col("_before") + F.col("_own")
+    offset = F.coalesce(base, F.lit(0)) + F.col("_before") + F.col("_own")
     return (
         placed.withColumn("_own", own)
         .join(starts, ["_partition", "_task"])
-        .join(base, "_partition", "left")
         .select("key", "value", F.lit(topic).alias("topic"), F.col("_partition").alias("partition"), offset.alias("offset"), F.current_timestamp().alias("timestamp"))
         .sortWithinPartitions("partition", "offset")
         .select(*RAW_MESSAGE.names)

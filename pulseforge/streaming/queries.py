@@ -14,7 +14,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 from pulseforge.config import DEFAULTS, Settings
 from pulseforge.operators import decode, metrics, route
 from pulseforge.plans import pipeline
-from pulseforge.session import adaptive
+from pulseforge.session import adaptive, at_once, rocksdb_state
 from pulseforge.sources import keyed, sinks
 from pulseforge.sources.batch import Batch, run_of
 from pulseforge.sources.committed import Committed
@@ -113,7 +113,13 @@ def start_stateful_writer(
     run = run_of(messages.sparkSession, checkpoint)
 
     def batch(rows: DataFrame, batch_id: int) -> None:
-        rows.persist(StorageLevel.MEMORY_AND_DISK)
+        # Held as plain columns, so that each sink reads those it needs, and without
+        # what keys known before need not carry.
+        new = F.col("first.batch_time") == F.col("last.batch_time")
+        names = ("topic", "partition", "offset", "event_time", "heart_rate", "raw", "error")
+        marks = [F.col(f"last.{n}").alias(f"last_{n}") for n in ("topic", "partition", "offset")]
+        kept = [F.when(new, c).alias(n) for n, c in [(n, F.col(n)) for n in ("event_id", "customer_id")] + [(n, F.col(f"first.{n}")) for n in names]]
+        rows = rows.select("route", new.alias("new"), *kept, *marks).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             with adaptive(rows.sparkSession, messages.sparkSession):
                 store(rows, Batch(run, batch_id))
@@ -121,16 +127,22 @@ def start_stateful_writer(
             rows.unpersist()
 
     def store(rows: DataFrame, this: Batch) -> None:
-        fresh = rows.where(F.col("first.batch_time") == F.col("last.batch_time"))
-        names = ("topic", "partition", "offset", "event_time", "heart_rate", "raw", "error")
-        fresh = fresh.select("route", "event_id", "customer_id", *[f"first.{n}" for n in names])
-        sinks.publish_quarantine(fresh, tables, this, settings)
-        sinks.write_events(route.valid_events(fresh), tables, this)
-        met = rows.where(F.col("route") == route.VALID)
-        sinks.upsert_checkpoint(rows.sparkSession, metrics.high_water_marks(met.select("last.*"), settings.group_writer), tables, this)
+        spark = rows.sparkSession
+        # Runs the state, once, in a task for each of its partitions. The sinks have
+        # little to do for each; they read several in a task and share the cores.
+        found = {r for r, in rows.where("new").select("route").distinct().collect()}  # three routes at most
+        rows = rows.coalesce(2 * spark.sparkContext.defaultParallelism)
+        fresh = rows.where("new").drop("new", "last_topic", "last_partition", "last_offset")
+        jobs = [lambda e=e: sinks.publish_rejects(fresh, e, tables, this, settings) for e in (route.VALIDATION, route.PROCESSING) if e in found]
+        if route.VALID in found:
+            jobs.append(lambda: sinks.write_events(route.valid_events(fresh), tables, this))
+        at_once(spark, jobs)
+        met = rows.where(F.col("route") == route.VALID).select(*[F.col(f"last_{n}").alias(n) for n in ("topic", "partition", "offset")])
+        sinks.upsert_checkpoint(spark, metrics.high_water_marks(met, settings.group_writer), tables, this)
 
     writer = _first_arrivals(counted).writeStream.outputMode("update").queryName(_query_name(settings.group_writer))
-    return _start(writer.foreachBatch(batch), checkpoint, available_now, interval)
+    with rocksdb_state(messages.sparkSession):
+        return _start(writer.foreachBatch(batch), checkpoint, available_now, interval)
 
 
 def start_detector(

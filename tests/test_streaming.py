@@ -2,11 +2,13 @@ import collections
 import glob
 import os
 import random
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import doc, messages, rows_of, uid
+from pulseforge import session
 from pulseforge.operators import anomalies, decode, metrics, route
 from pulseforge.plans import catalog, fixture, pipeline
 from pulseforge.schema import CHECKPOINT
@@ -213,6 +215,44 @@ def test_stateful_writer_gathers_files_by_date(spark, tables, tmp_path):
     assert len(tables.events.state(spark).files) == 2 and tables.read_events(spark).count() == 60
 
 
+def test_stateful_writer_keeps_its_state_on_disk(spark, tables, tmp_path):
+    """Whatever the session's state store; a later stream of the session has its own."""
+    store, on_heap = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    was, feed = spark.conf.get(store), _on_two_days(spark, str(tmp_path / "in"))
+    spark.conf.set(store, on_heap)
+    try:
+        streams.start_stateful_writer(feed, tables, str(tmp_path / "progress"), available_now=True).awaitTermination()
+        assert spark.conf.get(store) == on_heap
+    finally:
+        spark.conf.set(store, was)
+    offsets = (tmp_path / "progress/offsets/0").read_text()
+    assert "RocksDBStateStoreProvider" in offsets and "HDFSBackedStateStoreProvider" not in offsets
+    assert glob.glob(str(tmp_path / "progress/state/0/*/*.changelog")) and tables.read_events(spark).count() == 60
+
+
+def test_stateful_writer_writes_what_is_new(spark, tables, tmp_path):
+    """A batch of keys known before adds no files; marks still go on."""
+    for start in (0, 10):
+        messages(spark, [doc(1), doc(2)], start=start).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        streams.start_stateful_writer(raw.stream_files(spark, str(tmp_path / "in")), tables, str(tmp_path / "progress"), available_now=True).awaitTermination()
+    assert tables.events.log.numbers(spark) == [0] and tables.topic("events.invalid.v1").log.numbers(spark) == []
+    assert rows_of(tables.read_events(spark), "event_id", "source_offset") == [(uid(1), 0), (uid(2), 1)]
+    assert rows_of(tables.read_checkpoint(spark), "partition", "last_offset") == [(0, 11)]
+
+
+def test_writes_side_by_side_all_end(spark):
+    done, gate = [], threading.Barrier(2, timeout=60)
+
+    def fails():
+        gate.wait()
+        raise ValueError("first")
+
+    with pytest.raises(ValueError, match="first"):
+        session.at_once(spark, [fails, lambda: (gate.wait(), done.append(spark.range(3).count()))])
+    assert done == [3]
+    session.at_once(spark, [])
+
+
 def test_panel_gathers_its_rows(spark, tmp_path):
     docs = [doc(n, time=f"2025-11-03T16:{n:02d}:27Z") for n in range(60)]
     messages(spark, docs).coalesce(1).write.parquet(str(tmp_path / "in"))
